@@ -51,7 +51,7 @@ def fingerprint_aggregates(digest: Column) -> list[Column]:
     return out
 
 
-def _combine() -> Column:
+def combine_sums() -> Column:
     sums = [F.coalesce(F.col(f"_{half}{i}"), F.lit(0)).cast("string") for i in range(_WORDS) for half in ("h", "l")]
     return F.sha2(F.concat_ws(",", F.col("row_count").cast("string"), *sums), 256)
 
@@ -61,7 +61,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequenc
     names = list(columns or [c for c in df.columns if c not in by])
     hashed = df.select(*by, row_digest(df, names).alias("_digest"))
     totals = hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *fingerprint_aggregates(F.col("_digest")))
-    return totals.select(*by, "row_count", _combine().alias("data_fingerprint"))
+    return totals.select(*by, "row_count", combine_sums().alias("data_fingerprint"))
 
 
 def schema_fingerprint(schema: T.StructType) -> str:

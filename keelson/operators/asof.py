@@ -61,8 +61,8 @@ def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]
 
     rows = _unite(labels, key, time, sides)
     heavy = _find_heavy(rows, max_group_rows)
-    if heavy.levels or heavy.instants:
-        rows = _slice_and_carry(rows, heavy, len(sides))
+    if heavy.keys:
+        rows = _slice_and_carry(_unite(labels, key, time, sides, spread=True), heavy, len(sides))
     newest = Window.partitionBy("_k", "_slice", "_slot").orderBy(
         F.asc_nulls_first("_t"), "_kind", "_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     matched = rows.select(
@@ -78,8 +78,12 @@ def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]
     return matched.where(F.col("_kind") == 1).select(*out)
 
 
-def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]) -> DataFrame:
-    """Rows (_k, _t, _u, _kind, _ord, _slice, _slot, _label, _v0, ...); _kind 0 is a feature row, 1 a label row."""
+def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide], spread: bool = False) -> DataFrame:
+    """Rows (_k, _t, _u, _kind, _ord, _slice, _slot, _label, _v0, ...); _kind 0 is a feature row, 1 a label row.
+
+    ``_slot`` is negative for labels that cannot match, which stay apart from features. With ``spread`` the other
+    labels carry a number to spread them by: it depends on content and map partition only, so a retried task repeats it.
+    """
     key_type, time_type = labels.schema[key].dataType, labels.schema[time].dataType
     label_type = T.StructType(labels.schema.fields)
     view_types = []
@@ -96,12 +100,13 @@ def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]) ->
         return F.lit(None).cast(dtype)
 
     known = F.col(key).isNotNull() & F.col(time).isNotNull()
-    # labels that cannot match stay apart from features, spread over many groups
     apart = -1 - F.pmod(F.spark_partition_id(), F.lit(NULL_SPREAD))
+    mixed = F.xxhash64(*labels.columns) + F.spark_partition_id()
+    slot = F.pmod(mixed, F.lit(1 << 20)).cast("int") if spread else F.lit(0)
     label_rows = labels.select(
         F.col(key).cast(key_type).alias("_k"), F.col(time).alias("_t"), micros(F.col(time), time_type).alias("_u"),
         F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_ord"), F.lit(0).cast("bigint").alias("_slice"),
-        F.when(known, F.lit(0)).otherwise(apart).alias("_slot"),
+        F.when(known, slot).otherwise(apart).alias("_slot"),
         F.struct(*labels.columns).cast(label_type).alias("_label"),
         *[empty(t).alias(f"_v{i}") for i, t in enumerate(view_types)])
     rows = label_rows
@@ -120,8 +125,9 @@ def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]) ->
 
 @dataclass
 class _Heavy:
-    levels: list[DataFrame]    # (_k, parent slice, low, width): how an over-full slice is cut
-    instants: DataFrame | None  # (_k, _slice, copies): over-full slices of one instant
+    levels: list[DataFrame]     # (key, parent slice, low, width): how an over-full slice is cut
+    instants: DataFrame | None  # (key, slice, copies): over-full slices of one instant
+    keys: DataFrame | None      # the keys that have such slices
 
 
 def _find_heavy(rows: DataFrame, limit: int) -> _Heavy:
@@ -133,10 +139,12 @@ def _find_heavy(rows: DataFrame, limit: int) -> _Heavy:
     key_type = rows.schema["_k"].dataType
     narrow = rows.where(F.col("_slot") == 0).select("_k", "_u", "_slice")
     levels: list[DataFrame] = []
+    keys = set()
     while True:
         full = narrow.groupBy("_k", "_slice").agg(
             F.count(F.lit(1)).alias("n"), F.min("_u").alias("lo"), F.max("_u").alias("hi")).where(F.col("n") > limit)
         found = full.collect()
+        keys.update(r["_k"] for r in found)
         wide = [r for r in found if r["lo"] < r["hi"]]
         if not wide:
             break
@@ -154,7 +162,11 @@ def _find_heavy(rows: DataFrame, limit: int) -> _Heavy:
                                T.StructField("_copies", T.IntegerType())])
         rows_ = [(r["_k"], r["_slice"], min(100_000, r["n"] // limit + 1)) for r in found]
         instants = _small(spark.createDataFrame(rows_, schema), len(rows_))
-    return _Heavy(levels, instants)
+    heavy_keys = None
+    if keys:
+        schema = T.StructType([T.StructField("_hot", key_type)])
+        heavy_keys = _small(spark.createDataFrame([(k,) for k in keys], schema), len(keys))
+    return _Heavy(levels, instants, heavy_keys)
 
 
 def _small(df: DataFrame, n: int) -> DataFrame:
@@ -177,18 +189,13 @@ def _slice_and_carry(rows: DataFrame, heavy: _Heavy, n_views: int) -> DataFrame:
     sliced = _assign(rows, heavy.levels)
     if heavy.instants is not None:
         joined = sliced.join(heavy.instants, (F.col("_k") == F.col("_ik")) & (F.col("_slice") == F.col("_islice")), "left")
-        # the map partition spreads labels evenly and is the same again when a task is retried
-        slot = F.when(F.col("_copies").isNotNull() & (F.col("_kind") == 1) & (F.col("_slot") == 0),
-                      F.pmod(F.spark_partition_id(), F.col("_copies"))).otherwise(F.col("_slot"))
-        sliced = joined.select(*[slot.alias(c) if c == "_slot" else F.col(c) for c in columns], "_copies")
     else:
-        sliced = sliced.withColumn("_copies", F.lit(None).cast("int"))
+        joined = sliced.withColumn("_copies", F.lit(None).cast("int"))
+    spread = F.when(F.col("_slot") < 0, F.col("_slot")).when(
+        F.col("_copies").isNotNull(), F.pmod(F.col("_slot"), F.col("_copies"))).otherwise(F.lit(0))
+    sliced = joined.select(*[spread.alias(c) if c == "_slot" else F.col(c) for c in columns], "_copies")
     # only keys that were cut need carries
-    cut_keys = heavy.levels[0].select("_hk") if heavy.levels else heavy.instants.select(F.col("_ik").alias("_hk"))
-    if heavy.levels and heavy.instants is not None:
-        cut_keys = cut_keys.union(heavy.instants.select("_ik"))
-    cut_keys = F.broadcast(cut_keys.distinct()) if _is_small(heavy) else cut_keys.distinct()
-    of_cut = sliced.where(F.col("_slot") >= 0).join(cut_keys, F.col("_k") == F.col("_hk"), "left_semi")
+    of_cut = sliced.where(F.col("_slot") >= 0).join(heavy.keys, F.col("_k") == F.col("_hot"), "left_semi")
     order = F.struct("_t", "_ord")
     summary = of_cut.groupBy("_k", "_slice").agg(
         F.max("_copies").alias("_copies"), F.max("_kind").alias("_has_label"),
@@ -202,7 +209,6 @@ def _slice_and_carry(rows: DataFrame, heavy: _Heavy, n_views: int) -> DataFrame:
            .otherwise(F.last(v, ignorenulls=True).over(upto)).alias(v) for v in views]).where(F.col("_has_label") == 1)
     slots = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)) - 1))
     carried = carried.withColumn("_slot", slots)
-    # one carry row per view: within one row a view could hide behind another one's NULL
     types = {f.name: f.dataType for f in rows.schema.fields}
     fixed = {"_kind": F.lit(0), "_ord": F.lit(0).cast("bigint")}
     carry_rows = carried.select(*[
@@ -212,10 +218,6 @@ def _slice_and_carry(rows: DataFrame, heavy: _Heavy, n_views: int) -> DataFrame:
     return kept.unionByName(carry_rows)
 
 
-def _is_small(heavy: _Heavy) -> bool:
-    return all("broadcast" in f._jdf.queryExecution().logical().toString() or True for f in heavy.levels)
-
-
 def retrieval_counts(result: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """One row: rows and distinct keys of the retrieved table and of the labels, and whether they agree."""
     def side(df: DataFrame, name: str) -> DataFrame:
