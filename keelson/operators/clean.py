@@ -62,14 +62,14 @@ def _with_bounds(long: DataFrame, ranges, count: str) -> DataFrame:
 
 
 def event_time(df: DataFrame, rules: CleaningRules, ordinal: str | None) -> Column:
-    """Parsed source time, else fallback start + row position in seconds."""
+    """Parsed source time, else fallback start + row position in seconds (if the ordinal is a number)."""
     source = rules.source_time
     parsed = None
     if source and source in df.columns:
         parsed = S.to_time(F.col(source), df.schema[source].dataType, rules.time_formats)
-    if ordinal is None:
+    if ordinal is None or not S.is_numeric(df.schema[ordinal].dataType):
         if parsed is None:
-            raise ValueError("without a source time an ordinal column is needed for the fallback time")
+            raise ValueError("without a source time a numeric ordinal is needed for the fallback time")
         return parsed
     ntz = parsed is not None and isinstance(df.schema[source].dataType, T.TimestampNTZType)
     start = F.lit(rules.fallback_start.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz") if ntz \

@@ -71,9 +71,9 @@ class Preprocessing:
         out: list = [SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")]
         cats = self.categorical
         if cats:
-            out.append(StringIndexerModel.from_arrays_of_labels(
-                [self.categories[c] for c in cats], inputCols=[f"_c_{c}" for c in cats],
-                outputCols=[f"_i_{c}" for c in cats], handleInvalid="keep"))
+            # one indexer per column: the form for several columns pads label lists of unequal length with nulls
+            out += [StringIndexerModel.from_labels(self.categories[c], inputCol=f"_c_{c}", outputCol=f"_i_{c}",
+                                                   handleInvalid="keep") for c in cats]
             out.append(OneHotEncoder(inputCols=[f"_i_{c}" for c in cats], outputCols=[f"_o_{c}" for c in cats],
                                      dropLast=True))
         inputs = [*[f"_n_{c}" for c in self.numeric], *[f"_o_{c}" for c in cats]]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +44,15 @@ def run_record(spark: SparkSession, run: RunSpec, group: str, result: FitResult,
 
 
 def run_grid(datasets: Mapping[str, tuple[DataFrame, FeatureSpec]], split: EntitySplit, target: str,
-             runs: Sequence[RunSpec], settings: Mapping[str, ForestSettings], group: str, registry: str,
+             runs: Sequence[RunSpec], settings: Mapping[str, ForestSettings], group: str, registry: str | None = None,
              artifacts: str | None = None, tags: Mapping[str, str] | None = None) -> DataFrame:
-    """Fit every run of the grid on the same split, append its record to the registry, return the group's records.
+    """Fit every run of the grid on the same split, append its record to the registry table, return the group's records.
 
     Each version is encoded and persisted once for all its runs; each fit is a distributed job.
     """
     require_grid(runs, sorted(datasets), sorted(settings))
     spark = next(iter(datasets.values()))[0].sparkSession
+    records: list[DataFrame] = []
     for version in dict.fromkeys(r.feature_version for r in runs):
         df, spec = datasets[version]
         rows = model_inputs(split.assign(df), spec, (split.key, "split", target))
@@ -63,10 +65,13 @@ def run_grid(datasets: Mapping[str, tuple[DataFrame, FeatureSpec]], split: Entit
                     save_model(result.model, f"{path}/model")
                     result.predictions().write.mode("overwrite").parquet(f"{path}/predictions")
                     result.importance().write.mode("overwrite").parquet(f"{path}/importance")
-                record = run_record(spark, run, group, result, path, tags)
-                record.write.mode("append").parquet(registry)
+                records.append(run_record(spark, run, group, result, path, tags))
+                if registry:
+                    records[-1].write.mode("append").parquet(registry)
         finally:
             prepared.close()
+    if not registry:
+        return reduce(DataFrame.unionByName, records)
     found = runs_of_group(spark.read.parquet(registry), group)
     n = found.count()
     if n != len(runs):
