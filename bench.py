@@ -41,7 +41,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("keelson-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g").getOrCreate())
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.driver.memory", "12g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
     spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_custkey").count().write.format("noop").mode("overwrite").save()

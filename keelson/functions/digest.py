@@ -1,7 +1,7 @@
 """Fingerprints of tables that do not depend on row order or partitioning.
 
 Each row gets the SHA-256 of an unambiguous text form. The table fingerprint is built from *sums* of the row hashes'
-words, so it is a plain hash-free aggregate: every task reduces its rows to sixteen bigints, and no row list is ever
+words, so it is a plain aggregate: every task reduces its rows to sixteen bigints, and no row list is ever
 collected or sorted, however many copies of a row exist. Sums, unlike XOR, also notice a row that occurs twice.
 """
 
@@ -15,52 +15,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.scalar import canon, is_fractional, micros
+from keelson.functions.scalar import is_fractional
 
 _WORDS = 8  # 8 words of 32 bits; halves of 16 bits are summed, so 2**47 rows fit a bigint
 
 
-def canonical_text(c: Column, dtype: T.DataType) -> Column:
-    """Text with one form per value: NaN as NULL, -0.0 as 0.0, times as microseconds."""
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def canonical_sql(name: str, dtype: T.DataType) -> str:
+    """SQL text of a column with one form per value: NaN as NULL, -0.0 as 0.0, times as microseconds."""
+    c = quoted(name)
     if is_fractional(dtype):
-        return (canon(c) + F.lit(0.0)).cast("string")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return micros(c, dtype).cast("string")
+        return f"string(CASE WHEN NOT isnan({c}) THEN {c} + 0.0D END)"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"string(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c}))"
+    if isinstance(dtype, T.TimestampType):
+        return f"string(unix_micros({c}))"
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(c, {"ignoreNullFields": "false"})
-    return c.cast("string")
+        return f"to_json({c}, map('ignoreNullFields', 'false'))"
+    return f"string({c})"
 
 
-def _field(c: Column, dtype: T.DataType) -> Column:
-    text = canonical_text(c, dtype)
-    return F.coalesce(F.concat(F.lit("V"), F.length(text).cast("string"), F.lit(":"), text), F.lit("N"))
+def canonical_text(name: str, dtype: T.DataType) -> Column:
+    return F.expr(canonical_sql(name, dtype))
 
 
 def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Hex SHA-256 of the row over ``columns`` in the given order."""
-    names = list(columns or df.columns)
-    return F.sha2(F.concat(*[_field(F.col(n), df.schema[n].dataType) for n in names]), 256)
+    """Hex SHA-256 of the row over ``columns`` in the given order; every field is NULL or carries its length."""
+    texts = [canonical_sql(n, df.schema[n].dataType) for n in (columns or df.columns)]
+    fields = [f"coalesce(concat('V', length({t}), ':', {t}), 'N')" for t in texts]
+    return F.expr(f"sha2(concat({', '.join(fields)}), 256)")
 
 
-def fingerprint_aggregates(digest: Column) -> list[Column]:
-    out = []
-    for i in range(_WORDS):
-        word = F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint")
-        out.append(F.sum(F.shiftright(word, 16)).alias(f"_h{i}"))
-        out.append(F.sum(word.bitwiseAND(F.lit(65535))).alias(f"_l{i}"))
-    return out
+def fingerprint_aggregates(digest: str) -> list[Column]:
+    """Sums of the digest's words, as SQL text: sixteen expressions cost sixteen calls into the JVM."""
+    words = [f"bigint(conv(substring({quoted(digest)}, {1 + 8 * i}, 8), 16, 10))" for i in range(_WORDS)]
+    return [F.expr(f"sum({cut}) AS _{half}{i}") for i, w in enumerate(words)
+            for half, cut in (("h", f"shiftright({w}, 16)"), ("l", f"({w} & 65535)"))]
 
 
 def combine_sums() -> Column:
-    sums = [F.coalesce(F.col(f"_{half}{i}"), F.lit(0)).cast("string") for i in range(_WORDS) for half in ("h", "l")]
-    return F.sha2(F.concat_ws(",", F.col("row_count").cast("string"), *sums), 256)
+    sums = [f"coalesce(_{half}{i}, 0)" for i in range(_WORDS) for half in ("h", "l")]
+    return F.expr(f"sha2(concat_ws(',', row_count, {', '.join(sums)}), 256)")
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Frame (by..., row_count, data_fingerprint): equal tables give equal values, one edited cell changes it."""
     names = list(columns or [c for c in df.columns if c not in by])
     hashed = df.select(*by, row_digest(df, names).alias("_digest"))
-    totals = hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *fingerprint_aggregates(F.col("_digest")))
+    totals = hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *fingerprint_aggregates("_digest"))
     return totals.select(*by, "row_count", combine_sums().alias("data_fingerprint"))
 
 

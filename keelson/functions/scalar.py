@@ -103,12 +103,12 @@ def row_sum(columns: Sequence[str]) -> Column:
 
 
 def all_present(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
+    return F.expr(" AND ".join(["true", *[f"`{c}` IS NOT NULL" for c in columns]]))
 
 
 def null_cells(columns: Sequence[str]) -> Column:
     """Number of NULL cells of the row among ``columns``."""
-    return reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in columns], F.lit(0).cast("bigint"))
+    return F.expr(" + ".join(["0L", *[f"int(`{c}` IS NULL)" for c in columns]]))
 
 
 def report_round(c: Column, digits: int) -> Column:

@@ -133,10 +133,13 @@ class _Heavy:
 def _find_heavy(rows: DataFrame, limit: int) -> _Heavy:
     """Cut over-full groups until each holds at most ``limit`` rows or one instant.
 
-    Counting reads key and time only and combines map-side. What is fetched has at most rows / limit lines.
+    Counting combines map-side; the usual case, no over-full key, is settled by reading the key columns alone. What is
+    fetched has at most rows / limit lines.
     """
     spark = rows.sparkSession
     key_type = rows.schema["_k"].dataType
+    if rows.where(F.col("_slot") == 0).groupBy("_k").count().where(F.col("count") > limit).isEmpty():
+        return _Heavy([], None, None)
     narrow = rows.where(F.col("_slot") == 0).select("_k", "_u", "_slice")
     levels: list[DataFrame] = []
     keys = set()

@@ -76,7 +76,7 @@ def build(processed: DataFrame, spec: FeatureSpec, check: bool = True) -> Featur
 
 
 def _texts(names: Sequence[str]) -> Column:
-    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    return F.lit(list(names)) if names else F.array().cast("array<string>")
 
 
 def manifest(data: DataFrame, spec: FeatureSpec, parent: DataFrame | None = None,
@@ -85,7 +85,7 @@ def manifest(data: DataFrame, spec: FeatureSpec, parent: DataFrame | None = None
     marked = data.select(row_digest(data).alias("_digest"), S.null_cells(spec.features).alias("_m"))
     # two aggregates: the fingerprint needs no shuffle, so its sums are kept out of the shuffle by key
     sums = marked.agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("missing_feature_values"),
-                      *fingerprint_aggregates(F.col("_digest")))
+                      *fingerprint_aggregates("_digest"))
     keys = key_counts(data, spec.entity_key).select(
         "row_count", F.col("distinct_keys").alias("entity_count"), F.col("superseded_rows").alias("duplicate_entity_count"))
     totals = one_row(keys, sums)

@@ -23,7 +23,6 @@ from keelson.session import bounded_collect
 from keelson.spec import ContractError, FeatureSpec, ForestSettings
 
 MAX_CATEGORIES = 10_000  # per feature version; one-hot columns beyond this are refused, not cut
-LAYOUT_PARTITIONS = 32
 
 
 @dataclass(frozen=True)
@@ -93,9 +92,11 @@ def fit_preprocessing(train: DataFrame, spec: FeatureSpec) -> Preprocessing:
     return Preprocessing(spec, medians, modes, {c: sorted(v for v, _ in vs) for c, vs in categories.items()})
 
 
-def fixed_layout(df: DataFrame, key: str, partitions: int = LAYOUT_PARTITIONS) -> DataFrame:
+def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Rows in a partitioning and order that depend on keys only: MLlib draws bootstrap samples per partition, so the
-    same rows in another layout would give another forest."""
+    same rows in another layout would give another forest. The default number of partitions is the session's
+    ``spark.sql.shuffle.partitions``; state it to repeat a fit on another cluster."""
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, F.col(key)).sortWithinPartitions(key)
 
 
@@ -169,7 +170,7 @@ class Prepared:
         self.rows.unpersist()
 
 
-def prepare(df: DataFrame, spec: FeatureSpec, key: str, target: str, partitions: int = LAYOUT_PARTITIONS,
+def prepare(df: DataFrame, spec: FeatureSpec, key: str, target: str, partitions: int | None = None,
             persist: bool = True) -> Prepared:
     """``df`` holds (key, split, target, features...)."""
     learned = fit_preprocessing(df.where(F.col("split") == "train"), spec)

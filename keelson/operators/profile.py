@@ -67,7 +67,7 @@ def value_counts(df: DataFrame, columns: Sequence[str], keep_text: bool = True)
     """(column_name, value, n) with NULL as a value of its own. Texts are replaced by their hash if not kept."""
     texts = []
     for c in columns:
-        text = canonical_text(F.col(c), df.schema[c].dataType)
+        text = canonical_text(c, df.schema[c].dataType)
         if not keep_text and isinstance(df.schema[c].dataType, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
             text = F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
         texts.append(text.alias(c))
@@ -122,21 +122,18 @@ def numeric_summary(df: DataFrame, approx: bool = False) -> DataFrame:
     schema = "column_name string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
     if not names:
         return df.sparkSession.createDataFrame([], schema)
-    long = to_long(df, names, "column_name")
-    aggregates = [F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-                  F.min("value").alias("min"), F.max("value").alias("max")]
+    probs = [0.25, 0.5, 0.75]
+    wide = df.select(*[S.canon(F.col(c).cast("double")).alias(c) for c in names])
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     if approx:
-        aggregates.append(F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000).alias("_q"))
-    stats = long.groupBy("column_name").agg(*aggregates)
-    if approx:
-        q = F.col("_q")
-    else:
-        found = column_quantiles(df, names, [0.25, 0.5, 0.75])
-        q = _lookup(names, [None] * len(names), "array<double>") if not found else F.try_element_at(
-            F.create_map(*[x for n in names for x in (F.lit(n), F.array(*[F.lit(v).cast("double") for v in found[n]]))]),
-            F.col("column_name"))
-    return stats.select("column_name", "count", "mean", "std", "min",
-                        *[q.getItem(i).alias(p) for i, p in enumerate(("p25", "p50", "p75"))], "max")
+        measures["quartiles"] = lambda c: F.percentile_approx(c, probs, 10_000)
+    # one aggregate without grouping: a row per task is shuffled
+    row = wide.agg(*[F.struct(*[f(c).alias(m) for m, f in measures.items()]).alias(c) for c in names]).first()
+    stats = [row[i] for i in range(len(names))]
+    quartiles = {n: s["quartiles"] or [None] * 3 for n, s in zip(names, stats)} if approx else column_quantiles(
+        wide, names, probs, [(s["count"], s["min"], s["max"]) for s in stats])
+    rows = [(n, s["count"], s["mean"], s["std"], s["min"], *quartiles[n], s["max"]) for n, s in zip(names, stats)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -229,15 +226,20 @@ def histogram(df: DataFrame, column: str, bins: int, series: str | None = None,
                            T.StructField("hi", T.DoubleType()), T.StructField("k", T.IntegerType()),
                            T.StructField("total", T.LongType())])
     grid = spark.createDataFrame(rows, schema)
-    # bounds are at most MAX_SERIES rows
-    near = data.join(F.broadcast(grid.select(F.col("series").alias("_s"), "lo", "hi", "k")),
-                     F.col("series").eqNullSafe(F.col("_s")), "inner")
+    if series:
+        # at most MAX_SERIES lines
+        near = data.join(F.broadcast(grid.select(F.col("series").alias("_s"), "lo", "hi", "k")),
+                         F.col("series").eqNullSafe(F.col("_s")), "inner")
+    else:
+        _, lo, hi, k, _ = rows[0] if rows else (None, 0.0, 0.0, 1, 0)
+        near = data.withColumns({"lo": F.lit(lo), "hi": F.lit(hi), "k": F.lit(k)})
     cell = F.when(F.col("lo") == F.col("hi"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("k")).cast("int") + 1, F.col("k")))
     counted = near.where(F.col("v").between(F.col("lo"), F.col("hi"))).groupBy("series", cell.alias("bin")).agg(
         F.count(F.lit(1)).alias("n")).select(F.col("series").alias("_s"), F.col("bin").alias("_b"), "n")
     every = grid.select("*", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("bin"))
-    full = every.join(counted, F.col("series").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b")), "left")
+    same = F.col("bin") == F.col("_b")
+    full = every.join(counted, (F.col("series").eqNullSafe(F.col("_s")) & same) if series else same, "left")
     width = (F.col("hi") - F.col("lo")) / F.col("k")
     out = full.select(
         "series", "bin", (F.col("lo") + width * (F.col("bin") - 1)).alias("bin_low"),

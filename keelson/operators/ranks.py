@@ -9,9 +9,10 @@ min = max. Results are exact; what reaches the driver is a histogram of fixed si
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +20,7 @@ from keelson.functions.scalar import canon
 from keelson.session import BROADCAST_ROWS, bounded_collect, ensure_checkpoint_dir
 
 MAX_SERIES = 10_000
-HISTOGRAM_ROWS = 200_000
+HISTOGRAM_ROWS = 32_768
 IN_TASK_VALUES = 1_000_000
 
 
@@ -44,19 +45,22 @@ def order_statistics(df: DataFrame, series: Sequence[str], value: str, ranks: di
                      histogram_rows: int = HISTOGRAM_ROWS) -> dict[tuple, dict[int, float]]:
     """Values at 0-based ``ranks`` of the sorted non-null values of each series.
 
-    ``bounds`` gives (count, min, max) per series. At most a histogram of ``histogram_rows`` rows, or ``in_task``
-    values known to be that few, is fetched in one pass.
+    ``bounds`` gives (count, min, max) per series. A pass reduces the data to at most ``histogram_rows`` cells, or to
+    single values when few are left, and fetches only the cells that hold a wanted rank.
     """
     spark = df.sparkSession
     integral = isinstance(df.schema[value].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     kind = T.DecimalType(38, 0) if integral else T.DoubleType()
     key_fields = [T.StructField(s, df.schema[s].dataType) for s in series]
+    schema = T.StructType([*key_fields, T.StructField("_i", T.IntegerType()), T.StructField("_low", kind),
+                           T.StructField("_high", kind), T.StructField("_below", T.LongType()),
+                           T.StructField("_ranks", T.ArrayType(T.LongType()))])
     data = df.where(F.col(value).isNotNull()).withColumn("_x", F.col(value).cast(kind))
 
     found: dict[tuple, dict[int, float]] = {k: {} for k in ranks}
     # open interval: (series key, low, high, rows below, rows inside, ranks searched)
     work = [(k, bounds[k][1], bounds[k][2], 0, bounds[k][0], sorted(set(r))) for k, r in ranks.items() if r]
-    while work:
+    while True:
         todo = []
         for key, low, high, below, inside, wanted in work:
             if low == high:
@@ -64,45 +68,46 @@ def order_statistics(df: DataFrame, series: Sequence[str], value: str, ranks: di
             else:
                 todo.append((key, low, high, below, inside, wanted))
         if not todo:
-            break
-        schema = T.StructType([*key_fields, T.StructField("_i", T.IntegerType()),
-                               T.StructField("_low", kind), T.StructField("_high", kind)])
-        rows = [(*t[0], i, _number(t[1], integral), _number(t[2], integral)) for i, t in enumerate(todo)]
-        intervals = F.broadcast(spark.createDataFrame(rows, schema))
+            return found
+        rows = [(*t[0], i, _number(t[1], integral), _number(t[2], integral), t[3], t[5]) for i, t in enumerate(todo)]
+        intervals = F.broadcast(spark.createDataFrame(rows, schema))  # a few lines per series
         same = F.lit(True)
         for s in series:
-            same = same & data[s].eqNullSafe(intervals[s])
+            nullable = any(t[0][list(series).index(s)] is None for t in todo)
+            same = same & (data[s].eqNullSafe(intervals[s]) if nullable else data[s] == intervals[s])
         hit = data.join(intervals, same & F.col("_x").between(F.col("_low"), F.col("_high")), "inner")
-        fetch_all = sum(t[4] for t in todo) <= in_task // 10
-        if fetch_all:
-            part = hit.groupBy("_i", F.col("_x").alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
-            cells = [(r["_i"], r["_cell"], r["n"], r["_cell"], r["_cell"]) for r in part.collect()]
+        if sum(t[4] for t in todo) <= in_task // 10:
+            cell = F.col("_x")
         else:
-            per_interval = max(16, histogram_rows // len(todo))
-            cell = _cell(F.col("_x"), F.col("_low"), F.col("_high"), per_interval, integral)
-            part = hit.groupBy("_i", cell.alias("_cell")).agg(
-                F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-            cells = [tuple(r) for r in part.collect()]
-        work = []
-        for i, (key, _, _, below, _, wanted) in enumerate(todo):
-            queue, seen = list(wanted), below
-            for _, _, n, lo, hi in sorted(c for c in cells if c[0] == i):
-                here = [r for r in queue if r < seen + n]
-                if here:
-                    work.append((key, lo, hi, seen, n, here))
-                    queue = [r for r in queue if r >= seen + n]
-                seen += n
-                if not queue:
-                    break
-    return found
+            cell = _cell(F.col("_x"), F.col("_low"), F.col("_high"), max(16, histogram_rows // len(todo)), integral)
+        part = hit.groupBy("_i", cell.alias("_cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+        earlier = Window.partitionBy("_i").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        placed = part.withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
+            F.broadcast(intervals.select("_i", "_below", "_ranks")), "_i", "inner")
+        start = F.col("_below") + F.col("_before")
+        here = F.filter("_ranks", lambda r: (r >= start) & (r < start + F.col("n")))
+        chosen = placed.select("_i", "lo", "hi", start.alias("start"), "n", here.alias("here")).where(F.size("here") > 0)
+        work = [(todo[r["_i"]][0], r["lo"], r["hi"], r["start"], r["n"], list(r["here"])) for r in chosen.collect()]
 
 
 def _number(x, integral: bool):
-    from decimal import Decimal
-
     return Decimal(int(x)) if integral else float(x)
 
 
+def _interpolate(found: dict[int, float], probs: Sequence[float], n: int) -> list[float]:
+    out = []
+    for p in probs:
+        h = p * (n - 1)
+        a, b = float(found[math.floor(h)]), float(found[math.ceil(h)])
+        out.append(a + (b - a) * (h - math.floor(h)))
+    return out
+
+
+def _wanted(probs: Sequence[float], n: int) -> list[int]:
+    return [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)]
+
+
 def exact_quantiles(df: DataFrame, probs: Sequence[float], series: Sequence[str] = ("series",), value: str = "value",
                     in_task: int = IN_TASK_VALUES, histogram_rows: int = HISTOGRAM_ROWS) -> DataFrame:
     """Frame (series..., quantiles array<double>) with linear interpolation, one row per series.
@@ -117,60 +122,66 @@ def exact_quantiles(df: DataFrame, probs: Sequence[float], series: Sequence[str]
         quantiles = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
         return df.groupBy(*series).agg(quantiles.alias("quantiles"))
 
-    def key(r):
-        return tuple(r[s] for s in series)
-
-    def position(p, n):
-        return p * (n - 1)
-
-    bounds = {key(r): (r["n"], r["lo"], r["hi"]) for r in rows if r["n"]}
-    ranks = {k: [f(position(p, b[0])) for p in probs for f in (math.floor, math.ceil)] for k, b in bounds.items()}
+    keys = {tuple(r[s] for s in series): r for r in rows}
+    bounds = {k: (r["n"], r["lo"], r["hi"]) for k, r in keys.items() if r["n"]}
+    ranks = {k: _wanted(probs, b[0]) for k, b in bounds.items()}
     found = order_statistics(df, series, value, ranks, bounds, in_task, histogram_rows)
-    out = []
-    for r in rows:
-        k, values = key(r), None
-        if r["n"]:
-            values = []
-            for p in probs:
-                h = position(p, r["n"])
-                a, b = float(found[k][math.floor(h)]), float(found[k][math.ceil(h)])
-                values.append(a + (b - a) * (h - math.floor(h)))
-        out.append((*k, values))
+    out = [(*k, _interpolate(found[k], probs, r["n"]) if r["n"] else None) for k, r in keys.items()]
     schema = T.StructType([*[T.StructField(s, df.schema[s].dataType) for s in series],
                            T.StructField("quantiles", T.ArrayType(T.DoubleType()))])
     return spark.createDataFrame(out, schema)
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> dict[str, list]:
-    """Quantiles per numeric column as a driver-side dictionary (catalog-sized)."""
-    rows = exact_quantiles(to_long(df, columns), probs, **options).collect()
-    found = {r["series"]: r["quantiles"] for r in rows}
-    return {c: found.get(c) or [None] * len(probs) for c in columns}
-
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], bounds: Sequence[tuple] | None = None,
+                     in_task: int = IN_TASK_VALUES, histogram_rows: int = HISTOGRAM_ROWS) -> dict[str, list]:
+    """Quantiles per numeric column as a driver-side dictionary (catalog-sized).
 
-def hash_threshold(df: DataFrame, hash_column: str, count: int, bucket_rows: int = 100_000) -> str | None:
-    """The hash that is ``count``-th in ascending order; ``count`` rows have a hash not above it.
-
-    Buckets by hash prefix are counted (at most 65,536 rows per pass reach the driver) until the bucket holding the
-    position is small; only that bucket is sorted.
+    ``bounds`` holds (count, min, max) per column, if the caller has them from an aggregate of its own.
+    """
+    doubles = df.select(*[canon(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)])
+    names = doubles.columns
+    if bounds is None:
+        row = doubles.agg(*[f(n) for n in names for f in (F.count, F.min, F.max)]).first()
+        bounds = [tuple(row[3 * i:3 * i + 3]) for i in range(len(names))]
+    missing = [None] * len(probs)
+    if sum(b[0] for b in bounds) <= in_task:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        row = doubles.agg(*[F.percentile(F.col(n), wanted) for n in names]).first()
+        return {c: row[i] or missing for i, c in enumerate(columns)}
+    # a number per column keeps the join key of the interval lookup a primitive
+    cells = [x for i, n in enumerate(names) for x in (F.lit(i), F.col(n))]
+    long = doubles.select(F.stack(F.lit(len(names)), *cells).alias("series", "value"))
+    known = {(i,): b for i, b in enumerate(bounds) if b[0]}
+    found = order_statistics(long, ["series"], "value", {k: _wanted(probs, b[0]) for k, b in known.items()}, known,
+                             in_task, histogram_rows)
+    return {c: _interpolate(found[(i,)], probs, bounds[i][0]) if (i,) in known else missing for i, c in enumerate(columns)}
+
+
+def hash_threshold(df: DataFrame, hash_column: str, count: int | Callable[[int], int],
+                   bucket_rows: int = 100_000) -> tuple[str | None, int]:
+    """(hash that is ``count``-th in ascending order, number of rows): ``count`` rows have a hash not above it.
+
+    ``count`` may be a function of the number of rows. Buckets by hash prefix are counted (at most 65,536 rows per pass
+    reach the driver) until the bucket holding the position is small; only that bucket is sorted.
     """
-    if count <= 0:
-        return None
-    prefix, left, h = "", count, F.col(hash_column)
+    prefix, left, total, h = "", 0, None, F.col(hash_column)
     while True:
         inside = df.where(h.startswith(prefix)) if prefix else df
         step = len(prefix) + 4
         sizes = sorted(tuple(r) for r in inside.groupBy(F.substring(h, 1, step)).count().collect())
-        for name, n in sizes:
-            if left <= n:
-                prefix, size = name, n
+        if total is None:
+            total = sum(n for _, n in sizes)
+            left = min(total, count(total) if callable(count) else count)
+            if left <= 0:
+                return None, total
+        for name, size in sizes:
+            if left <= size:
+                prefix = name
                 break
-            left -= n
-        else:
-            return sizes[-1][0] + "g" if sizes else None  # fewer rows than asked for: everything is below
+            left -= size
         if size <= bucket_rows or step >= 32:
             ordered = df.where(h.startswith(prefix)).select(h.alias("_h")).orderBy("_h").limit(left)
-            return ordered.agg(F.max("_h")).first()[0]
+            return ordered.agg(F.max("_h")).first()[0], total
 
 
 def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_position") -> DataFrame:

@@ -57,17 +57,20 @@ def split_entities(df: DataFrame, key: str, fraction: float, seed: int = 42, shu
         raise ContractError("the test fraction must be between 0 and 1")
     require_columns(df, [key], "population")
     keys = df.where(F.col(key).isNotNull()).select(key).distinct()
-    n = keys.count()
-    size = math.ceil(n * fraction)
-    if n - size < 1:
-        raise ContractError(f"{n} keys leave no training keys")
+
+    def test_size(n: int) -> int:
+        if n - math.ceil(n * fraction) < 1:
+            raise ContractError(f"{n} keys leave no training keys")
+        return math.ceil(n * fraction)
+
     if shuffle:
-        hashed = keys.select(stable_hash(F.col(key), seed).alias("_h"))
-        threshold = hash_threshold(hashed, "_h", size)
+        threshold, n = hash_threshold(keys.select(stable_hash(F.col(key), seed).alias("_h")), "_h", test_size)
+        size = test_size(n)
     else:
         if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType)):
             raise ContractError("a split in key order needs an integer key")
-        low, high = keys.agg(F.min(key), F.max(key)).first()
+        low, high, n = keys.agg(F.min(key), F.max(key), F.count(key)).first()
+        size = test_size(n)
         one = keys.select(F.lit(0).alias("series"), F.col(key).cast("bigint").alias("value"))
         rank = n - size
         found = order_statistics(one, ["series"], "value", {(0,): [rank]}, {(0,): (n, low, high)})
@@ -122,7 +125,7 @@ def split_frames(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows of a table with unique keys, the same ones under any partitioning."""
     hashed = df.withColumn("_h", stable_hash(F.col(key), seed))
-    threshold = hash_threshold(hashed.select("_h"), "_h", n)
+    threshold, _ = hash_threshold(hashed.select("_h"), "_h", n)
     if threshold is None:
         return df.limit(0)
     return hashed.where(F.col("_h") <= F.lit(threshold)).drop("_h")

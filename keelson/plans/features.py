@@ -11,6 +11,7 @@ from keelson.operators import retrieve as R
 from keelson.operators.asof import AsOfSide, as_of_join, retrieval_counts
 from keelson.operators.compare import row_differences
 from keelson.plans.common import DERIVED, FEATURES_SQL, TTL, V1, V2, customers, rounded, table
+from keelson.session import materialized
 from keelson.sources.tables import first_rows
 from keelson.spec import FeatureService, FeatureSource, FeatureView
 
@@ -38,13 +39,13 @@ INTEGRITY_SQL = """SELECT count(*) AS row_count, count(*) FILTER (o_custkey IS N
 
 
 def feature_manifest(spark, d):
-    base = customers(spark, d)
+    base = materialized(customers(spark, d))
     parent = B.build(base, V1, check=False).manifest()
     return B.build(base, V2, check=False).manifest(parent, True)
 
 
 def version_compare(spark, d):
-    base = customers(spark, d)
+    base = materialized(customers(spark, d))
     old, new = (B.build(base, s, check=False).manifest() for s in (V1, V2))
     one = B.compare_versions(old, new)
     return one.select("old_version", "new_version", "old_rows", "new_rows",
@@ -72,7 +73,7 @@ SELECT o_custkey, o_orderpriority, sum(x)::BIGINT AS a_rows, sum(y)::BIGINT AS b
 
 
 def training_dataset(spark, d):
-    rows = B.feature_table(customers(spark, d), V2).join(customers(spark, d).select("c_custkey", "latest_value"), "c_custkey")
+    rows = B.derive(customers(spark, d), V2.derived)
     return rounded(B.training_dataset(rows, V2, "latest_value", check=False), DERIVED)
 
 

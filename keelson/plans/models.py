@@ -20,6 +20,7 @@ from keelson.plans import features as PF
 from keelson.plans.common import (CUSTOMERS_SQL, DERIVED, EVENT_RULES, EVENTS_CLEAN_SQL, FEATURES_SQL, LEAKAGE, SPLIT_SQL, V1, V2, customers, r6,
                                   rounded, table)
 from keelson.presets import HP1
+from keelson.session import materialized
 from keelson.spec import ForestSettings, RunSpec
 
 SMALL = ForestSettings("small", trees=10, depth=5, min_leaf=5, feature_subset="sqrt")
@@ -115,7 +116,7 @@ def _split_rows(spark, d, spec):
     base = customers(spark, d)
     split, _ = split_entities(base, "c_custkey", 0.2, 42)
     rows = B.derive(split.assign(base), spec.derived)
-    return B.model_inputs(rows, spec, ("c_custkey", "split", "latest_value"))
+    return materialized(B.model_inputs(rows, spec, ("c_custkey", "split", "latest_value")))
 
 
 def impute_median_mode(spark, d):
@@ -247,7 +248,7 @@ def feature_importance(spark, d):
 
 def experiment_comparison(spark, d):
     """Two feature versions and two settings on one split, ranked."""
-    base = customers(spark, d)
+    base = materialized(customers(spark, d))
     split, _ = split_entities(base, "c_custkey", 0.2, 42)
     data = {s.version: (B.derive(base, s.derived), s) for s in (V1, V2)}
     grid = [RunSpec(f"{v}_{h}", v, h) for v in ("v1", "v2") for h in ("small", "flat")]
@@ -269,16 +270,16 @@ UNION ALL SELECT f.user_id, f.day, CASE WHEN g.user_id IS NULL THEN 'unexpected'
 
 def _all_checks(spark, d):
     orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
-    base = customers(spark, d)
+    base = materialized(customers(spark, d))
     old, new = (B.build(base, s, check=False).manifest() for s in (V1, V2))
     split, membership = split_entities(base, "c_custkey", 0.2, 42)
     cleaned = clean(table(spark, d, "events"), EVENT_RULES, "event_id").summary(median=False)
     labels = PF._labels(spark, d)
     history = retrieval_counts(PF.pit_join_ttl(spark, d), labels, "user_id")
     measured = M.split_metrics(M.regression_metrics(_scores(spark, d), "l_extendedprice", "predicted", ["model", "split"]), ["model"])
-    runs = measured.select(F.col("model").alias("run_name"), F.lit("v1").alias("feature_version"), F.col("model").alias("settings"),
-                           *[c for c in measured.columns if c != "model"])
-    best = M.require_best(measured, "model")
+    runs = materialized(measured.select(F.col("model").alias("run_name"), F.lit("v1").alias("feature_version"),
+                                        F.col("model").alias("settings"), *[c for c in measured.columns if c != "model"]))
+    best = M.require_best(runs, "run_name")
     return Q.union_all([
         Q.check_table(orders, "orders", [
             Q.NotNull("o_custkey"), Q.InRange("o_totalprice", 1000.0, 450000.0), Q.OneOf("o_orderstatus", ("F", "O")),
@@ -290,7 +291,7 @@ def _all_checks(spark, d):
         Q.version_checks(old, new, list(DERIVED), LEAKAGE),
         Q.history_checks(history, PF.lookup_check(spark, d)),
         Q.split_checks(base, membership, "c_custkey", split.test_entities),
-        Q.run_checks(runs, runs.select("feature_version"), runs.select("settings"), best["model"], best["test_rmse"]),
+        Q.run_checks(runs, runs.select("feature_version"), runs.select("settings"), best["run_name"], best["test_rmse"]),
     ])
 
 

@@ -29,3 +29,12 @@ def bounded_collect(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows")
     return rows
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """A frame used by several jobs, computed once and written to the checkpoint folder.
+
+    Unlike cached blocks, the files outlive lost executors, and the plan of later jobs starts from them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

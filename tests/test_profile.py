@@ -107,9 +107,10 @@ def test_hash_threshold_selects_exactly(spark):
     df = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("h"))
     ordered = sorted(r[0] for r in df.collect())
     for k in (1, 17, 2999, 3000):
-        assert R.hash_threshold(df, "h", k, bucket_rows=5) == ordered[k - 1]
-        assert R.hash_threshold(df, "h", k) == ordered[k - 1]
-    assert df.where(F.col("h") <= R.hash_threshold(df, "h", 5000)).count() == 3000
+        assert R.hash_threshold(df, "h", k, bucket_rows=5) == (ordered[k - 1], 3000)
+        assert R.hash_threshold(df, "h", lambda n: n - 3000 + k) == (ordered[k - 1], 3000)
+    assert R.hash_threshold(df, "h", 5000) == (ordered[-1], 3000)
+    assert R.hash_threshold(df, "h", 0) == (None, 3000)
 
 
 def test_histogram_edges(spark):
