@@ -20,7 +20,7 @@ from keelson.plans import features as PF
 from keelson.plans.common import (CUSTOMERS_SQL, DERIVED, EVENT_RULES, EVENTS_CLEAN_SQL, FEATURES_SQL, LEAKAGE, SPLIT_SQL, V1, V2, customers, r6,
                                   rounded, table)
 from keelson.presets import HP1
-from keelson.session import materialized
+from keelson.session import materialized, shared_path
 from keelson.spec import ForestSettings, RunSpec
 
 SMALL = ForestSettings("small", trees=10, depth=5, min_leaf=5, feature_subset="sqrt")
@@ -252,8 +252,15 @@ def experiment_comparison(spark, d):
     split, _ = split_entities(base, "c_custkey", 0.2, 42)
     data = {s.version: (B.derive(base, s.derived), s) for s in (V1, V2)}
     grid = [RunSpec(f"{v}_{h}", v, h) for v in ("v1", "v2") for h in ("small", "flat")]
-    records = X.run_grid(data, split, "latest_value", grid, {"small": SMALL, "flat": FLAT}, "example")
-    return X.comparison(records)
+    registry = shared_path(spark, "runs")
+    return X.comparison(X.run_grid(data, split, "latest_value", grid, {"small": SMALL, "flat": FLAT}, "example", registry))
+
+
+def stored_model_scores(spark, d):
+    """Scores of all customers by a model that was saved and loaded."""
+    path = shared_path(spark, "model")
+    L.save_model(_fit(spark, d, V1, FLAT).model, path)
+    return L.score(path, customers(spark, d), "c_custkey")
 
 
 def grid_gaps_users_days(spark, d):
@@ -355,6 +362,7 @@ QUERIES = {
     "forest_metrics": (forest_metrics, None),
     "feature_importance": (feature_importance, None),
     "experiment_comparison": (experiment_comparison, None),
+    "stored_model_scores": (stored_model_scores, None),
     "grid_gaps_users_days": (grid_gaps_users_days, GRID_GAPS_SQL),
     "quality_checks": (quality_checks, _quality_sql()),
     "quality_roll_up": (quality_roll_up, f"SELECT count(*) AS checks, count(*) FILTER (status = 'passed') AS passed, count(*) FILTER (status = 'failed') AS failed FROM ({_quality_sql()})"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from keelson.plans import cleaning, features, models, profiling
+from keelson.plans import cleaning, features, models, profiling, storage
 
-REGISTRY = {**profiling.QUERIES, **cleaning.QUERIES, **features.QUERIES, **models.QUERIES}
+REGISTRY = {**storage.QUERIES, **profiling.QUERIES, **cleaning.QUERIES, **features.QUERIES, **models.QUERIES}
 
 
 def queries() -> dict:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,9 @@ def materialized(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, for tables written by one job and read by the next."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tables/{name}-{uuid.uuid4().hex}"

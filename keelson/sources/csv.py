@@ -100,6 +100,15 @@ def read_archives(spark: SparkSession, path: str | list[str], schema: T.StructTy
                   pattern: str = "*.zip") -> DataFrame:
     """Rows of many archives, one archive per task row: schema columns, ``_source``, ``_line`` and ``_error``.
 
+    Archives are read whole by their task, up to 2 GB each. See :func:`parse_archives`.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
+    return parse_archives(files, schema, null_tokens)
+
+
+def parse_archives(files: DataFrame, schema: T.StructType, null_tokens: Iterable[str] = ()) -> DataFrame:
+    """Rows of the archives in (path, content).
+
     An unreadable archive yields one row with ``_error`` instead of failing the job; see :func:`require_archives`.
     The CSV is streamed in batches, and quoted line breaks survive.
     """
@@ -111,8 +120,7 @@ def read_archives(spark: SparkSession, path: str | list[str], schema: T.StructTy
             for file, content in zip(batch["path"], batch["content"]):
                 yield from _archive_rows(file, bytes(content), names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
-    raw = files.mapInPandas(parse, out)
+    raw = files.select("path", "content").mapInPandas(parse, out)
     return typed(raw, schema, null_tokens, ["_source", "_line", "_error"])
 
 

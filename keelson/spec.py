@@ -120,7 +120,7 @@ class FeatureSpec:
 
 @dataclass(frozen=True)
 class FeatureSource:
-    """A table, a Parquet folder or a frame, with the column that says when a row became true."""
+    """A table name, the path of a Parquet folder or a frame, with the column that says when a row became true."""
 
     data: Any
     event_time: str
@@ -129,9 +129,7 @@ class FeatureSource:
     def frame(self, spark) -> DataFrame:
         if isinstance(self.data, DataFrame):
             return self.data
-        if spark.catalog.tableExists(self.data):
-            return spark.table(self.data)
-        return spark.read.parquet(self.data)
+        return spark.read.parquet(self.data) if "/" in self.data else spark.table(self.data)
 
 
 @dataclass(frozen=True)
