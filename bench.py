@@ -1,7 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES (comma-separated names).
-Each query runs to completion into the no-op sink after one warm-up query.
+Each query runs to completion into the no-op sink, twice: "queries" holds the second run, "first_run" the first, which
+also pays for compilation.
 """
 
 from __future__ import annotations
@@ -46,15 +47,16 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
     spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_custkey").count().write.format("noop").mode("overwrite").save()
-    seconds = {}
+    first, seconds = {}, {}
     for name in names:
-        start = time.perf_counter()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 4)
-        print(f"{name} {seconds[name]}", file=sys.stderr)
+        for target in (first, seconds):
+            start = time.perf_counter()
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            target[name] = round(time.perf_counter() - start, 4)
+        print(f"{name} {first[name]} {seconds[name]}", file=sys.stderr)
     spark.stop()
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 4), "unit": "sec",
-                      "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
+                      "queries": seconds, "first_run": first, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
 
 
 if __name__ == "__main__":

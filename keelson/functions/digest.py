@@ -1,8 +1,11 @@
 """Fingerprints of tables that do not depend on row order or partitioning.
 
-Each row gets the SHA-256 of an unambiguous text form. The table fingerprint is built from *sums* of the row hashes'
-words, so it is a plain aggregate: every task reduces its rows to sixteen bigints, and no row list is ever
-collected or sorted, however many copies of a row exist. Sums, unlike XOR, also notice a row that occurs twice.
+Each row gets a hash, and the table fingerprint is the SHA-256 of *sums* of the hash words: a plain aggregate in which
+every task reduces its rows to a few bigints. No row list is ever collected or sorted, however many copies of a row
+exist. Sums, unlike XOR, also notice a row that occurs twice.
+
+The row hash is two seeded xxHash values (128 bits) of the typed columns, or, with ``portable=True``, the SHA-256 of a
+text form that other engines can rebuild, at several times the cost.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import types as T
 
 from keelson.functions.scalar import is_fractional
 
-_WORDS = 8  # 8 words of 32 bits; halves of 16 bits are summed, so 2**47 rows fit a bigint
+_DIGEST_WORDS = 8  # words of 32 bits; halves of 16 bits are summed, so 2**47 rows fit a bigint
 
 
 def quoted(name: str) -> str:
@@ -49,24 +52,54 @@ def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     return F.expr(f"sha2(concat({', '.join(fields)}), 256)")
 
 
-def fingerprint_aggregates(digest: str) -> list[Column]:
-    """Sums of the digest's words, as SQL text: sixteen expressions cost sixteen calls into the JVM."""
-    words = [f"bigint(conv(substring({quoted(digest)}, {1 + 8 * i}, 8), 16, 10))" for i in range(_WORDS)]
-    return [F.expr(f"sum({cut}) AS _{half}{i}") for i, w in enumerate(words)
-            for half, cut in (("h", f"shiftright({w}, 16)"), ("l", f"({w} & 65535)"))]
+def row_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """Two bigint hashes of the row. A mask of the NULL fields is hashed too, since xxhash64 skips NULLs."""
+    fields, empty = [], []
+    for n in columns or df.columns:
+        dtype, c = df.schema[n].dataType, quoted(n)
+        if is_fractional(dtype):
+            c = f"CASE WHEN NOT isnan({c}) THEN {c} END"
+        elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+            c = canonical_sql(n, dtype)
+        fields.append(c)
+        empty.append(f"if({c} IS NULL, '1', '0')")
+    body = ", ".join([f"concat({', '.join(empty)})", *fields])
+    return [F.expr(f"xxhash64({seed}, {body})").alias(f"_x{seed}") for seed in (1, 2)]
+
+
+def _sums(portable: bool) -> dict[str, str]:
+    """Name and SQL of the summed 16-bit pieces. SQL text, because each Column call costs several calls into the JVM."""
+    if not portable:
+        return {f"_p{x}{i}": f"sum(shiftrightunsigned(_x{x}, {16 * i}) & 65535)" for x in (1, 2) for i in range(4)}
+    out = {}
+    for i in range(_DIGEST_WORDS):
+        word = f"bigint(conv(substring(_digest, {1 + 8 * i}, 8), 16, 10))"
+        out[f"_h{i}"], out[f"_l{i}"] = f"sum(shiftright({word}, 16))", f"sum({word} & 65535)"
+    return out
+
+
+def hashed_rows(df: DataFrame, columns: Sequence[str], portable: bool = False) -> list[Column]:
+    """The columns that :func:`fingerprint_aggregates` needs."""
+    return [row_digest(df, columns).alias("_digest")] if portable else row_hashes(df, columns)
+
+
+def fingerprint_aggregates(portable: bool = False) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in _sums(portable).items()]
 
 
-def combine_sums() -> Column:
-    sums = [f"coalesce(_{half}{i}, 0)" for i in range(_WORDS) for half in ("h", "l")]
-    return F.expr(f"sha2(concat_ws(',', row_count, {', '.join(sums)}), 256)")
+def combine_sums(portable: bool = False) -> Column:
+    """Fingerprint from ``row_count`` and the sums."""
+    parts = ", ".join(f"coalesce({name}, 0)" for name in _sums(portable))
+    return F.expr(f"sha2(concat_ws(',', row_count, {parts}), 256)")
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (),
+                portable: bool = False) -> DataFrame:
     """Frame (by..., row_count, data_fingerprint): equal tables give equal values, one edited cell changes it."""
     names = list(columns or [c for c in df.columns if c not in by])
-    hashed = df.select(*by, row_digest(df, names).alias("_digest"))
-    totals = hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *fingerprint_aggregates("_digest"))
-    return totals.select(*by, "row_count", combine_sums().alias("data_fingerprint"))
+    totals = df.select(*by, *hashed_rows(df, names, portable)).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("row_count"), *fingerprint_aggregates(portable))
+    return totals.select(*by, "row_count", combine_sums(portable).alias("data_fingerprint"))
 
 
 def schema_fingerprint(schema: T.StructType) -> str:

@@ -24,7 +24,7 @@ from keelson.functions.scalar import micros
 from keelson.session import BROADCAST_ROWS
 from keelson.spec import ContractError, require_columns
 
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 1_000_000
 NULL_SPREAD = 256
 
 

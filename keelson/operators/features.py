@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions import scalar as S
-from keelson.functions.digest import combine_sums, fingerprint_aggregates, row_digest, schema_fingerprint
+from keelson.functions.digest import combine_sums, fingerprint_aggregates, hashed_rows, schema_fingerprint
 from keelson.operators import profile
 from keelson.operators.keys import key_counts
 from keelson.spec import ContractError, FeatureSpec, forbid_columns, require_columns
@@ -82,10 +82,10 @@ def _texts(names: Sequence[str]) -> Column:
 def manifest(data: DataFrame, spec: FeatureSpec, parent: DataFrame | None = None,
              same_population: bool | None = None) -> DataFrame:
     """One nested row describing a feature version, with the lineage to ``parent``'s manifest if given."""
-    marked = data.select(row_digest(data).alias("_digest"), S.null_cells(spec.features).alias("_m"))
+    marked = data.select(*hashed_rows(data, data.columns), S.null_cells(spec.features).alias("_m"))
     # two aggregates: the fingerprint needs no shuffle, so its sums are kept out of the shuffle by key
     sums = marked.agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("missing_feature_values"),
-                      *fingerprint_aggregates("_digest"))
+                      *fingerprint_aggregates())
     keys = key_counts(data, spec.entity_key).select(
         "row_count", F.col("distinct_keys").alias("entity_count"), F.col("superseded_rows").alias("duplicate_entity_count"))
     totals = one_row(keys, sums)

@@ -183,9 +183,9 @@ DERIVED_SUMMARY_SQL = f"WITH {FEATURES_SQL} " + " UNION ALL ".join(
 
 
 def data_fingerprint(spark, d):
-    """Fingerprint per market segment. Decimals, because engines print doubles differently."""
+    """Portable fingerprint per market segment. Decimals, because engines print doubles differently."""
     rows = table(spark, d, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
-    return fingerprint(rows, ["c_custkey", "c_name", "c_nationkey", "c_acctbal"], ["c_mktsegment"])
+    return fingerprint(rows, ["c_custkey", "c_name", "c_nationkey", "c_acctbal"], ["c_mktsegment"], portable=True)
 
 
 def _field(text):

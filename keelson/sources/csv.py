@@ -42,13 +42,19 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, n
              multi_line: bool = False, keep_bad: bool = False) -> DataFrame:
     """CSV files with a header and a declared schema. Malformed lines go to ``_bad`` when ``keep_bad`` is set.
 
-    Files are split among tasks; ``multi_line`` allows quoted line breaks, at the price of one task per file.
+    Columns are found by the header's names, which all files must share; further columns are ignored and, being pruned,
+    not parsed. Files are split among tasks; ``multi_line`` allows quoted line breaks, at the price of one task per file.
     """
-    text = _as_text(schema)
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns  # reads one line, infers nothing
+    missing = sorted(set(schema.fieldNames()) - set(header))
+    if missing:
+        raise ContractError(f"CSV is missing columns: {missing}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in header])
     if keep_bad:
         text = text.add(CORRUPT, T.StringType())
-    raw = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").option("multiLine", multi_line)
-           .option("columnNameOfCorruptRecord", CORRUPT).option("escape", '"').option("enforceSchema", False).csv(path))
+    raw = spark.read.schema(text).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+                                          enforceSchema=False).csv(path)
     return typed(raw, schema, null_tokens, [CORRUPT] if keep_bad else [])
 
 

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,28 +49,36 @@ def test_report_rounding_is_half_even(spark):
     assert one(df, S.report_round(F.col("x"), 0)) == [2.0, 4.0]
 
 
-def test_fingerprint_ignores_layout_and_notices_every_change(spark):
+@pytest.mark.parametrize("portable", [False, True])
+def test_fingerprint_ignores_layout_and_notices_every_change(spark, portable):
+    def mark(df):
+        return fingerprint(df, portable=portable).first()
+
     rows = [(i, float(i % 7) if i % 5 else None, f"v{i % 3}", datetime(2024, 1, 1, 0, 0, i % 60)) for i in range(10_000)]
     schema = "k long, x double, s string, t timestamp"
     base = spark.createDataFrame(rows, schema)
-    want = fingerprint(base).first()
+    want = mark(base)
     for n in (1, 4, 17):
-        assert fingerprint(base.orderBy(F.rand(n)).repartition(n)).first() == want
+        assert mark(base.orderBy(F.rand(n)).repartition(n)) == want
     edited = list(rows)
     edited[77] = (77, edited[77][1], "other", edited[77][3])
-    assert fingerprint(spark.createDataFrame(edited, schema)).first() != want
-    assert fingerprint(spark.createDataFrame(rows + rows[:1], schema)).first() != want
+    assert mark(spark.createDataFrame(edited, schema)) != want
+    assert mark(spark.createDataFrame(rows + rows[:1], schema)) != want
     assert len(want["data_fingerprint"]) == 64
 
 
-def test_fingerprint_has_one_form_per_value_and_no_ambiguity(spark):
+@pytest.mark.parametrize("portable", [False, True])
+def test_fingerprint_has_one_form_per_value_and_no_ambiguity(spark, portable):
+    def mark(df):
+        return fingerprint(df, portable=portable).first()
+
     a = spark.createDataFrame([(0.0, "a", "bc"), (None, "N", None)], "x double, p string, q string")
     b = spark.createDataFrame([(-0.0, "a", "bc"), (float("nan"), "N", None)], "x double, p string, q string")
     c = spark.createDataFrame([(0.0, "ab", "c"), (None, "N", None)], "x double, p string, q string")
     d = spark.createDataFrame([(0.0, "a", "bc"), (None, None, "N")], "x double, p string, q string")
-    assert fingerprint(a).first() == fingerprint(b).first()
-    assert fingerprint(a).first() != fingerprint(c).first()
-    assert fingerprint(a).first() != fingerprint(d).first()
+    assert mark(a) == mark(b)
+    assert mark(a) != mark(c)
+    assert mark(a) != mark(d)
 
 
 def test_schema_fingerprint_sees_names_types_and_order(spark):

@@ -50,6 +50,18 @@ def test_csv_files(spark, tmp_path):
     assert got == {1: (25.0, 'say "hi", now'), 2: (None, None), None: (10.0, "ok"), 4: (1.0, None)}
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("extra,note,age,k\nz,n,2.5,1\n")
+    assert [tuple(r) for r in C.read_csv(spark, str(tmp_path), SCHEMA).collect()] == [(1, 2.5, "n")]
+    with pytest.raises(ContractError, match="height"):
+        C.read_csv(spark, str(tmp_path), T.StructType([*SCHEMA.fields, T.StructField("height", T.DoubleType())]))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,age,note\n1,2,"two\nlines"\n')
+    assert C.read_csv(spark, str(tmp_path), SCHEMA, multi_line=True).first()["note"] == "two\nlines"
+
+
 def test_bad_lines_are_kept(spark, tmp_path):
     (tmp_path / "a.csv").write_text("k,age,note\n1,2,x\n1,2,x,y,z\n")
     df = C.read_csv(spark, str(tmp_path), SCHEMA, keep_bad=True).cache()
