@@ -90,12 +90,12 @@ def lookup(snapshot: DataFrame, wanted: DataFrame, key: str, features: Sequence[
     """(request columns..., features...): latest features per request, NULL for an unknown key.
 
     ``wanted`` is any frame with the key. If it came from a short list, ``ids`` pushes the keys into the snapshot scan,
-    which reads only matching files or buckets; the few hits are then broadcast. Otherwise the engine picks the join.
+    which reads only matching files or buckets. The engine picks the join.
     """
     require_columns(snapshot, [key, *features], "snapshot")
     hits = snapshot.select(F.col(key).alias("_key"), *features)
     if ids is not None and len(ids) <= PUSHED_KEYS:
-        hits = F.broadcast(hits.where(F.col("_key").isin(sorted({i for i in ids if i is not None}))))
+        hits = hits.where(F.col("_key").isin(sorted({i for i in ids if i is not None})))
     elif ids is not None and len(ids) <= BROADCAST_ROWS:
         hits = hits.join(F.broadcast(wanted.select(F.col(key).alias("_want")).distinct()), F.col("_key") == F.col("_want"),
                          "left_semi")
