@@ -55,8 +55,8 @@ def r6(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-def rounded(df: DataFrame, columns) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in columns})
+def rounded(df: DataFrame, columns, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
