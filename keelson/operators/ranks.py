@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.scalar import canon
-from keelson.session import BROADCAST_ROWS, bounded_collect, ensure_checkpoint_dir
+from keelson.session import bounded_collect, stored
 
 MAX_SERIES = 10_000
 HISTOGRAM_ROWS = 32_768
@@ -187,31 +187,12 @@ def hash_threshold(df: DataFrame, hash_column: str, count: int | Callable[[int],
 def with_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_position") -> DataFrame:
     """Dense 0-based position in the given order, which must be total.
 
-    Rows are range-partitioned and sorted, and that layout is checkpointed, so the partition sizes counted afterwards
-    belong to exactly the rows they are applied to, even if executors are lost in between.
+    Rows are range-partitioned and sorted, and written with their place in that layout, so the partition sizes counted
+    afterwards belong to exactly the rows they are applied to, even if executors are lost in between.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    laid_out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).checkpoint()
-    return _from_layout(laid_out, name)
-
-
-def _from_layout(laid_out: DataFrame, name: str) -> DataFrame:
-    marked = laid_out.withColumn("_row", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("_row"), 33)
-    sizes = sorted(tuple(r) for r in marked.groupBy(part.alias("p")).count().collect())
-    table = _running_offsets(laid_out.sparkSession, sizes, "_p bigint, _offset bigint")
-    inside = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    joined = marked.join(table, part == F.col("_p"), "inner")
-    return joined.select(*laid_out.columns, (F.col("_offset") + inside).alias(name))
-
-
-def _running_offsets(spark, sizes, schema: str) -> DataFrame:
-    offsets, total = [], 0
-    for part, n in sizes:
-        offsets.append((part, total))
-        total += n
-    frame = spark.createDataFrame(offsets, schema)
-    return F.broadcast(frame) if len(offsets) <= BROADCAST_ROWS else frame
+    laid_out = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    marked = stored(laid_out.withColumn("_row", F.monotonically_increasing_id()), "ordinal")
+    return _numbered(marked, F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)), df.columns, name)
 
 
 def with_file_ordinal(table: DataFrame, name: str = "row_position") -> DataFrame:
@@ -220,8 +201,14 @@ def with_file_ordinal(table: DataFrame, name: str = "row_position") -> DataFrame
     Uses the row index that the Parquet reader itself knows, so it does not depend on how files are split into tasks.
     """
     meta = F.col("_metadata")
-    marked = table.select("*", meta.getField("file_path").alias("_file"), meta.getField("row_index").alias("_index"))
-    sizes = sorted(tuple(r) for r in marked.groupBy("_file").count().collect())  # one row per file
-    offsets = _running_offsets(table.sparkSession, sizes, "_name string, _offset bigint")
-    joined = marked.join(offsets, F.col("_file") == F.col("_name"), "inner")
-    return joined.select(*table.columns, (F.col("_offset") + F.col("_index")).alias(name))
+    marked = table.select("*", meta.getField("file_path").alias("_file"), meta.getField("row_index").alias("_row"))
+    return _numbered(marked, F.col("_file"), F.col("_row"), table.columns, name)
+
+
+def _numbered(marked: DataFrame, part: Column, inside: Column, columns: list[str], name: str) -> DataFrame:
+    """Adds the sizes of the earlier parts to the position inside a part; one row per part is all the window sees."""
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = marked.groupBy(part.alias("_part")).count().select(
+        "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
+    return marked.withColumn("_of", part).join(offsets, F.col("_of") == F.col("_part"), "inner").select(
+        *columns, (F.col("_offset") + inside).alias(name))

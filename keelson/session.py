@@ -1,4 +1,4 @@
-"""Session helpers."""
+"""Session helpers: the shared folder for intermediate tables, and bounded driver-side results."""
 
 from __future__ import annotations
 
@@ -10,18 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_ROWS = 100_000
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; a temporary one only for an unset local session."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; only a local session without that setting gets one of its own."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="keelson-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="keelson-shared-"))
+    return sc.getCheckpointDir()
 
 
 def bounded_collect(df: DataFrame, limit: int, what: str) -> list:
@@ -32,16 +29,32 @@ def bounded_collect(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """A frame used by several jobs, computed once and written to the checkpoint folder.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for tables written by one job and read by the next."""
+    return f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """A frame used by several jobs, computed once and written as Parquet to the shared folder.
 
-    Unlike cached blocks, the files outlive lost executors, and the plan of later jobs starts from them.
+    Unlike cached blocks the files outlive lost executors, later plans start from them, and columns and filters are
+    pushed into their scans. ``release`` removes them.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = shared_path(df.sparkSession, name)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the checkpoint folder, for tables written by one job and read by the next."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/tables/{name}-{uuid.uuid4().hex}"
+def release(*frames: DataFrame) -> None:
+    """Delete the files behind frames made by ``stored``; for frames whose last reader has finished."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0].split("/tables/")[0] + "/tables/" + f.split("/tables/")[1].split("/")[0]
+                       for f in df.inputFiles() if "/tables/" in f}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """``stored`` under a default name."""
+    return stored(df, "step")
