@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import fingerprint, url_filter
+from keelson.llm import fingerprint, jaccard, language, quality, url_filter
 
 # fixed by the query's definition
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -18,10 +18,22 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"), words=3, numerator=90, denominator=100)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
 OP8_SQL = """
 WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
                                            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
@@ -38,7 +50,10 @@ FROM lowered p LEFT JOIN fitting f ON p.page_id = f.page_id AND f.rn = 1
 
 REGISTRY = {
     "op3_order_minhash": (op3_order_minhash, None),
+    "op6_jaccard_join": (op6_jaccard_join, None),
     "op8_url_filter": (op8_url_filter, OP8_SQL),
+    "op9_language_id": (op9_language_id, None),
+    "op10_quality_resampling": (op10_quality_resampling, None),
 }
 
 
