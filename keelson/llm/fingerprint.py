@@ -66,27 +66,28 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(filled == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / filled).cast("double")
 
 
-def with_next(docs: DataFrame, columns: list[str], order: str, bounds: int = BOUNDS) -> DataFrame:
-    """Adds ``next``, a struct of ``columns`` of the row that follows in descending ``order``; after the last, the first.
+def with_next(docs: DataFrame, column: str, derived: dict[str, Column], order: str, bounds: int = BOUNDS) -> DataFrame:
+    """Adds the derived columns, and ``next``: a struct of ``column`` and these of the row that follows in descending
+    ``order``; after the last, the first.
 
     Rows are cut into ranges of ``order`` at quantiles, so each range is one window of its own. A copy of the first row of
     the following range stands at the end of each range. Only the quantiles, at most ``bounds``, reach the driver. Nulls
-    in ``order`` come last; equal values are put in order by the columns.
+    in ``order`` come last; equal values are put in order by the column. What is derived is computed once for each row.
     """
+    columns = [column, *derived]
     cuts = docs.agg(F.percentile_approx(order, [i / bounds for i in range(1, bounds)], 20 * bounds).alias("c")).first()["c"] or []
     cuts = sorted(set(cuts))
     # a value equal to a cut belongs above it: all rows of one value share a range
     place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))) if cuts else F.lit(0)
-    row = F.struct(F.col(order).alias("order"), F.struct(*columns).alias("v"))
-    placed = docs.select(order, *columns, place.alias("range_no"), F.lit(False).alias("is_copy"))
+    placed = docs.select(order, column, place.alias("range_no"), F.lit(False).alias("is_copy"))
     # structs compare field by field with nulls first, so the largest one is the first in descending order
-    heads = placed.groupBy("range_no").agg(F.max(row).alias("head"))
+    heads = placed.groupBy("range_no").agg(F.max(F.struct(F.col(order).alias("order"), F.col(column).alias("v"))).alias("head"))
     one = Window.partitionBy(F.lit(0)).orderBy(F.desc("range_no"))  # at most `bounds` rows
     everything = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     copies = heads.select("range_no", F.coalesce(F.lead("head").over(one), F.first("head").over(everything)).alias("head")).select(
-        F.col("head.order").alias(order), *[F.col(f"head.v.{c}").alias(c) for c in columns], "range_no", F.lit(True).alias("is_copy"))
-    within = Window.partitionBy("range_no").orderBy("is_copy", F.desc(order), *[F.desc(c) for c in columns])
-    return placed.unionByName(copies).withColumn("next", F.lead(F.struct(*columns)).over(within)).where(~F.col("is_copy")).drop(
+        F.col("head.order").alias(order), F.col("head.v").alias(column), "range_no", F.lit(True).alias("is_copy"))
+    within = Window.partitionBy("range_no").orderBy("is_copy", F.desc(order), F.desc(column))
+    return placed.unionByName(copies).withColumns(derived).withColumn("next", F.lead(F.struct(*columns)).over(within)).where(~F.col("is_copy")).drop(
         "is_copy", "range_no")
 
 
@@ -98,8 +99,8 @@ def fingerprint_documents(docs: DataFrame, bins_log2: int = BINS_LOG2, chosen: i
     near_edited, near_next``, one row per input row. A null text counts as empty; rows with a null ``doc_id`` stand at the
     end of the order; rows with equal ``doc_id`` are ordered by text. A single row is its own next document.
     """
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sig", signature("text", bins_log2, chosen))
-    paired = with_next(own, ["text", "sig"], "doc_id")
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = with_next(own, "text", {"sig": signature("text", bins_log2, chosen)}, "doc_id")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = paired.select("doc_id", "sig", n.cast("long").alias("n_chars"), F.col("next.sig").alias("next_sig"),
