@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import fingerprint, jaccard, language, quality, url_filter
+from keelson.llm import byte_bpe, fingerprint, jaccard, language, packing, quality, token_files, url_filter
 
 # fixed by the query's definition
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -14,14 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.through_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"), words=3, numerator=90, denominator=100)
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
@@ -49,8 +62,11 @@ FROM lowered p LEFT JOIN fitting f ON p.page_id = f.page_id AND f.rn = 1
 """
 
 REGISTRY = {
+    "op2_packing": (op2_packing, None),
     "op3_order_minhash": (op3_order_minhash, None),
+    "op5_token_files": (op5_token_files, None),
     "op6_jaccard_join": (op6_jaccard_join, None),
+    "op7_byte_bpe": (op7_byte_bpe, None),
     "op8_url_filter": (op8_url_filter, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_quality_resampling": (op10_quality_resampling, None),
