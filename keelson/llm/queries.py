@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, fingerprint, jaccard, language, packing, quality, token_files, url_filter
+from keelson.llm import byte_bpe, fingerprint, jaccard, language, neighbours, packing, quality, token_files, url_filter
 
 # fixed by the query's definition
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -15,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -62,6 +67,7 @@ FROM lowered p LEFT JOIN fitting f ON p.page_id = f.page_id AND f.rn = 1
 """
 
 REGISTRY = {
+    "op1_nearest_neighbours": (op1_nearest_neighbours, None),
     "op2_packing": (op2_packing, None),
     "op3_order_minhash": (op3_order_minhash, None),
     "op5_token_files": (op5_token_files, None),
