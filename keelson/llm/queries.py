@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, fingerprint, jaccard, language, neighbours, packing, quality, token_files, url_filter
+from keelson.llm import byte_bpe, fingerprint, jaccard, katz, language, neighbours, packing, quality, token_files, url_filter
 
 # fixed by the query's definition
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -28,6 +28,10 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.through_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -70,6 +74,7 @@ REGISTRY = {
     "op1_nearest_neighbours": (op1_nearest_neighbours, None),
     "op2_packing": (op2_packing, None),
     "op3_order_minhash": (op3_order_minhash, None),
+    "op4_katz_backoff": (op4_katz_backoff, None),
     "op5_token_files": (op5_token_files, None),
     "op6_jaccard_join": (op6_jaccard_join, None),
     "op7_byte_bpe": (op7_byte_bpe, None),
