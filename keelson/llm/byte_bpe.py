@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 LEAF = 32
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 PAIRS = 200_000
 #: white space as the rank files' splitting pattern means it
 WHITE = "\t-\r \x85\xa0  -     　"

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 450_000
 LIBRARY_CHARS = 1 << 16
 GROUP_CHARS = 1 << 20
 OTHER = re.compile(r"[^\t\n\x0b\x0c\r -~\xa1-\xff]|<\|")
