@@ -7,7 +7,8 @@ DataFrames, and an inequality join would emit all (label, earlier feature) pairs
 A key may hold a third of all rows, so its window must not end in one task. Keys with more than ``max_group_rows`` rows
 are cut along time into slices, recursively while a slice is still too large; a slice starts with the newest feature
 row of the earlier slices (its *carry*). Rows that all share one instant cannot be cut along time: there the features
-collapse to the newest one and the labels are spread over several copies of it. Either way results stay complete.
+collapse to the newest one and the labels are spread over several copies of it. Either way results stay complete, and what describes the
+slices stays a table. Labels without a key or a time match nothing; they are appended without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.scalar import micros
-from keelson.session import BROADCAST_ROWS
+from keelson.session import stored
 from keelson.spec import ContractError, require_columns
 
 MAX_GROUP_ROWS = 1_000_000
-NULL_SPREAD = 256
+SPREAD = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -59,9 +60,11 @@ def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]
     if taken:
         raise ContractError(f"output columns would repeat: {taken}")
 
+    known = F.col(key).isNotNull() & F.col(time).isNotNull()
+    apart, labels = labels.where(~known), labels.where(known)
     rows = _unite(labels, key, time, sides)
     heavy = _find_heavy(rows, max_group_rows)
-    if heavy.keys:
+    if heavy is not None:
         rows = _slice_and_carry(_unite(labels, key, time, sides, spread=True), heavy, len(sides))
     newest = Window.partitionBy("_k", "_slice", "_slot").orderBy(
         F.asc_nulls_first("_t"), "_kind", "_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -75,14 +78,16 @@ def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]
         if side.time_as:
             out.append(F.when(fresh, view.getField("_ft")).alias(side.time_as))
         out += [F.when(fresh, view.getField(f"f{j}")).alias(n) for j, n in enumerate(side.outputs)]
-    return matched.where(F.col("_kind") == 1).select(*out)
+    found = matched.where(F.col("_kind") == 1).select(*out)
+    types = {f.name: f.dataType for f in found.schema.fields}
+    return found.unionByName(apart.select(*labels.columns, *[F.lit(None).cast(types[c]).alias(c) for c in found.columns if c not in labels.columns]))
 
 
 def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide], spread: bool = False) -> DataFrame:
     """Rows (_k, _t, _u, _kind, _ord, _slice, _slot, _label, _v0, ...); _kind 0 is a feature row, 1 a label row.
 
-    ``_slot`` is negative for labels that cannot match, which stay apart from features. With ``spread`` the other
-    labels carry a number to spread them by: it depends on content and map partition only, so a retried task repeats it.
+    With ``spread`` labels carry a number in ``_slot`` to spread them by: it depends on content and map partition only, so
+    a retried task repeats it.
     """
     key_type, time_type = labels.schema[key].dataType, labels.schema[time].dataType
     label_type = T.StructType(labels.schema.fields)
@@ -99,14 +104,12 @@ def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide], sp
     def empty(dtype):
         return F.lit(None).cast(dtype)
 
-    known = F.col(key).isNotNull() & F.col(time).isNotNull()
-    apart = -1 - F.pmod(F.spark_partition_id(), F.lit(NULL_SPREAD))
     mixed = F.xxhash64(*labels.columns) + F.spark_partition_id()
-    slot = F.pmod(mixed, F.lit(1 << 20)).cast("int") if spread else F.lit(0)
+    slot = F.pmod(mixed, F.lit(SPREAD)).cast("int") if spread else F.lit(0)
     label_rows = labels.select(
         F.col(key).cast(key_type).alias("_k"), F.col(time).alias("_t"), micros(F.col(time), time_type).alias("_u"),
         F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_ord"), F.lit(0).cast("bigint").alias("_slice"),
-        F.when(known, slot).otherwise(apart).alias("_slot"),
+        slot.alias("_slot"),
         F.struct(*labels.columns).cast(label_type).alias("_label"),
         *[empty(t).alias(f"_v{i}") for i, t in enumerate(view_types)])
     rows = label_rows
@@ -125,55 +128,34 @@ def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide], sp
 
 @dataclass
 class _Heavy:
-    levels: list[DataFrame]     # (key, parent slice, low, width): how an over-full slice is cut
-    instants: DataFrame | None  # (key, slice, copies): over-full slices of one instant
-    keys: DataFrame | None      # the keys that have such slices
+    levels: list[DataFrame]  # (_hk, _parent, _low, _width): how an over-full slice is cut
+    instants: DataFrame      # (_ik, _islice, _copies): over-full slices of one instant
+    keys: DataFrame          # (_hot): the keys that have such slices
 
 
-def _find_heavy(rows: DataFrame, limit: int) -> _Heavy:
-    """Cut over-full groups until each holds at most ``limit`` rows or one instant.
+def _find_heavy(rows: DataFrame, limit: int) -> _Heavy | None:
+    """Cut over-full groups until each holds at most ``limit`` rows or one instant; None if there are none.
 
-    Counting combines map-side; the usual case, no over-full key, is settled by reading the key columns alone. What is
-    fetched has at most rows / limit lines.
+    Counting combines map-side; the usual case, no over-full key, is settled by reading the key columns alone. The cuts
+    are tables in the shared folder, at most rows / limit lines each, and every level shortens the slices it cuts.
     """
-    spark = rows.sparkSession
-    key_type = rows.schema["_k"].dataType
-    if rows.where(F.col("_slot") == 0).groupBy("_k").count().where(F.col("count") > limit).isEmpty():
-        return _Heavy([], None, None)
-    narrow = rows.where(F.col("_slot") == 0).select("_k", "_u", "_slice")
+    if rows.groupBy("_k").count().where(F.col("count") > limit).isEmpty():
+        return None
+    narrow = rows.select("_k", "_u", "_slice")
     levels: list[DataFrame] = []
-    keys = set()
+    keys = None
     while True:
-        full = narrow.groupBy("_k", "_slice").agg(
-            F.count(F.lit(1)).alias("n"), F.min("_u").alias("lo"), F.max("_u").alias("hi")).where(F.col("n") > limit)
-        found = full.collect()
-        keys.update(r["_k"] for r in found)
-        wide = [r for r in found if r["lo"] < r["hi"]]
-        if not wide:
+        full = stored(narrow.groupBy("_k", "_slice").agg(
+            F.count(F.lit(1)).alias("n"), F.min("_u").alias("lo"), F.max("_u").alias("hi")).where(F.col("n") > limit), "slices")
+        keys = full.select("_k") if keys is None else keys.unionByName(full.select("_k"))
+        wide = full.where("lo < hi")
+        if wide.isEmpty():
             break
-        cuts = []
-        for r in wide:
-            parts = min(65_536, 4 * (r["n"] // limit + 1))
-            cuts.append((r["_k"], r["_slice"], r["lo"], max(1, (r["hi"] - r["lo"]) // parts + 1)))
-        schema = T.StructType([T.StructField("_hk", key_type), T.StructField("_parent", T.LongType()),
-                               T.StructField("_low", T.LongType()), T.StructField("_width", T.LongType())])
-        levels.append(_small(spark.createDataFrame(cuts, schema), len(cuts)))
+        width = F.floor((F.col("hi") - F.col("lo")) / (4 * (F.floor(F.col("n") / limit) + 1))) + 1
+        levels.append(wide.select(F.col("_k").alias("_hk"), F.col("_slice").alias("_parent"), F.col("lo").alias("_low"), width.alias("_width")))
         narrow = _assign(narrow, levels[-1:])
-    instants = None
-    if found:
-        schema = T.StructType([T.StructField("_ik", key_type), T.StructField("_islice", T.LongType()),
-                               T.StructField("_copies", T.IntegerType())])
-        rows_ = [(r["_k"], r["_slice"], min(100_000, r["n"] // limit + 1)) for r in found]
-        instants = _small(spark.createDataFrame(rows_, schema), len(rows_))
-    heavy_keys = None
-    if keys:
-        schema = T.StructType([T.StructField("_hot", key_type)])
-        heavy_keys = _small(spark.createDataFrame([(k,) for k in keys], schema), len(keys))
-    return _Heavy(levels, instants, heavy_keys)
-
-
-def _small(df: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+    instants = full.select(F.col("_k").alias("_ik"), F.col("_slice").alias("_islice"), (F.floor(F.col("n") / limit) + 1).cast("int").alias("_copies"))
+    return _Heavy(levels, instants, keys.select(F.col("_k").alias("_hot")).distinct())
 
 
 def _assign(rows: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
@@ -190,15 +172,11 @@ def _slice_and_carry(rows: DataFrame, heavy: _Heavy, n_views: int) -> DataFrame:
     columns = rows.columns
     views = [f"_v{i}" for i in range(n_views)]
     sliced = _assign(rows, heavy.levels)
-    if heavy.instants is not None:
-        joined = sliced.join(heavy.instants, (F.col("_k") == F.col("_ik")) & (F.col("_slice") == F.col("_islice")), "left")
-    else:
-        joined = sliced.withColumn("_copies", F.lit(None).cast("int"))
-    spread = F.when(F.col("_slot") < 0, F.col("_slot")).when(
-        F.col("_copies").isNotNull(), F.pmod(F.col("_slot"), F.col("_copies"))).otherwise(F.lit(0))
+    joined = sliced.join(heavy.instants, (F.col("_k") == F.col("_ik")) & (F.col("_slice") == F.col("_islice")), "left")
+    spread = F.when(F.col("_copies").isNotNull(), F.pmod(F.col("_slot"), F.col("_copies"))).otherwise(F.lit(0))
     sliced = joined.select(*[spread.alias(c) if c == "_slot" else F.col(c) for c in columns], "_copies")
     # only keys that were cut need carries
-    of_cut = sliced.where(F.col("_slot") >= 0).join(heavy.keys, F.col("_k") == F.col("_hot"), "left_semi")
+    of_cut = sliced.join(heavy.keys, F.col("_k") == F.col("_hot"), "left_semi")
     order = F.struct("_t", "_ord")
     summary = of_cut.groupBy("_k", "_slice").agg(
         F.max("_copies").alias("_copies"), F.max("_kind").alias("_has_label"),

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from keelson.functions import scalar as S
 from keelson.operators.keys import content_ordinal, latest_aggregate
 from keelson.operators.ranks import exact_quantiles
+from keelson.session import stored
 from keelson.spec import CleaningRules, require_columns
 
 
@@ -78,9 +79,20 @@ def event_time(df: DataFrame, rules: CleaningRules, ordinal: str | None) -> Colu
     return fallback if parsed is None else F.coalesce(parsed, fallback)
 
 
+def integer_key(df: DataFrame, column: str) -> Column:
+    """The key as bigint: integers and integer texts exactly, other numbers and number texts truncated towards zero."""
+    dtype, key = df.schema[column].dataType, F.col(column)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return key.cast("bigint")
+    number = S.to_number(key, dtype).try_cast("bigint")
+    if isinstance(dtype, T.StringType):
+        return F.when(key.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(F.regexp_replace(key, r"\s", "")).try_cast("bigint")).otherwise(number)
+    return number
+
+
 @dataclass
 class CleanResult:
-    """Lazy results of one cleaning plan. ``per_key`` feeds all others: persist it when several are used."""
+    """Lazy results of one cleaning plan. ``per_key`` feeds all others: use ``shared()`` when several are wanted."""
 
     rules: CleaningRules
     columns: list[str]
@@ -88,6 +100,10 @@ class CleanResult:
     data: DataFrame
     labels: DataFrame
 
+    def shared(self) -> CleanResult:
+        """The same results from a stored per-key aggregate, so that the raw table is read and shuffled once."""
+        return _results(self.rules, self.columns, stored(self.per_key, "per-key"))
+
     @property
     def predictors(self) -> DataFrame:
         return self.data.drop(*self.rules.components, self.rules.label)
@@ -153,7 +169,8 @@ def clean(df: DataFrame, rules: CleaningRules, ordinal: str | None = None) -> Cl
     Without it, ties are decided by row content.
     """
     require_columns(df, [rules.entity_key, *rules.components], "raw table")
-    step = coerce_numbers(normalize_text(df, rules.categorical, rules.no_answer), rules.numeric)
+    numeric = [c for c in rules.numeric if c != rules.entity_key]
+    step = coerce_numbers(normalize_text(df, rules.categorical, rules.no_answer), numeric)
     floats = [f.name for f in step.schema.fields if S.is_fractional(f.dataType) and f.name not in rules.numeric]
     step = step.withColumns({c: S.canon(F.col(c)) for c in floats})
 
@@ -174,8 +191,7 @@ def clean(df: DataFrame, rules: CleaningRules, ordinal: str | None = None) -> Cl
         cleaned[c] = value
 
     when = event_time(step, rules, ordinal)
-    # long truncates towards zero, like an integer conversion of the key
-    key = F.col(rules.entity_key).try_cast("bigint")
+    key = integer_key(step, rules.entity_key)
     columns = [c for c in dict.fromkeys([*df.columns, rules.event_time]) if c != ordinal]
     flat = step.withColumns({**cleaned, **hits, rules.event_time: when, rules.entity_key: key})
     tie = F.col(ordinal) if ordinal else content_ordinal([c for c in columns if c != rules.entity_key])
@@ -189,8 +205,10 @@ def clean(df: DataFrame, rules: CleaningRules, ordinal: str | None = None) -> Cl
         part = F.col("_latest").getField(c)
         complete = complete & part.isNotNull()
         label = part if label is None else label + part
-    per_key = per_key.withColumns({"_complete": complete, "_label": F.lit(None) if label is None else label})
+    return _results(rules, columns, per_key.withColumns({"_complete": complete, "_label": F.lit(None) if label is None else label}))
+
 
+def _results(rules: CleaningRules, columns: list[str], per_key: DataFrame) -> CleanResult:
     kept = per_key.where(F.col(rules.entity_key).isNotNull() & F.col("_complete"))
     outputs = [F.col(c) if c == rules.entity_key else F.col("_latest").getField(c).alias(c) for c in columns]
     data = kept.select(*outputs, F.col("_label").alias(rules.label))

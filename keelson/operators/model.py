@@ -19,11 +19,8 @@ from pyspark.storagelevel import StorageLevel
 from keelson.operators.metrics import METRICS, regression_metrics, residuals
 from keelson.operators.profile import value_counts
 from keelson.operators.ranks import column_quantiles
-from keelson.session import bounded_collect
 from keelson.spec import ContractError, FeatureSpec, ForestSettings
 
-MAX_CATEGORIES = 10_000  # per feature version; one-hot columns beyond this are refused, not cut
-
 
 @dataclass(frozen=True)
 class Preprocessing:
@@ -86,7 +83,8 @@ def fit_preprocessing(train: DataFrame, spec: FeatureSpec) -> Preprocessing:
     modes, categories = {}, {}
     if spec.categorical:
         counts = value_counts(train, spec.categorical).where(F.col("value").isNotNull())
-        for r in bounded_collect(counts, MAX_CATEGORIES, "categories"):
+        # the encoder's dictionary is part of the model, which lives on the driver whatever its size
+        for r in counts.toLocalIterator():
             categories.setdefault(r["column_name"], []).append((r["value"], r["n"]))
         modes = {c: min(vs, key=lambda v: (-v[1], v[0]))[0] for c, vs in categories.items()}
     return Preprocessing(spec, medians, modes, {c: sorted(v for v, _ in vs) for c, vs in categories.items()})

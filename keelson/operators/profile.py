@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from keelson.functions import scalar as S
 from keelson.functions.digest import canonical_text, row_digest
-from keelson.operators.ranks import MAX_SERIES, column_quantiles, exact_quantiles, to_long
-from keelson.session import bounded_collect
+from keelson.operators.ranks import column_quantiles, exact_quantiles, to_long
+from keelson.session import stored
 from keelson.spec import FeatureSpec
 
 LONG_TEXT = 64
@@ -131,7 +131,7 @@ def numeric_summary(df: DataFrame, approx: bool = False) -> DataFrame:
     row = wide.agg(*[F.struct(*[f(c).alias(m) for m, f in measures.items()]).alias(c) for c in names]).first()
     stats = [row[i] for i in range(len(names))]
     quartiles = {n: s["quartiles"] or [None] * 3 for n, s in zip(names, stats)} if approx else column_quantiles(
-        wide, names, probs, [(s["count"], s["min"], s["max"]) for s in stats])
+        wide, names, probs)
     rows = [(n, s["count"], s["mean"], s["std"], s["min"], *quartiles[n], s["max"]) for n, s in zip(names, stats)]
     return df.sparkSession.createDataFrame(rows, schema)
 
@@ -209,37 +209,28 @@ def histogram(df: DataFrame, column: str, bins: int, series: str | None = None,
               high: float | None = None) -> DataFrame:
     """(series?, bin, bin_low, bin_high, n, density) with equal-width bins over [min, max] of each series.
 
-    The maximum belongs to the last bin; bins are 1-based and empty ones are listed. A constant series has one bin.
+    The maximum belongs to the last bin; bins are 1-based and empty ones are listed. A constant series has one bin. Infinite
+    values, and those outside a given range, take no part, in the density neither.
     """
-    spark = df.sparkSession
     value = S.canon(F.col(column).cast("double"))
     data = df.select(*([F.col(series).alias("series")] if series else [F.lit("all").alias("series")]), value.alias("v"))
-    data = data.where(F.col("v").isNotNull())
-    edges = bounded_collect(
-        data.groupBy("series").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("total")),
-        MAX_SERIES, "histogram series")
-    rows = []
-    for e in edges:
-        lo, hi = e["lo"] if low is None else low, e["hi"] if high is None else high
-        rows.append((e["series"], float(lo), float(hi), 1 if lo == hi else bins, e["total"]))
-    schema = T.StructType([T.StructField("series", data.schema["series"].dataType), T.StructField("lo", T.DoubleType()),
-                           T.StructField("hi", T.DoubleType()), T.StructField("k", T.IntegerType()),
-                           T.StructField("total", T.LongType())])
-    grid = spark.createDataFrame(rows, schema)
-    if series:
-        # at most MAX_SERIES lines
-        near = data.join(F.broadcast(grid.select(F.col("series").alias("_s"), "lo", "hi", "k")),
-                         F.col("series").eqNullSafe(F.col("_s")), "inner")
-    else:
-        _, lo, hi, k, _ = rows[0] if rows else (None, 0.0, 0.0, 1, 0)
-        near = data.withColumns({"lo": F.lit(lo), "hi": F.lit(hi), "k": F.lit(k)})
+    data = data.where(F.col("v").isNotNull() & (F.abs("v") < float("inf")))
+    lo = F.min("v") if low is None else F.lit(float(low))
+    hi = F.max("v") if high is None else F.lit(float(high))
+    if low is not None:
+        data = data.where(F.col("v") >= low)
+    if high is not None:
+        data = data.where(F.col("v") <= high)
+    edges = data.groupBy("series").agg(lo.alias("lo"), hi.alias("hi"), F.count(F.lit(1)).alias("total"))
+    grid = stored(edges.withColumn("k", F.when(F.col("lo") == F.col("hi"), F.lit(1)).otherwise(F.lit(bins))), "edges")
+    named = grid.select(F.col("series").alias("_s"), "lo", "hi", "k")
+    near = data.join(named, F.col("series").eqNullSafe(F.col("_s")), "inner")
     cell = F.when(F.col("lo") == F.col("hi"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("k")).cast("int") + 1, F.col("k")))
-    counted = near.where(F.col("v").between(F.col("lo"), F.col("hi"))).groupBy("series", cell.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")).select(F.col("series").alias("_s"), F.col("bin").alias("_b"), "n")
+    counted = near.groupBy("series", cell.alias("bin")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("series").alias("_s"), F.col("bin").alias("_b"), "n")
     every = grid.select("*", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("bin"))
-    same = F.col("bin") == F.col("_b")
-    full = every.join(counted, (F.col("series").eqNullSafe(F.col("_s")) & same) if series else same, "left")
+    full = every.join(counted, F.col("series").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b")), "left")
     width = (F.col("hi") - F.col("lo")) / F.col("k")
     out = full.select(
         "series", "bin", (F.col("lo") + width * (F.col("bin") - 1)).alias("bin_low"),

@@ -1,27 +1,23 @@
 """Exact order statistics, quantiles and row positions without sorting a table in one task.
 
-``percentile`` keeps one counter per distinct value in a single task, and a global ``row_number`` sorts everything in
-one task. Here the wanted ranks are found by *zooming*: a map-side combined histogram (count, min, max per cell) tells
-which cell holds a rank, and the next pass cuts only that cell. A hot value ends the search at once, since its cell has
-min = max. Results are exact; what reaches the driver is a histogram of fixed size.
+Quantiles take two passes at any size. The first aggregates a sketch of bounded size for each series and brackets the
+wanted ranks by values of the sketch, further out than its error can reach. The second counts the rows below a bracket and
+the rows of each value inside it, combined before the shuffle, so that a hot value is one row for each task; a running sum
+over the few values inside gives the exact ranks. Only values are compared, so infinities are values like others.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keelson.functions.scalar import canon
 from keelson.session import bounded_collect, stored
 
-MAX_SERIES = 10_000
-HISTOGRAM_ROWS = 32_768
-IN_TASK_VALUES = 1_000_000
+ACCURACY = 10_000
+MARGINS = (0.0, 4e-4, 2e-3, 1e-2, 0.1)
 
 
 def to_long(df: DataFrame, columns: Sequence[str], series: str = "series", value: str = "value",
@@ -31,130 +27,103 @@ def to_long(df: DataFrame, columns: Sequence[str], series: str = "series", value
     return df.select(*keep, *doubles).unpivot(list(keep), list(columns), series, value)
 
 
-def _cell(value: Column, low: Column, high: Column, cells: int, integral: bool) -> Column:
-    if integral:
-        width = F.greatest(F.lit(1).cast("decimal(38,0)"),
-                           F.ceil((high - low + F.lit(1)) / F.lit(cells)).cast("decimal(38,0)"))
-        return F.floor((value - low) / width).cast("bigint")
-    raw = F.floor((value - low) * (F.lit(float(cells)) / (high - low)))
-    return F.least(raw, F.lit(cells - 1)).cast("bigint")
+def _grid(probs: Sequence[float]) -> list[float]:
+    return sorted({min(1.0, max(0.0, p + s * m)) for p in probs for m in MARGINS for s in (-1, 1)})
 
 
-def order_statistics(df: DataFrame, series: Sequence[str], value: str, ranks: dict[tuple, Sequence[int]],
-                     bounds: dict[tuple, tuple], in_task: int = IN_TASK_VALUES,
-                     histogram_rows: int = HISTOGRAM_ROWS) -> dict[tuple, dict[int, float]]:
-    """Values at 0-based ``ranks`` of the sorted non-null values of each series.
-
-    ``bounds`` gives (count, min, max) per series. A pass reduces the data to at most ``histogram_rows`` cells, or to
-    single values when few are left, and fetches only the cells that hold a wanted rank.
-    """
-    spark = df.sparkSession
-    integral = isinstance(df.schema[value].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    kind = T.DecimalType(38, 0) if integral else T.DoubleType()
-    key_fields = [T.StructField(s, df.schema[s].dataType) for s in series]
-    schema = T.StructType([*key_fields, T.StructField("_i", T.IntegerType()), T.StructField("_low", kind),
-                           T.StructField("_high", kind), T.StructField("_below", T.LongType()),
-                           T.StructField("_ranks", T.ArrayType(T.LongType()))])
-    data = df.where(F.col(value).isNotNull()).withColumn("_x", F.col(value).cast(kind))
-
-    found: dict[tuple, dict[int, float]] = {k: {} for k in ranks}
-    # open interval: (series key, low, high, rows below, rows inside, ranks searched)
-    work = [(k, bounds[k][1], bounds[k][2], 0, bounds[k][0], sorted(set(r))) for k, r in ranks.items() if r]
-    while True:
-        todo = []
-        for key, low, high, below, inside, wanted in work:
-            if low == high:
-                found[key].update({r: low for r in wanted})
-            else:
-                todo.append((key, low, high, below, inside, wanted))
-        if not todo:
-            return found
-        rows = [(*t[0], i, _number(t[1], integral), _number(t[2], integral), t[3], t[5]) for i, t in enumerate(todo)]
-        intervals = F.broadcast(spark.createDataFrame(rows, schema))  # a few lines per series
-        same = F.lit(True)
-        for s in series:
-            nullable = any(t[0][list(series).index(s)] is None for t in todo)
-            same = same & (data[s].eqNullSafe(intervals[s]) if nullable else data[s] == intervals[s])
-        hit = data.join(intervals, same & F.col("_x").between(F.col("_low"), F.col("_high")), "inner")
-        if sum(t[4] for t in todo) <= in_task // 10:
-            cell = F.col("_x")
-        else:
-            cell = _cell(F.col("_x"), F.col("_low"), F.col("_high"), max(16, histogram_rows // len(todo)), integral)
-        part = hit.groupBy("_i", cell.alias("_cell")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-        earlier = Window.partitionBy("_i").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        placed = part.withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
-            F.broadcast(intervals.select("_i", "_below", "_ranks")), "_i", "inner")
-        start = F.col("_below") + F.col("_before")
-        here = F.filter("_ranks", lambda r: (r >= start) & (r < start + F.col("n")))
-        chosen = placed.select("_i", "lo", "hi", start.alias("start"), "n", here.alias("here")).where(F.size("here") > 0)
-        work = [(todo[r["_i"]][0], r["lo"], r["hi"], r["start"], r["n"], list(r["here"])) for r in chosen.collect()]
-
-
-def _number(x, integral: bool):
-    return Decimal(int(x)) if integral else float(x)
-
-
-def _interpolate(found: dict[int, float], probs: Sequence[float], n: int) -> list[float]:
+def _brackets(n: Column, sketch: Column, probs: Sequence[float], grid: Sequence[float]) -> Column:
+    """Array of (low, high, first, last, part) for each probability: the rank p * (n - 1) lies between the ranks ``first``
+    and ``last``, ``part`` of the way, and values of these ranks lie in [low, high]; null bounds are open."""
     out = []
+    slack = n * (2.0 / ACCURACY) + 2
     for p in probs:
-        h = p * (n - 1)
-        a, b = float(found[math.floor(h)]), float(found[math.ceil(h)])
-        out.append(a + (b - a) * (h - math.floor(h)))
+        place = F.lit(float(p)) * (n - 1)
+        first, last = F.floor(place), F.ceil(place)
+        low = high = F.lit(None)
+        for i, q in enumerate(grid):  # the innermost grid values that are surely outside
+            low = F.when(F.lit(q) * n <= first - slack, F.get(sketch, F.lit(i))).otherwise(low)
+        for i, q in reversed(list(enumerate(grid))):
+            high = F.when(F.lit(q) * n >= last + slack, F.get(sketch, F.lit(i))).otherwise(high)
+        out.append(F.struct(low.cast("double").alias("low"), high.cast("double").alias("high"), first.cast("long").alias("first"),
+                            last.cast("long").alias("last"), (place - first).alias("part")))
+    return F.array(*out)
+
+
+def _cells(x: Column, brackets: Column, probs: Sequence[float], number: int) -> list[Column]:
+    """For each probability a struct (quantile number, cell, ranks) of a row inside the bracket or below it, else null."""
+    out = []
+    for i in range(len(probs)):
+        b = brackets[i]
+        below, above = F.coalesce(x < b["low"], F.lit(False)), F.coalesce(x > b["high"], F.lit(False))
+        out.append(F.when(x.isNotNull() & ~above, F.struct(
+            F.lit(number + i).alias("i"), F.when(~below, x).alias("cell"), b["first"].alias("first"), b["last"].alias("last"), b["part"].alias("part"))))
     return out
 
 
-def _wanted(probs: Sequence[float], n: int) -> list[int]:
-    return [f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)]
-
-
-def exact_quantiles(df: DataFrame, probs: Sequence[float], series: Sequence[str] = ("series",), value: str = "value",
-                    in_task: int = IN_TASK_VALUES, histogram_rows: int = HISTOGRAM_ROWS) -> DataFrame:
-    """Frame (series..., quantiles array<double>) with linear interpolation, one row per series.
-
-    Few values (their number is counted first) are left to ``percentile``; more are zoomed.
-    """
-    spark = df.sparkSession
-    series = list(series)
-    stats = df.groupBy(*series).agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-    rows = bounded_collect(stats, MAX_SERIES, "quantile series")
-    if sum(r["n"] for r in rows) <= in_task:
-        quantiles = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
-        return df.groupBy(*series).agg(quantiles.alias("quantiles"))
-
-    keys = {tuple(r[s] for s in series): r for r in rows}
-    bounds = {k: (r["n"], r["lo"], r["hi"]) for k, r in keys.items() if r["n"]}
-    ranks = {k: _wanted(probs, b[0]) for k, b in bounds.items()}
-    found = order_statistics(df, series, value, ranks, bounds, in_task, histogram_rows)
-    out = [(*k, _interpolate(found[k], probs, r["n"]) if r["n"] else None) for k, r in keys.items()]
-    schema = T.StructType([*[T.StructField(s, df.schema[s].dataType) for s in series],
-                           T.StructField("quantiles", T.ArrayType(T.DoubleType()))])
-    return spark.createDataFrame(out, schema)
-
-
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], bounds: Sequence[tuple] | None = None,
-                     in_task: int = IN_TASK_VALUES, histogram_rows: int = HISTOGRAM_ROWS) -> dict[str, list]:
-    """Quantiles per numeric column as a driver-side dictionary (catalog-sized).
-
-    ``bounds`` holds (count, min, max) per column, if the caller has them from an aggregate of its own.
+def _resolve(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., i, quantile) from exploded cells; a null cell stands for all rows below the bracket."""
+    counted = cells.groupBy(*keys, "i", "cell", "first", "last", "part").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(*keys, "i").orderBy(F.asc_nulls_first("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("end", F.sum("n").over(upto)).where(F.col("cell").isNotNull())
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col("end") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("end")), F.col("cell")))
+
+    found = placed.groupBy(*keys, "i", "part").agg(at("first").alias("a"), at("last").alias("b"))
+    missed = F.raise_error(F.lit("a wanted rank lies outside its bracket"))
+    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
+    return found.select(*keys, "i", F.when(F.col("a").isNull() | F.col("b").isNull(), missed.cast("double")).otherwise(between).alias("quantile"))
+
+
+def exact_quantiles(df: DataFrame, probs: Sequence[float], series: Sequence[str] = ("series",), value: str = "value") -> DataFrame:
+    """Frame (series..., quantiles array<double>) with linear interpolation, one row per series; NULL without values."""
+    series, grid = list(series), _grid(probs)
+    names = [f"_s{i}" for i in range(len(series))]
+    data = df.select(*[F.col(s).alias(n) for s, n in zip(series, names)], canon(F.col(value).cast("double")).alias("_x"))
+    sketches = data.groupBy(*names).agg(F.count("_x").alias("_n"), F.percentile_approx("_x", grid, ACCURACY).alias("_q"))
+    bounds = stored(sketches.select(*names, "_n", _brackets(F.col("_n"), F.col("_q"), probs, grid).alias("_b")), "brackets")
+    same = F.lit(True)
+    for n in names:
+        same = same & data[n].eqNullSafe(bounds[n])
+    near = data.where(F.col("_x").isNotNull()).join(bounds, same, "inner").select(
+        *[data[n] for n in names], F.explode(F.array_compact(F.array(*_cells(data["_x"], bounds["_b"], probs, 0)))).alias("c"))
+    found = _resolve(near.select(*names, "c.*"), names)
+    lists = found.groupBy(*names).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "quantile"))), lambda q: q["quantile"]).alias("_quantiles"))
+    same = F.lit(True)
+    for n in names:
+        same = same & bounds[n].eqNullSafe(lists[n])
+    return bounds.join(lists, same, "left").select(*[bounds[n].alias(s) for n, s in zip(names, series)], F.col("_quantiles").alias("quantiles"))
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
+    """Quantiles per numeric column as a driver-side dictionary (catalog-sized); None for a column without values.
+
+    All columns share the two passes; only cells inside or below brackets leave their row.
     """
-    doubles = df.select(*[canon(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)])
-    names = doubles.columns
-    if bounds is None:
-        row = doubles.agg(*[f(n) for n in names for f in (F.count, F.min, F.max)]).first()
-        bounds = [tuple(row[3 * i:3 * i + 3]) for i in range(len(names))]
-    missing = [None] * len(probs)
-    if sum(b[0] for b in bounds) <= in_task:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = doubles.agg(*[F.percentile(F.col(n), wanted) for n in names]).first()
-        return {c: row[i] or missing for i, c in enumerate(columns)}
-    # a number per column keeps the join key of the interval lookup a primitive
-    cells = [x for i, n in enumerate(names) for x in (F.lit(i), F.col(n))]
-    long = doubles.select(F.stack(F.lit(len(names)), *cells).alias("series", "value"))
-    known = {(i,): b for i, b in enumerate(bounds) if b[0]}
-    found = order_statistics(long, ["series"], "value", {k: _wanted(probs, b[0]) for k, b in known.items()}, known,
-                             in_task, histogram_rows)
-    return {c: _interpolate(found[(i,)], probs, bounds[i][0]) if (i,) in known else missing for i, c in enumerate(columns)}
+    if not columns:
+        return {}
+    grid = _grid(probs)
+    data = df.select(*[canon(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)])
+    row = data.agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, grid, ACCURACY).alias("q")).alias(c) for c in data.columns]).select(
+        *[_brackets(F.col(f"{c}.n"), F.col(f"{c}.q"), probs, grid).alias(c) for c in data.columns]).first()
+    cells = []
+    for i, c in enumerate(data.columns):
+        b = F.array(*[F.struct(*[F.lit(r[f]).cast(t).alias(f) for f, t in zip(r.__fields__, ("double", "double", "long", "long", "double"))]) for r in row[c]])
+        cells += _cells(F.col(c), b, probs, i * len(probs))
+    found = _resolve(data.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*"), [])
+    values = {r["i"]: r["quantile"] for r in bounded_collect(found, len(columns) * len(probs), "quantiles")}
+    return {c: [values.get(i * len(probs) + j) for j in range(len(probs))] for i, c in enumerate(columns)}
+
+
+def value_at_rank(df: DataFrame, column: str, rank: int, n: int) -> int:
+    """The value of 0-based ``rank`` among the ``n`` non-null values of an integer column, bracketed by a sketch."""
+    margin = 4 / ACCURACY + 2 / n
+    low, high = df.agg(F.percentile_approx(column, [max(0.0, rank / n - margin), min(1.0, rank / n + margin)], ACCURACY)).first()[0]
+    low = None if rank / n <= margin else low
+    below = df.where(F.col(column) < low).count() if low is not None else 0
+    inside = df.where(F.col(column).isNotNull() & (F.col(column) >= low if low is not None else F.lit(True)))
+    inside = inside.where(F.col(column) <= high) if rank / n + margin < 1 else inside
+    return inside.select(column).orderBy(column).limit(rank - below + 1).agg(F.max(column)).first()[0]
 
 
 def hash_threshold(df: DataFrame, hash_column: str, count: int | Callable[[int], int],

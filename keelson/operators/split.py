@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.digest import fingerprint
+from keelson.functions.digest import fingerprint, row_digest
 from keelson.functions.scalar import stable_hash
 from keelson.operators.compare import coverage, validated_left_join
-from keelson.operators.ranks import hash_threshold, order_statistics
+from keelson.operators.ranks import hash_threshold, value_at_rank
 from keelson.spec import ContractError, require_columns
 
 TRAIN, TEST = "train", "test"
@@ -69,12 +69,9 @@ def split_entities(df: DataFrame, key: str, fraction: float, seed: int = 42, shu
     else:
         if not isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType)):
             raise ContractError("a split in key order needs an integer key")
-        low, high, n = keys.agg(F.min(key), F.max(key), F.count(key)).first()
+        n = keys.count()
         size = test_size(n)
-        one = keys.select(F.lit(0).alias("series"), F.col(key).cast("bigint").alias("value"))
-        rank = n - size
-        found = order_statistics(one, ["series"], "value", {(0,): [rank]}, {(0,): (n, low, high)})
-        threshold = int(found[(0,)][rank])
+        threshold = value_at_rank(keys.select(F.col(key).cast("bigint").alias("value")), "value", n - size, n)
     split = EntitySplit(key, seed, float(fraction), shuffle, n, size, threshold)
     return split, split.assign(keys)
 
@@ -123,12 +120,18 @@ def split_frames(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows of a table with unique keys, the same ones under any partitioning."""
-    hashed = df.withColumn("_h", stable_hash(F.col(key), seed))
-    threshold, _ = hash_threshold(hashed.select("_h"), "_h", n)
+    """Exactly min(n, rows) rows, the same ones under any partitioning; a NULL key is a key like others.
+
+    Rows of the key at the threshold are taken by the order of their content, so repeated keys do not change the number.
+    """
+    hashed = df.withColumn("_h", F.coalesce(stable_hash(F.col(key), seed), F.md5(F.lit(f"{seed}:NULL key").cast("binary"))))
+    threshold, total = hash_threshold(hashed.select("_h"), "_h", n)
     if threshold is None:
         return df.limit(0)
-    return hashed.where(F.col("_h") <= F.lit(threshold)).drop("_h")
+    sure = hashed.where(F.col("_h") < F.lit(threshold))
+    left = min(n, total) - sure.count()
+    last = hashed.where(F.col("_h") == F.lit(threshold)).withColumn("_d", row_digest(df)).orderBy("_d").limit(left).drop("_d")
+    return sure.unionByName(last).drop("_h")
 
 
 def sample_split(df: DataFrame, key: str, max_train: int, max_test: int, seed: int = 42) -> DataFrame:

@@ -92,7 +92,7 @@ FILE_POSITIONS_SQL = "SELECT p_partkey, row_number() OVER () - 1 AS position FRO
 
 def label_construction(spark, d):
     """Latest line of every order with its label: the sum of three cleaned components."""
-    result = C.clean(_lines(spark, d), LINE_RULES, "ordinal")
+    result = C.clean(_lines(spark, d), LINE_RULES, "ordinal").shared()
     return result.labels.withColumn("line_total", r6("line_total"))
 
 
@@ -116,7 +116,7 @@ WHERE rn = 1 AND q IS NOT NULL AND e IS NOT NULL AND t IS NOT NULL"""
 
 
 def cleaning_summary(spark, d):
-    result = C.clean(table(spark, d, "events"), EVENT_RULES, "event_id")
+    result = C.clean(table(spark, d, "events"), EVENT_RULES, "event_id").shared()
     one = result.summary()
     return one.select("*", (F.col("initial_rows") - F.col("missing_key_rows_removed") - F.col("duplicate_key_rows_removed")
                             - F.col("bad_label_rows_removed") == F.col("final_rows")).alias("reconciles")).withColumns(
@@ -134,7 +134,7 @@ SELECT (SELECT count(*) FROM events) AS initial_rows, (SELECT count(*) FROM even
 
 def cleaning_counts(spark, d):
     """Sentinel and range counts of the whole cleaning job, over all raw rows."""
-    result = C.clean(_lines(spark, d), LINE_RULES, "ordinal")
+    result = C.clean(_lines(spark, d), LINE_RULES, "ordinal").shared()
     a = result.sentinel_report().select(F.lit("sentinel").alias("rule"), "column_name", F.col("sentinel_replacement_count").alias("n"))
     b = result.range_report().select(F.lit("range").alias("rule"), "column_name", F.col("invalid_value_count").alias("n"))
     return a.unionByName(b)

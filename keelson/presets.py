@@ -38,10 +38,8 @@ FEATURE_TTL = timedelta(days=3650)
 TEST_FRACTION = 0.20
 SEED = 42
 
-HP1 = ForestSettings("hp1", trees=100, depth=12, min_leaf=5, feature_subset="sqrt", seed=SEED,
-                     description="Conservative baseline forest")
-HP2 = ForestSettings("hp2", trees=300, depth=20, min_leaf=2, feature_subset="all", seed=SEED,
-                     description="Larger and more flexible forest")
+HP1 = ForestSettings("hp1", trees=100, depth=12, min_leaf=5, feature_subset="sqrt", seed=SEED)
+HP2 = ForestSettings("hp2", trees=300, depth=20, min_leaf=2, feature_subset="all", seed=SEED)
 
 RUNS = tuple(RunSpec(f"{v}_{h}", v, h) for v in ("v1", "v2") for h in ("hp1", "hp2"))
 

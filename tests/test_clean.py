@@ -21,20 +21,20 @@ def rows(result):
 
 
 def test_label_is_the_sum_of_components(raw):
-    assert rows(run(raw()))[1][LABEL] == 1150.0
+    assert rows(run(raw()))[11][LABEL] == 605.0
 
 
 def test_value_out_of_range_removes_the_row_and_is_counted(raw):
     result = run(raw())
-    assert sorted(rows(result)) == [1, 2]
+    assert sorted(rows(result)) == [11, 12]
     report = {r["column_name"]: r for r in result.range_report().collect()}
-    assert report["deadlift"]["invalid_value_count"] == 1 and report["age"]["invalid_value_count"] == 0
-    assert (report["deadlift"]["minimum"], report["deadlift"]["maximum"]) == (1.0, 1105.0)
+    assert report["snatch"]["invalid_value_count"] == 1 and report["age"]["invalid_value_count"] == 0
+    assert (report["snatch"]["minimum"], report["snatch"]["maximum"]) == (1.0, 496.0)
 
 
 def test_sentinels_in_all_components(raw):
     result = run(raw({(0, c): 1.0 for c in COMPONENTS}))
-    assert sorted(rows(result)) == [2]
+    assert sorted(rows(result)) == [12]
     assert {r["column_name"]: r["sentinel_replacement_count"] for r in result.sentinel_report().collect()} == dict.fromkeys(COMPONENTS, 1)
     assert result.sentinel_report().first()["sentinel_values"] == [1.0]
     s = result.summary().first()
@@ -42,26 +42,26 @@ def test_sentinels_in_all_components(raw):
 
 
 def test_single_sentinel_removes_only_its_row(raw):
-    result = run(raw({(1, "snatch"): 1.0}))
-    assert sorted(rows(result)) == [1]
+    result = run(raw({(1, "candj"): 1.0}))
+    assert sorted(rows(result)) == [11]
     # a sentinel is removed before the range rule, so it is not counted twice
-    assert {r["column_name"]: r["invalid_value_count"] for r in result.range_report().collect()}["snatch"] == 0
+    assert {r["column_name"]: r["invalid_value_count"] for r in result.range_report().collect()}["candj"] == 0
 
 
 def test_no_answer_becomes_missing_and_case_is_kept(raw):
     got = rows(run(raw()))
-    assert got[2]["howlong"] is None and got[2]["background"] is None
-    assert got[1]["gender"] == "Male"
+    assert got[12]["howlong"] is None and got[12]["background"] is None
+    assert got[11]["gender"] == "Female"
 
 
 def test_missing_predictor_is_preserved(raw):
     got = rows(run(raw({(0, "weight"): None})))
-    assert 1 in got and got[1]["weight"] is None
+    assert 11 in got and got[11]["weight"] is None
 
 
 def test_nan_predictor_is_missing(raw):
     result = run(raw({(0, "weight"): float("nan")}))
-    assert rows(result)[1]["weight"] is None
+    assert rows(result)[11]["weight"] is None
     assert {r["column_name"]: r["invalid_value_count"] for r in result.range_report().collect()}["weight"] == 0
 
 
@@ -75,7 +75,7 @@ def test_labels_and_predictors(raw):
 def test_event_time_is_complete_utc(raw):
     result = run(raw({(1, "retrieved_datetime"): "unreadable"}))
     times = {r["record_id"]: r["t"] for r in result.data.select("record_id", F.col("event_timestamp").cast("string").alias("t")).collect()}
-    assert times == {1: "2024-01-01 10:00:00", 2: "2024-01-01 00:00:01"}
+    assert times == {11: "2023-05-04 08:30:00", 12: "2024-01-01 00:00:01"}
 
 
 def test_fallback_time_without_source_column(raw):
@@ -88,12 +88,12 @@ def test_latest_row_wins_before_the_label_filter(raw, raw_schema, spark):
     from conftest import RAW_ROWS
 
     old = list(RAW_ROWS[0])
-    old[0], old[1], old[2], old[12:16] = 10.0, "2024-01-01T00:00:00Z", 25.0, [300.0, 150.0, 100.0, 250.0]
+    old[0], old[1], old[2], old[12:16] = 77.0, "2022-03-01T00:00:00Z", 33.0, [120.0, 90.0, 60.0, 110.0]
     new = list(old)
-    new[1], new[2], new[12:16], new[16] = "2024-02-01T00:00:00Z", 26.0, [400.0, 200.0, 150.0, 350.0], 1
+    new[1], new[2], new[12:16], new[16] = "2022-09-15T00:00:00Z", 34.0, [130.0, 95.0, 70.0, 125.0], 1
     result = run(spark.createDataFrame([tuple(old), tuple(new)], raw_schema))
     row = result.data.collect()
-    assert len(row) == 1 and row[0]["age"] == 26.0 and row[0][LABEL] == 1100.0
+    assert len(row) == 1 and row[0]["age"] == 34.0 and row[0][LABEL] == 420.0
     assert result.summary().first()["duplicate_key_rows_removed"] == 1
     bad = list(new)
     bad[12] = 5000.0
@@ -105,8 +105,8 @@ def test_equal_times_keep_the_later_row(raw):
 
     twin = list(RAW_ROWS[0])
     twin[2], twin[16] = 44.0, 9
-    assert rows(run(raw(rows=[RAW_ROWS[0], tuple(twin)])))[1]["age"] == 44.0
-    assert rows(run(raw(rows=[tuple(twin), RAW_ROWS[0]])))[1]["age"] == 44.0
+    assert rows(run(raw(rows=[RAW_ROWS[0], tuple(twin)])))[11]["age"] == 44.0
+    assert rows(run(raw(rows=[tuple(twin), RAW_ROWS[0]])))[11]["age"] == 44.0
 
 
 def test_missing_key_is_dropped_and_counted(raw):
@@ -115,14 +115,29 @@ def test_missing_key_is_dropped_and_counted(raw):
 
 
 def test_key_is_truncated_to_integer(raw):
-    assert 1 in rows(run(raw({(0, "record_id"): 1.7})))
+    assert 11 in rows(run(raw({(0, "record_id"): 11.7})))
+
+
+def test_large_keys_stay_apart(raw, raw_schema, spark):
+    from conftest import RAW_ROWS
+
+    for kind, keys in (("long", (2**53, 2**53 + 1)), ("string", (" 9007199254740992", "+9007199254740993"))):
+        data = [(k, *RAW_ROWS[0][1:]) for k in keys]
+        result = run(spark.createDataFrame(data, raw_schema.replace("record_id double", f"record_id {kind}")))
+        assert sorted(rows(result)) == [2**53, 2**53 + 1]
+
+
+def test_shared_results_are_the_same(raw):
+    result, shared = run(raw({(1, "snatch"): 1.0})), run(raw({(1, "snatch"): 1.0})).shared()
+    assert rows(result) == rows(shared) and result.summary().first() == shared.summary().first()
+    assert result.range_report().collect() == shared.range_report().collect()
 
 
 def test_accounting(raw):
     s = run(raw({(0, "record_id"): None})).summary().first()
     assert s["initial_rows"] - s["missing_key_rows_removed"] - s["duplicate_key_rows_removed"] - s["bad_label_rows_removed"] == s["final_rows"]
     s = run(raw()).summary().first()
-    assert (s["label_min"], s["label_max"], s["label_mean"], s["label_median"]) == (850.0, 1150.0, 1000.0, 1000.0)
+    assert (s["label_min"], s["label_max"], s["label_mean"], s["label_median"]) == (605.0, 1320.0, 962.5, 962.5)
     assert s["missing_predictor_cells"] == 2 and s["final_columns"] == 18
 
 
@@ -137,10 +152,10 @@ def test_repeat_and_repartition_give_the_same(raw):
 
 
 def test_single_rule_operators(raw):
-    df, sentinel = C.replace_sentinels(raw({(0, "snatch"): 1.0}), ["snatch", "candj"], [1.0, 225.0])
+    df, sentinel = C.replace_sentinels(raw({(0, "snatch"): 1.0}), ["snatch", "candj"], [1.0, 260.0])
     assert {r["column_name"]: r["sentinel_replacement_count"] for r in sentinel.collect()} == {"snatch": 1, "candj": 1}
-    df, ranged = C.apply_ranges(df, {"age": (26, 34), "absent": (0, 1)})
-    assert [tuple(r) for r in ranged.collect()] == [("age", 26.0, 34.0, 2)]
+    df, ranged = C.apply_ranges(df, {"age": (20, 30), "absent": (0, 1)})
+    assert [tuple(r) for r in ranged.collect()] == [("age", 20.0, 30.0, 2)]
     assert df.where("age is not null").count() == 1
     with pytest.raises(ContractError):
         C.replace_sentinels(raw(), ["absent"], [1.0])

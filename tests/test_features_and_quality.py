@@ -20,8 +20,8 @@ SCHEMA = ("record_id long, event_timestamp timestamp, age double, weight double,
 @pytest.fixture(scope="module")
 def processed(spark):
     return spark.createDataFrame([
-        (1, datetime(2024, 1, 1), 25.0, 180.0, 70.0, "Male", "Central", 400.0, 225.0, 175.0, 350.0, 1150.0),
-        (2, datetime(2024, 1, 2), 30.0, None, 66.0, "Female", None, 300.0, 175.0, 125.0, 250.0, 850.0)], SCHEMA)
+        (71, datetime(2023, 4, 9), 52.0, 140.0, 63.0, "Female", "Coast", 200.0, 110.0, 90.0, 170.0, 570.0),
+        (72, datetime(2023, 8, 2), 17.0, None, 69.0, "Male", None, 330.0, 190.0, 150.0, 300.0, 970.0)], SCHEMA)
 
 
 def test_columns_in_spec_order(processed):
@@ -31,9 +31,9 @@ def test_columns_in_spec_order(processed):
 
 def test_derived_values_and_missing(processed):
     got = {r["record_id"]: r for r in B.build(processed, V2).data.collect()}
-    assert got[1]["bmi"] == pytest.approx(703 * 180 / 70 ** 2) and got[1]["age_squared"] == 625.0
-    assert got[1]["weight_height_ratio"] == pytest.approx(180 / 70)
-    assert (got[2]["bmi"], got[2]["age_squared"], got[2]["weight_height_ratio"]) == (None, 900.0, None)
+    assert got[71]["bmi"] == pytest.approx(703 * 140 / 63 ** 2) and got[71]["age_squared"] == 2704.0
+    assert got[71]["weight_height_ratio"] == pytest.approx(140 / 63)
+    assert (got[72]["bmi"], got[72]["age_squared"], got[72]["weight_height_ratio"]) == (None, 289.0, None)
     zero = B.derive(processed.withColumn("height", F.lit(0.0)), DERIVED).first()
     assert zero["bmi"] is None and zero["weight_height_ratio"] is None
 
@@ -110,11 +110,11 @@ def test_metrics_and_ranking(spark):
     got = {r["m"]: r.asDict() for r in regression_metrics(df, "y", "p", ["m"]).collect()}
     assert got["a"] == {"m": "a", "n": 2, "rmse": 0.5, "mae": 0.5, "r2": 0.75}
     assert got["b"]["r2"] == 1.0 and got["c"]["r2"] == 0.0 and got["d"]["r2"] is None
-    runs = spark.createDataFrame([("run_a", 120.0, 90.0, 0.9), ("run_b", 120.0, 85.0, 0.5), ("run_c", 150.0, 1.0, 0.99)],
+    runs = spark.createDataFrame([("oak", 7.25, 6.0, 0.8), ("elm", 7.25, 5.5, 0.4), ("fir", 8.0, 0.5, 0.95)],
                                  "run_name string, test_rmse double, test_mae double, test_r2 double")
-    assert require_best(runs, "run_name")["run_name"] == "run_b"
-    assert [r["run_name"] for r in leaderboard(runs, "run_name", prefix="test_").orderBy("rank").collect()] == ["run_b", "run_a", "run_c"]
-    four = spark.createDataFrame([(f"r{i}", float(x), 1.0, 0.1) for i, x in enumerate((150, 140, 130, 120))], runs.schema)
+    assert require_best(runs, "run_name")["run_name"] == "elm"
+    assert [r["run_name"] for r in leaderboard(runs, "run_name", prefix="test_").orderBy("rank").collect()] == ["elm", "oak", "fir"]
+    four = spark.createDataFrame([(f"r{i}", float(x), 1.0, 0.1) for i, x in enumerate((9, 6, 11, 3))], runs.schema)
     assert best_model(four, "run_name", prefix="test_").first()["run_name"] == "r3"
     with pytest.raises(ContractError, match="test_mae"):
         best_model(runs.drop("test_mae"), "run_name", prefix="test_")

@@ -64,28 +64,52 @@ def test_categorical_summary_lets_missing_win(spark):
     assert got == {"s": (1, 3, None, 3), "t": (2, 0, "p", 2)}
 
 
-@pytest.mark.parametrize("hist", [40, 500])
-def test_zoomed_quantiles_are_exact(spark, hist):
-    rnd = random.Random(hist)
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+def test_bracketed_quantiles_are_exact(spark, accuracy, monkeypatch):
+    monkeypatch.setattr(R, "ACCURACY", accuracy)  # a coarse sketch needs wide brackets, results stay exact
+    rnd = random.Random(accuracy)
     # one value fills a third, tails are heavy, one series is constant
     data = [("hot", 5.0 if rnd.random() < 0.33 else rnd.lognormvariate(0, 4)) for _ in range(4000)]
     data += [("const", 2.0)] * 50 + [("two", 1.0), ("two", 2.0)] + [("none", None)]
     df = spark.createDataFrame(data, "series string, value double").repartition(6)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r["series"]: r["quantiles"] for r in R.exact_quantiles(df, probs, in_task=200, histogram_rows=hist).collect()}
+    got = {r["series"]: r["quantiles"] for r in R.exact_quantiles(df, probs).collect()}
     for name in ("hot", "const", "two"):
         values = [v for s, v in data if s == name]
         assert np.allclose(got[name], np.quantile(values, probs), rtol=1e-12)
     assert got["none"] is None
 
 
-def test_zoomed_ranks_of_integers_do_not_lose_digits(spark):
+def test_ranks_of_integers_do_not_lose_digits(spark, monkeypatch):
+    monkeypatch.setattr(R, "ACCURACY", 100)
     base = 2 ** 60
     values = [base + i * i for i in range(3000)]
-    df = spark.createDataFrame([(0, v) for v in values], "series int, value long").repartition(5)
-    found = R.order_statistics(df, ["series"], "value", {(0,): [0, 1234, 2999]}, {(0,): (3000, values[0], values[-1])},
-                               in_task=100, histogram_rows=64)
-    assert {k: int(v) for k, v in found[(0,)].items()} == {0: values[0], 1234: values[1234], 2999: values[2999]}
+    df = spark.createDataFrame([(v,) for v in values], "value long").repartition(5)
+    assert [R.value_at_rank(df, "value", r, 3000) for r in (0, 1234, 2999)] == [values[0], values[1234], values[2999]]
+
+
+def test_quantiles_with_infinities_end(spark):
+    inf = float("inf")
+    values = [-inf, inf, inf] + [float(i) for i in range(2000)] + [float("nan")] * 5
+    df = spark.createDataFrame([(v, -v) for v in values], "x double, y double").repartition(3)
+    known = sorted(v for v in values if v == v)
+    got = R.column_quantiles(df, ["x", "y"], [0.0, 0.5, 1.0])
+    assert got["x"] == [-inf, known[1001], inf] and got["y"] == [-inf, -known[1001], inf]
+    series = R.exact_quantiles(df.selectExpr("1 AS series", "x AS value"), [0.0, 0.5, 1.0]).first()["quantiles"]
+    assert series == got["x"]
+
+
+def test_quantiles_and_histograms_of_many_series(spark):
+    df = spark.range(36_000).selectExpr("id % 12000 AS series", "double(id div 12000) AS value")
+    got = R.exact_quantiles(df, [0.5]).agg(F.count(F.lit(1)), F.min(F.col("quantiles")[0]), F.max(F.col("quantiles")[0])).first()
+    assert tuple(got) == (12_000, 1.0, 1.0)
+    assert tuple(P.histogram(df, "value", 2, "series").agg(F.count(F.lit(1)), F.sum("n")).first()) == (24_000, 36_000)
+
+
+def test_density_counts_rows_in_the_given_range_only(spark):
+    df = spark.createDataFrame([(float(v),) for v in (0, 1, 2, 3, 50, 90)], "v double")
+    got = P.histogram(df, "v", 2, low=0.0, high=4.0).collect()
+    assert [r["n"] for r in got] == [2, 2] and sum(r["density"] * 2 for r in got) == pytest.approx(1)
 
 
 @pytest.mark.parametrize("n", [1, 4, 17])
