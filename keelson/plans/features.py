@@ -17,14 +17,14 @@ from keelson.spec import FeatureService, FeatureSource, FeatureView
 
 
 def features_v1(spark, d):
-    return B.build(customers(spark, d), V1, check=False).data
+    return B.build(customers(spark, d), V1).data
 
 
 FEATURES_V1_SQL = f"WITH {FEATURES_SQL} SELECT {', '.join(V1.columns)} FROM features"
 
 
 def features_v2(spark, d):
-    return rounded(B.build(customers(spark, d), V2, check=False).data, DERIVED)
+    return rounded(B.build(customers(spark, d), V2).data, DERIVED)
 
 
 FEATURES_V2_SQL = f"WITH {FEATURES_SQL} SELECT {', '.join(V1.columns)}, {', '.join(f'round({f}, 6) AS {f}' for f in DERIVED)} FROM features"
@@ -41,8 +41,8 @@ INTEGRITY_SQL = """SELECT count(*) AS row_count, count(*) FILTER (o_custkey IS N
 def feature_manifest(spark, d):
     """Manifest of version 2 with its lineage; fingerprints, which only this library computes, are shown as checks."""
     base = materialized(customers(spark, d))
-    parent = B.build(base, V1, check=False).manifest()
-    one = B.build(base, V2, check=False).manifest(parent, True)
+    parent = B.build(base, V1).manifest()
+    one = B.build(base, V2).manifest(parent, True)
     texts = ("features", "numerical_features", "categorical_features", "excluded_columns", "transformations")
     return one.select(
         "feature_version", "feature_view_name", "entity_key", "timestamp_column", "feature_count", "row_count", "entity_count",
@@ -67,7 +67,7 @@ SELECT 'v2' AS feature_version, 'customer_features_v2' AS feature_view_name, 'c_
 
 def version_compare(spark, d):
     base = materialized(customers(spark, d))
-    old, new = (B.build(base, s, check=False).manifest() for s in (V1, V2))
+    old, new = (B.build(base, s).manifest() for s in (V1, V2))
     one = B.compare_versions(old, new)
     return one.select("old_version", "new_version", "old_rows", "new_rows",
                       *[F.array_join(c, ",").alias(c) for c in ("old_features", "new_features", "added_features", "removed_features")],
@@ -95,7 +95,7 @@ SELECT o_custkey, o_orderpriority, sum(x)::BIGINT AS a_rows, sum(y)::BIGINT AS b
 
 def training_dataset(spark, d):
     rows = B.derive(customers(spark, d), V2.derived)
-    return rounded(B.training_dataset(rows, V2, "latest_value", check=False), DERIVED)
+    return rounded(B.training_dataset(rows, V2, "latest_value"), DERIVED)
 
 
 TRAINING_SQL = f"""WITH {FEATURES_SQL} SELECT {', '.join(V1.columns)}, latest_value, {', '.join(f'round({f}, 6) AS {f}' for f in DERIVED)} FROM features"""

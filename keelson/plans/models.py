@@ -253,7 +253,8 @@ def experiment_comparison(spark, d):
     data = {s.version: (B.derive(base, s.derived), s) for s in (V1, V2)}
     grid = [RunSpec(f"{v}_{h}", v, h) for v in ("v1", "v2") for h in ("small", "flat")]
     registry = shared_path(spark, "runs")
-    return X.comparison(X.run_grid(data, split, "latest_value", grid, {"small": SMALL, "flat": FLAT}, "example", registry))
+    compared = X.comparison(X.run_grid(data, split, "latest_value", grid, {"small": SMALL, "flat": FLAT}, "example", registry))
+    return compared.drop("training_seconds", "prediction_seconds")
 
 
 def stored_model_scores(spark, d):
@@ -309,7 +310,7 @@ UNION ALL SELECT f.user_id, f.day, CASE WHEN g.user_id IS NULL THEN 'unexpected'
 def _all_checks(spark, d):
     orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
     base = materialized(customers(spark, d))
-    old, new = (B.build(base, s, check=False).manifest() for s in (V1, V2))
+    old, new = (B.build(base, s).manifest() for s in (V1, V2))
     split, membership = split_entities(base, "c_custkey", 0.2, 42)
     cleaned = clean(table(spark, d, "events"), EVENT_RULES, "event_id").summary(median=False)
     labels = PF._labels(spark, d)

@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="keelson-shared-"))
+        sc.setCheckpointDir(configured or "file://" + tempfile.mkdtemp(prefix="keelson-shared-"))
     return sc.getCheckpointDir()
 
 

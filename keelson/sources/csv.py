@@ -5,9 +5,11 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from pyspark.sql import types as T
 from keelson.functions.scalar import drop_tokens, to_number, to_time
 from keelson.spec import ContractError
 
-BATCH_ROWS = 20_000
+LARGEST_BLOCK = 1 << 30
 CORRUPT = "_bad"
 
 
@@ -72,34 +74,29 @@ def _members(archive: zipfile.ZipFile) -> list[str]:
             if n.lower().endswith(".csv") and not n.endswith("/") and not n.startswith("__MACOSX/")]
 
 
-def _archive_rows(path: str, content: bytes, names: list[str]) -> Iterator[pd.DataFrame]:
-    columns = [*names, "_source", "_line", "_error"]
-
-    def problem(text: str) -> pd.DataFrame:
-        return pd.DataFrame([[None] * len(names) + [path, None, text]], columns=columns)
-
+def _archive_table(content: bytes, names: list[str]) -> pa.Table:
+    """The CSV of one archive as text columns; raises ValueError with the reason if it cannot be read whole."""
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             members = _members(archive)
             if len(members) != 1:
-                yield problem(f"expected one CSV in the archive, found {len(members)}")
-                return
+                raise ValueError(f"expected one CSV in the archive, found {len(members)}")
             with archive.open(members[0]) as raw:
-                reader = csv.DictReader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-                missing = [n for n in names if n not in (reader.fieldnames or [])]
-                if missing:
-                    yield problem(f"columns missing: {missing}")
-                    return
-                batch = []
-                for line, record in enumerate(reader):
-                    batch.append([*[record[n] for n in names], path, line, None])
-                    if len(batch) == BATCH_ROWS:
-                        yield pd.DataFrame(batch, columns=columns)
-                        batch = []
-                if batch:
-                    yield pd.DataFrame(batch, columns=columns)
+                header = next(csv.reader([raw.readline().decode("utf-8-sig")]), [])
+            missing = [n for n in names if n not in header]
+            if missing:
+                raise ValueError(f"columns missing: {missing}")
+            # a field may be as long as the file
+            block = min(LARGEST_BLOCK, max(1 << 20, archive.getinfo(members[0]).file_size))
+            with archive.open(members[0]) as raw:
+                return pyarrow.csv.read_csv(
+                    raw, read_options=pyarrow.csv.ReadOptions(block_size=block, use_threads=False),
+                    parse_options=pyarrow.csv.ParseOptions(newlines_in_values=True),
+                    convert_options=pyarrow.csv.ConvertOptions(include_columns=names, column_types={n: pa.string() for n in names}))
     except zipfile.BadZipFile:
-        yield problem("not a zip archive")
+        raise ValueError("not a zip archive") from None
+    except (UnicodeDecodeError, pa.ArrowInvalid, zlib.error, EOFError, NotImplementedError, RuntimeError, csv.Error) as e:
+        raise ValueError(f"unreadable CSV: {str(e).splitlines()[0][:200]}") from None
 
 
 def read_archives(spark: SparkSession, path: str | list[str], schema: T.StructType, null_tokens: Iterable[str] = (),
@@ -115,18 +112,26 @@ def read_archives(spark: SparkSession, path: str | list[str], schema: T.StructTy
 def parse_archives(files: DataFrame, schema: T.StructType, null_tokens: Iterable[str] = ()) -> DataFrame:
     """Rows of the archives in (path, content).
 
-    An unreadable archive yields one row with ``_error`` instead of failing the job; see :func:`require_archives`.
-    The CSV is streamed in batches, and quoted line breaks survive.
+    An unreadable archive yields one row with ``_error`` and no other, instead of failing the job; see
+    :func:`require_archives`. Columns are read whole by a columnar reader; quoted line breaks survive.
     """
     names = schema.fieldNames()
     out = _as_text(schema).add("_source", T.StringType()).add("_line", T.LongType()).add("_error", T.StringType())
+    columns = [*names, "_source", "_line", "_error"]
 
-    def parse(batches):
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch["path"], batch["content"]):
-                yield from _archive_rows(file, bytes(content), names)
-
-    raw = files.select("path", "content").mapInPandas(parse, out)
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                try:
+                    table, error = _archive_table(content, names), None
+                except ValueError as e:
+                    table, error = pa.table([pa.nulls(1, pa.string())] * len(names), names=names), str(e)
+                n = table.num_rows
+                lines = pa.array(range(n), pa.int64()) if error is None else pa.nulls(n, pa.int64())
+                whole = [*table.columns, pa.array([file] * n, pa.string()), lines, pa.array([error] * n, pa.string())]
+                yield from pa.table(whole, names=columns).to_batches(max_chunksize=20_000)
+
+    raw = files.select("path", "content").mapInArrow(parse, out)
     return typed(raw, schema, null_tokens, ["_source", "_line", "_error"])
 
 

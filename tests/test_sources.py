@@ -43,6 +43,17 @@ def test_not_an_archive(spark, tmp_path):
         C.require_archives(C.read_archives(spark, str(tmp_path), SCHEMA))
 
 
+def test_every_failure_is_one_error_row(spark, tmp_path):
+    archive(tmp_path / "late.zip", {"a.csv": b"k,age,note\n" + b"1,2,x\n" * 50 + b"2,3,\xff\xfe\n"})
+    archive(tmp_path / "ragged.zip", {"a.csv": "k,age,note\n1,2,x\n1,2,x,y,z\n"})
+    archive(tmp_path / "empty.zip", {"a.csv": ""})
+    archive(tmp_path / "long.zip", {"a.csv": "k,age,note\n7,1," + "y" * 3_000_000 + "\n8,1,z\n"})
+    (tmp_path / "cut.zip").write_bytes((tmp_path / "long.zip").read_bytes()[:500])
+    rows = C.read_archives(spark, str(tmp_path), SCHEMA).collect()
+    assert sorted(r["_source"].split("/")[-1] for r in rows if r["_error"]) == ["cut.zip", "empty.zip", "late.zip", "ragged.zip"]
+    assert {r["k"]: len(r["note"]) for r in rows if not r["_error"]} == {7: 3_000_000, 8: 1}
+
+
 def test_csv_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k,age,note\n1, 25 ,"say ""hi"", now"\n2,null,N/A\nx,1e1,ok\n')
     (tmp_path / "b.csv").write_text("k,age,note\n4,1,None\n")
