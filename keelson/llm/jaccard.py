@@ -14,7 +14,8 @@ Two documents link when the Jaccard similarity of their sets of word n-grams rea
    a spanning forest of the linking pairs and the number of links of each row, never the pairs.
 4. Connected components of the forests.
 
-Nothing here is approximate, apart from 64-bit hashes standing for n-grams.
+Nothing here is approximate, apart from hashes standing for n-grams: ``COLUMN_BITS`` bits in the index, where a collision
+only merges two columns, 64 bits where overlaps are counted.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from keelson.llm.graph import components, screen
 from keelson.llm.words import mix, shingle_hashes, text_slices, word_hashes
 from keelson.session import stored
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+COLUMN_BITS = 48
 PART_BYTES = 8 << 20
 ROWS = 256
 COLUMNS = 8192
@@ -94,9 +96,10 @@ def incidence_rows(docs: DataFrame, words: int, parts: int) -> DataFrame:
         owner = np.repeat(np.arange(len(info), dtype=np.uint32), counts)
         chosen = (first & info["known"])[owner]
         hashes, owner = hashes[chosen], owner[chosen]
+        hashes = hashes >> np.uint64(64 - COLUMN_BITS)
         order = np.argsort(hashes, kind="stable")
         hashes, owner = hashes[order], owner[order]
-        part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        part = ((hashes >> np.uint64(COLUMN_BITS - 32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         edges = np.searchsorted(part, np.arange(parts + 1))
         rows = [(block % parts, INFO, info.tobytes(), b"")]
         for p in np.flatnonzero(np.diff(edges)):
