@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.digest import fingerprint
-from keelson.session import BROADCAST_ROWS
 from keelson.spec import ContractError, require_columns
 
 
@@ -84,37 +83,30 @@ def coverage(population: DataFrame, membership: DataFrame, key: str, split: str
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_values"))
 
 
-def grid_gaps(facts: DataFrame, first: DataFrame, second: DataFrame, names: Sequence[str],
-              chunk: int = 1_000) -> DataFrame:
-    """(first, second, status, n) for every cell of a key grid that is missing, unexpected or duplicated.
+def grid_gaps(facts: DataFrame, first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(first, status, first_<second>, last_<second>, n) for what differs from a full grid of two key dimensions.
 
-    ``first`` and ``second`` are one-column frames with the keys of each dimension. The grid itself is never built:
-    the second dimension is split by hash into chunks of about ``chunk`` values, the facts are reduced to the value set
-    per (first, chunk), and only the differences are expanded.
+    ``first`` and ``second`` are one-column frames with the keys of each dimension. Missing cells come as runs: one row for
+    each unbroken stretch of second keys that a first key lacks, n being its length. Cells with several rows
+    (``duplicate``) and cells outside the grid (``unexpected``) come one by one, n being their rows. So the result grows
+    with the facts and the first keys, never with the grid; only the second dimension's own keys are put in one order.
     """
     a, b = names
     one = first.select(F.col(first.columns[0]).alias("_a")).where(F.col("_a").isNotNull()).distinct()
-    two = second.select(F.col(second.columns[0]).alias("_b")).where(F.col("_b").isNotNull()).distinct()
-    size = two.count()
-    chunks = max(1, -(-size // chunk))
-    part = F.pmod(F.xxhash64("_b"), F.lit(chunks)).cast("int")
+    two = second.select(F.col(second.columns[0]).alias("_b")).where(F.col("_b").isNotNull()).distinct().select(
+        "_b", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_b")).alias("_i"))
     cells = facts.select(F.col(a).alias("_a"), F.col(b).alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n"))
-
-    known = two.select(F.col("_b").alias("_kb"), F.lit(True).alias("_in_b"))
-    if size <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    checked = cells.join(one.select(F.col("_a").alias("_ka"), F.lit(True).alias("_in_a")), F.col("_a") == F.col("_ka"), "left") \
-        .join(known, F.col("_b") == F.col("_kb"), "left")
-    inside = F.coalesce(F.col("_in_a"), F.lit(False)) & F.coalesce(F.col("_in_b"), F.lit(False))
+    placed = cells.join(two, "_b", "left").join(one.withColumn("_in", F.lit(True)), "_a", "left")
+    inside = F.col("_i").isNotNull() & F.col("_in").isNotNull()
     status = F.when(~inside, F.lit("unexpected")).when(F.col("n") > 1, F.lit("duplicate"))
-    present = checked.select("_a", "_b", "n", status.alias("status")).where(F.col("status").isNotNull())
-
-    sets = two.groupBy(part.alias("_c")).agg(F.collect_set("_b").alias("_all"))  # about `chunk` values each
-    found = cells.join(known, F.col("_b") == F.col("_kb"), "left_semi").groupBy("_a", part.alias("_c")).agg(
-        F.collect_set("_b").alias("_have"))
-    slots = one.select("_a", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_c"))
-    wanted = slots.join(found, ["_a", "_c"], "left").join(F.broadcast(sets) if size <= BROADCAST_ROWS else sets, "_c", "inner")
-    missing = F.when(F.col("_have").isNull(), F.col("_all")).otherwise(F.array_except("_all", "_have"))
-    gaps = wanted.select("_a", F.explode(missing).alias("_b")).select(
-        "_a", "_b", F.lit(0).cast("bigint").alias("n"), F.lit("missing").alias("status"))
-    return gaps.unionByName(present).select(F.col("_a").alias(a), F.col("_b").alias(b), "status", "n")
+    single = placed.select("_a", status.alias("status"), F.col("_b").alias("_from"), F.col("_b").alias("_to"), "n").where(F.col("status").isNotNull())
+
+    size = two.count()
+    ends = one.select("_a", F.explode(F.array(F.lit(0), F.lit(size + 1))).alias("_i"))
+    marks = placed.where(inside).select("_a", "_i").unionByName(ends)
+    run = marks.select("_a", (F.lag("_i").over(Window.partitionBy("_a").orderBy("_i")) + 1).alias("_start"), (F.col("_i") - 1).alias("_end")).where(
+        F.col("_end") >= F.col("_start"))
+    named = run.join(two.select(F.col("_i").alias("_start"), F.col("_b").alias("_from")), "_start").join(
+        two.select(F.col("_i").alias("_end"), F.col("_b").alias("_to")), "_end")
+    gaps = named.select("_a", F.lit("missing").alias("status"), "_from", "_to", (F.col("_end") - F.col("_start") + 1).cast("bigint").alias("n"))
+    return gaps.unionByName(single).select(F.col("_a").alias(a), "status", F.col("_from").alias(f"first_{b}"), F.col("_to").alias(f"last_{b}"), "n")

@@ -296,15 +296,19 @@ SELECT k AS encoded_features, 1.0::DOUBLE AS total, k::INT AS last_rank FROM n""
 
 
 def grid_gaps_users_days(spark, d):
-    """Users and days without any event, and days with several: a grid of all customers and all days of activity."""
+    """Runs of days without any event of a user, and days with several: a grid of all customers and all days of activity."""
     facts = table(spark, d, "events").select("user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
     return grid_gaps(facts, table(spark, d, "customer").select("c_custkey"), facts.select("day"), ["user_id", "day"])
 
 
 GRID_GAPS_SQL = """WITH f AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day, count(*) AS n FROM events GROUP BY 1, 2),
-g AS (SELECT c_custkey AS user_id, day FROM customer CROSS JOIN (SELECT DISTINCT day FROM f))
-SELECT user_id, day, 'missing' AS status, 0::BIGINT AS n FROM g ANTI JOIN f USING (user_id, day)
-UNION ALL SELECT f.user_id, f.day, CASE WHEN g.user_id IS NULL THEN 'unexpected' ELSE 'duplicate' END, n FROM f LEFT JOIN g USING (user_id, day) WHERE g.user_id IS NULL OR n > 1"""
+days AS (SELECT day, row_number() OVER (ORDER BY day) AS i FROM (SELECT DISTINCT day FROM f)), users AS (SELECT DISTINCT c_custkey AS user_id FROM customer),
+marks AS (SELECT user_id, i FROM f JOIN days USING (day) JOIN users USING (user_id)
+          UNION ALL SELECT user_id, 0 FROM users UNION ALL SELECT user_id, (SELECT count(*) + 1 FROM days) FROM users),
+runs AS (SELECT user_id, lag(i) OVER (PARTITION BY user_id ORDER BY i) + 1 AS a, i - 1 AS b FROM marks)
+SELECT user_id, 'missing' AS status, x.day AS first_day, y.day AS last_day, b - a + 1 AS n FROM runs JOIN days x ON x.i = a JOIN days y ON y.i = b WHERE b >= a
+UNION ALL SELECT user_id, 'duplicate', day, day, n FROM f JOIN users USING (user_id) WHERE n > 1
+UNION ALL SELECT user_id, 'unexpected', day, day, n FROM f ANTI JOIN users USING (user_id)"""
 
 
 def _all_checks(spark, d):
