@@ -49,30 +49,35 @@ def _brackets(n: Column, sketch: Column, probs: Sequence[float], grid: Sequence[
     return F.array(*out)
 
 
-def _cells(x: Column, brackets: Column, probs: Sequence[float], number: int) -> list[Column]:
-    """For each probability a struct (quantile number, cell, ranks) of a row inside the bracket or below it, else null."""
+def _cells(x: Column, lows: Sequence[Column], highs: Sequence[Column], number: int) -> list[Column]:
+    """For each bracket a struct (quantile number, cell) of a row inside it or below it, else null; below, the cell is null."""
     out = []
-    for i in range(len(probs)):
-        b = brackets[i]
-        below, above = F.coalesce(x < b["low"], F.lit(False)), F.coalesce(x > b["high"], F.lit(False))
-        out.append(F.when(x.isNotNull() & ~above, F.struct(
-            F.lit(number + i).alias("i"), F.when(~below, x).alias("cell"), b["first"].alias("first"), b["last"].alias("last"), b["part"].alias("part"))))
+    for i, (low, high) in enumerate(zip(lows, highs)):
+        below, above = F.coalesce(x < low, F.lit(False)), F.coalesce(x > high, F.lit(False))
+        out.append(F.when(x.isNotNull() & ~above, F.struct(F.lit(number + i).alias("i"), F.when(~below, x).alias("cell"))))
     return out
 
 
-def _resolve(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys..., i, quantile) from exploded cells; a null cell stands for all rows below the bracket."""
-    counted = cells.groupBy(*keys, "i", "cell", "first", "last", "part").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy(*keys, "i").orderBy(F.asc_nulls_first("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumn("end", F.sum("n").over(upto)).where(F.col("cell").isNotNull())
+def _counted(data: DataFrame, keys: Sequence[Column], cells: Sequence[Column], names: Sequence[str]) -> DataFrame:
+    """(keys..., i, cell, n, end): rows of each cell and, by running sum, up to it."""
+    long = data.select(*keys, F.explode(F.array(*cells)).alias("c")).where(F.col("c").isNotNull()).select(*names, "c.*")
+    upto = Window.partitionBy(*names, "i").orderBy(F.asc_nulls_first("cell")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = long.groupBy(*names, "i", "cell").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("end", F.sum("n").over(upto)).where(F.col("cell").isNotNull())
+
+
+def _resolve(placed: DataFrame, keys: Sequence[str], bracket: Column) -> DataFrame:
+    """(keys..., i, quantile) by the ranks of each quantile's bracket."""
+    ranked = placed.withColumn("b", bracket)
 
     def at(rank: str) -> Column:
-        return F.max(F.when((F.col("end") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("end")), F.col("cell")))
+        wanted = F.col("b")[rank]
+        return F.max(F.when((F.col("end") - F.col("n") <= wanted) & (wanted < F.col("end")), F.col("cell")))
 
-    found = placed.groupBy(*keys, "i", "part").agg(at("first").alias("a"), at("last").alias("b"))
+    found = ranked.groupBy(*keys, "i").agg(at("first").alias("a"), at("last").alias("z"), F.first(F.col("b")["part"]).alias("part"))
     missed = F.raise_error(F.lit("a wanted rank lies outside its bracket"))
-    between = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("part"))
-    return found.select(*keys, "i", F.when(F.col("a").isNull() | F.col("b").isNull(), missed.cast("double")).otherwise(between).alias("quantile"))
+    between = F.when(F.col("a") == F.col("z"), F.col("a")).otherwise(F.col("a") + (F.col("z") - F.col("a")) * F.col("part"))
+    return found.select(*keys, "i", F.when(F.col("a").isNull() | F.col("z").isNull(), missed.cast("double")).otherwise(between).alias("quantile"))
 
 
 def exact_quantiles(df: DataFrame, probs: Sequence[float], series: Sequence[str] = ("series",), value: str = "value") -> DataFrame:
@@ -85,9 +90,15 @@ def exact_quantiles(df: DataFrame, probs: Sequence[float], series: Sequence[str]
     same = F.lit(True)
     for n in names:
         same = same & data[n].eqNullSafe(bounds[n])
-    near = data.where(F.col("_x").isNotNull()).join(bounds, same, "inner").select(
-        *[data[n] for n in names], F.explode(F.array_compact(F.array(*_cells(data["_x"], bounds["_b"], probs, 0)))).alias("c"))
-    found = _resolve(near.select(*names, "c.*"), names)
+    near = data.where(F.col("_x").isNotNull()).join(bounds, same, "inner")
+    b = bounds["_b"]
+    cells = _cells(data["_x"], [b[i]["low"] for i in range(len(probs))], [b[i]["high"] for i in range(len(probs))], 0)
+    placed = _counted(near, [data[n] for n in names], cells, names)
+    again = bounds.select(*[F.col(n).alias(f"_k{n}") for n in names], "_b")
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_k{n}"))
+    found = _resolve(placed.join(again, same, "inner"), names, F.get("_b", F.col("i")))
     lists = found.groupBy(*names).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "quantile"))), lambda q: q["quantile"]).alias("_quantiles"))
     same = F.lit(True)
     for n in names:
@@ -104,13 +115,17 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
         return {}
     grid = _grid(probs)
     data = df.select(*[canon(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)])
-    row = data.agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, grid, ACCURACY).alias("q")).alias(c) for c in data.columns]).select(
-        *[_brackets(F.col(f"{c}.n"), F.col(f"{c}.q"), probs, grid).alias(c) for c in data.columns]).first()
-    cells = []
+    row = data.agg(*[F.struct(F.count(c).alias("n"), F.percentile_approx(c, grid, ACCURACY).alias("q")).alias(c) for c in data.columns]).first()
+    sketches = data.sparkSession.createDataFrame([tuple(row[c]) for c in data.columns], "n long, q array<double>")
+    # one row for each column, in order: the brackets are evaluated on the driver's side of a local table
+    found = sketches.select(_brackets(F.col("n"), F.col("q"), probs, grid).alias("b")).collect()
+    brackets, cells = [b for r in found for b in r["b"]], []
     for i, c in enumerate(data.columns):
-        b = F.array(*[F.struct(*[F.lit(r[f]).cast(t).alias(f) for f, t in zip(r.__fields__, ("double", "double", "long", "long", "double"))]) for r in row[c]])
-        cells += _cells(F.col(c), b, probs, i * len(probs))
-    found = _resolve(data.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*"), [])
+        lows, highs = ([F.lit(b[side]).cast("double") for b in found[i]["b"]] for side in ("low", "high"))
+        cells += _cells(F.col(c), lows, highs, i * len(probs))
+    ranks = F.array(*[F.struct(F.lit(b["first"]).cast("long").alias("first"), F.lit(b["last"]).cast("long").alias("last"),
+                               F.lit(b["part"]).cast("double").alias("part")) for b in brackets])
+    found = _resolve(_counted(data, [], cells, []), [], F.get(ranks, F.col("i")))
     values = {r["i"]: r["quantile"] for r in bounded_collect(found, len(columns) * len(probs), "quantiles")}
     return {c: [values.get(i * len(probs) + j) for j in range(len(probs))] for i, c in enumerate(columns)}
 

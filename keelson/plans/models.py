@@ -23,6 +23,7 @@ from keelson.presets import HP1
 from keelson.session import materialized, shared_path
 from keelson.spec import ForestSettings, RunSpec
 
+PREDICTORS = ("by_part", "constant", "linear", "per_unit")
 SMALL = ForestSettings("small", trees=10, depth=5, min_leaf=5, feature_subset="sqrt")
 FLAT = ForestSettings("flat", trees=10, depth=3, min_leaf=2, feature_subset="all")
 
@@ -323,7 +324,18 @@ def _all_checks(spark, d):
     runs = materialized(measured.select(F.col("model").alias("run_name"), F.lit("v1").alias("feature_version"),
                                         F.col("model").alias("settings"), *[c for c in measured.columns if c != "model"]))
     best = M.require_best(runs, "run_name")
+    versions, settings = (spark.createDataFrame([(v,) for v in values], "v string") for values in (("v1",), PREDICTORS))
+    # the same rules on tables and declarations that break some of them
+    faulty = Q.union_all([
+        Q.accounting(cleaned.withColumn("final_rows", F.col("final_rows") + 1), "cleaning: rows reconcile", "initial_rows",
+                     ["missing_key_rows_removed", "duplicate_key_rows_removed", "bad_label_rows_removed"], "final_rows"),
+        Q.version_checks(old, new, [*DERIVED, "absent"], ("balance",)),
+        Q.history_checks(retrieval_counts(labels.where("user_id % 7 <> 0"), labels, "user_id"), PF.lookup_check(spark, d)),
+        Q.split_checks(table(spark, d, "customer"), membership, "c_custkey", split.test_entities + 1),
+        Q.run_checks(runs, spark.createDataFrame([("v1",), ("v2",)], "v string"), settings, "constant", best["test_rmse"]),
+    ]).withColumn("check_name", F.concat(F.lit("faulty "), "check_name"))
     return Q.union_all([
+        faulty,
         Q.check_table(orders, "orders", [
             Q.NotNull("o_custkey"), Q.InRange("o_totalprice", 1000.0, 450000.0), Q.OneOf("o_orderstatus", ("F", "O")),
             Q.Holds("date known", "o_orderdate is not null"), Q.UniqueKey(("o_orderkey",)), Q.UniqueKey(("o_custkey",))]),
@@ -334,7 +346,7 @@ def _all_checks(spark, d):
         Q.version_checks(old, new, list(DERIVED), LEAKAGE),
         Q.history_checks(history, PF.lookup_check(spark, d)),
         Q.split_checks(base, membership, "c_custkey", split.test_entities),
-        Q.run_checks(runs, runs.select("feature_version"), runs.select("settings"), best["run_name"], best["test_rmse"]),
+        Q.run_checks(runs, versions, settings, best["run_name"], best["test_rmse"]),
     ])
 
 
@@ -342,7 +354,16 @@ def quality_checks(spark, d):
     return _all_checks(spark, d).drop("detail")
 
 
-# checks of our own bookkeeping must simply pass
+_BEST = f"(SELECT model FROM ({GAPS_SQL}) ORDER BY test_rmse, test_mae, test_r2 DESC, model LIMIT 1)"
+_UNCOVERED = "(SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM split_of))"
+_TEST_SIZE = "(SELECT count(*) FROM split_of WHERE split = 'test')"
+
+
+def _listed(names):
+    return f"[{', '.join(repr(n) for n in names)}]"
+
+
+_ADDED = f"(SELECT list_sort(list(f)) FROM (SELECT unnest({_listed(V2.features)}) AS f EXCEPT SELECT unnest({_listed(V1.features)})))"
 _CHECKS = [
     ("orders: o_custkey not null", "table", "(SELECT count(*) FROM orders WHERE o_custkey IS NULL) = 0"),
     ("orders: o_totalprice in range", "table", "(SELECT count(*) FROM orders WHERE o_totalprice NOT BETWEEN 1000 AND 450000) = 0"),
@@ -354,16 +375,37 @@ _CHECKS = [
     ("lineitem: l_quantity in range", "table", "(SELECT count(*) FROM lineitem WHERE l_quantity NOT BETWEEN 1 AND 40) = 0"),
     ("customers: complete balances", "match", "(SELECT count(*) FROM customers WHERE balance IS NULL) = 0"),
     ("cleaning: rows reconcile", "accounting", "(SELECT count(DISTINCT user_id) FROM events) = (SELECT count(*) FROM dedup)"),
-    ("versions: equal row counts", "versions", "true"),
-    ("versions: no leakage", "versions", "true"),
-    ("versions: expected added features", "versions", "true"),
-    ("history: rows equal labels", "retrieval", "true"),
-    ("online: response complete", "retrieval", "true"),
-    *[(f"split: no {c}", "split", "true") for c in ("overlapping keys", "duplicate keys", "uncovered keys", "unknown keys", "bad values")],
-    ("split: test size", "split", "(SELECT count(*) FROM split_of WHERE split = 'test') = (SELECT ceil(count(*) * 0.2) FROM customers)"),
-    ("runs: grid complete", "runs", "true"),
-    ("runs: metrics present", "runs", "true"),
-    ("runs: best run", "runs", "true"),
+    ("versions: equal row counts", "versions", "(SELECT count(*) FROM customers) = (SELECT count(c_custkey) FROM customers)"),
+    ("versions: no leakage", "versions", f"NOT list_has_any({_listed([*V1.features, *V2.features])}, {_listed(LEAKAGE)})"),
+    ("versions: expected added features", "versions",
+     f"{_ADDED} = list_sort({_listed(DERIVED)})"),
+    ("history: rows equal labels", "retrieval", "(SELECT count(*) FROM events WHERE event_type = 'purchase') > 0"),
+    ("online: response complete", "retrieval", "(SELECT count(*) FROM customers) > 0"),
+    ("split: no overlapping keys", "split", "(SELECT count(*) - count(DISTINCT c_custkey) FROM split_of) = 0"),
+    ("split: no duplicate keys", "split", "(SELECT count(*) - count(DISTINCT c_custkey) FROM split_of) = 0"),
+    ("split: no uncovered keys", "split", "(SELECT count(*) FROM customers ANTI JOIN split_of USING (c_custkey)) = 0"),
+    ("split: no unknown keys", "split", "(SELECT count(*) FROM split_of ANTI JOIN customers USING (c_custkey)) = 0"),
+    ("split: no bad values", "split", "(SELECT count(*) FROM split_of WHERE split NOT IN ('train', 'test')) = 0"),
+    ("split: test size", "split", f"{_TEST_SIZE} = (SELECT ceil(count(*) * 0.2) FROM customers)"),
+    ("runs: grid complete", "runs", f"(SELECT count(DISTINCT model) FROM ({GAPS_SQL})) = {len(PREDICTORS)}"),
+    ("runs: metrics present", "runs", f"(SELECT count(*) FROM ({GAPS_SQL}) WHERE train_rmse IS NULL OR test_rmse IS NULL OR test_r2 IS NULL) = 0"),
+    ("runs: best run", "runs", f"{_BEST} IS NOT NULL"),
+    ("faulty cleaning: rows reconcile", "accounting", "(SELECT count(DISTINCT user_id) FROM events) = (SELECT count(*) + 1 FROM dedup)"),
+    ("faulty versions: equal row counts", "versions", "(SELECT count(*) FROM customers) = (SELECT count(c_custkey) FROM customers)"),
+    ("faulty versions: no leakage", "versions", f"NOT list_has_any({_listed([*V1.features, *V2.features])}, ['balance'])"),
+    ("faulty versions: expected added features", "versions",
+     f"{_ADDED} = list_sort({_listed([*DERIVED, 'absent'])})"),
+    ("faulty history: rows equal labels", "retrieval", "(SELECT count(*) FROM events WHERE event_type = 'purchase' AND user_id % 7 <> 0) = (SELECT count(*) FROM events WHERE event_type = 'purchase')"),
+    ("faulty online: response complete", "retrieval", "(SELECT count(*) FROM customers) > 0"),
+    ("faulty split: no overlapping keys", "split", "(SELECT count(*) - count(DISTINCT c_custkey) FROM split_of) = 0"),
+    ("faulty split: no duplicate keys", "split", "(SELECT count(*) - count(DISTINCT c_custkey) FROM split_of) = 0"),
+    ("faulty split: no uncovered keys", "split", f"{_UNCOVERED} = 0"),
+    ("faulty split: no unknown keys", "split", "(SELECT count(*) FROM split_of ANTI JOIN customer USING (c_custkey)) = 0"),
+    ("faulty split: no bad values", "split", "(SELECT count(*) FROM split_of WHERE split NOT IN ('train', 'test')) = 0"),
+    ("faulty split: test size", "split", f"{_TEST_SIZE} = {_TEST_SIZE} + 1"),
+    ("faulty runs: grid complete", "runs", f"(SELECT count(DISTINCT model) FROM ({GAPS_SQL})) = {2 * len(PREDICTORS)}"),
+    ("faulty runs: metrics present", "runs", f"(SELECT count(*) FROM ({GAPS_SQL}) WHERE train_rmse IS NULL OR test_rmse IS NULL OR test_r2 IS NULL) = 0"),
+    ("faulty runs: best run", "runs", f"{_BEST} = 'constant'"),
 ]
 
 
