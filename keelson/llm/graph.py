@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,32 +14,62 @@ from keelson.session import bounded_collect, release, stored
 
 SCREEN_BITS = 1 << 20
 MAX_ROUNDS = 100
+HUB_EDGES = 1_000_000
+LINKS = "a long, b long, moved boolean"
+
+
+def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hangs every node of this partition below the smallest node it is connected with here.
+
+    ``moved`` tells that a component was not such a star already.
+    """
+    a, b = [], []
+    for batch in batches:
+        a.append(batch.column("a").to_numpy())
+        b.append(batch.column("b").to_numpy())
+    if not a or not sum(map(len, a)):
+        return
+    nodes, place = np.unique(np.concatenate(a + b), return_inverse=True)
+    one, two = place[:len(place) // 2], place[len(place) // 2:]
+    root = np.arange(len(nodes))
+    while True:  # smallest neighbour of the roots, then shortcuts, until nothing changes
+        low = np.minimum(root[one], root[two])
+        before = root.copy()
+        for side in (one, two):
+            np.minimum.at(root, root[side], low)
+            np.minimum.at(root, side, low)
+        while (root != root[root]).any():
+            root = root[root]
+        if (root == before).all():
+            break
+    below = np.flatnonzero(root != np.arange(len(nodes)))
+    star = np.zeros(len(nodes), bool)  # components with an edge that does not end at the smallest node
+    off = (np.minimum(one, two) != root[one])
+    star[root[one[off]]] = True
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[below]), pa.array(nodes[root[below]]), pa.array(star[root[below]])], names=["a", "b", "moved"])
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): each node that has an edge, with the smallest node it reaches.
 
-    Alternates two steps until nothing changes, a number of rounds that grows with the logarithm of the longest path: every
-    node hangs its larger neighbours, then its smaller ones, below the smallest node it knows. A node's neighbours are
-    never collected, so a hub costs no more than its edges. Each round is written to the shared folder.
+    Each round brings all edges of a node together and hangs what is connected there below its smallest node, until every
+    component is a star; the number of rounds grows with the logarithm of the longest path. A node with many edges is
+    spread: its edges to larger nodes are dealt over several places, its few edges to smaller nodes go to all of them. Each
+    round is written to the shared folder, and no edge reaches the driver.
     """
-    links = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), "edges")
-    before = None
+    pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
+    links = stored(pairs.mapInArrow(_local_stars, LINKS), "links")
     for _ in range(MAX_ROUNDS):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        lowest = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(
-            lowest.select("a", F.col("m").alias("b"))).distinct()
-        after = stored(small, "edges")
+        n = links.count()
+        places = -(-n // HUB_EDGES) or 1
+        below = links.select("a", "b", F.col("b").alias("node"), F.pmod(F.xxhash64("a"), F.lit(places)).cast("int").alias("place"))
+        own = links.select("a", "b", F.col("a").alias("node"), F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("place"))
+        met = below.unionByName(own).repartition("node", "place").select("a", "b")
+        after = stored(met.mapInArrow(_local_stars, LINKS), "links")
         release(links)
         links = after
-        state = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == before:
+        if links.where("moved").isEmpty():
             break
-        before = state
     else:
         raise ValueError(f"components did not settle in {MAX_ROUNDS} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

@@ -7,8 +7,8 @@ Two documents link when the Jaccard similarity of their sets of word n-grams rea
    many documents each n-gram is, and send back only n-grams of two or more documents.
 2. Size-derived bounds. A set of n needs ceil(ratio * n) common n-grams with any partner, so of its rarest
    n - ceil(ratio * n) + 1 at least one is shared. Those columns are the index; rows of a column follow one another by
-   size, and two neighbours are joined when their sizes allow the ratio. Sizes that do not fit end a chain, so every pair
-   that can link is inside one connected cluster, although only neighbours were written: a column of L rows costs L - 1.
+   size, and each is joined with the smallest row, or the row before, when the sizes allow the ratio. Sizes that do not fit
+   end a chain, so every pair that can link is inside one connected cluster: a column of L rows costs L - 1 edges.
 3. Product. The rows of a cluster are cut into blocks of ``ROWS``; each pair of blocks whose sizes fit is one product of
    incidence matrices, accumulated over column blocks. It ends early when no pair can still reach its bound. A task returns
    a spanning forest of the linking pairs and the number of links of each row, never the pairs.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keelson.llm.graph import components, screen
-from keelson.llm.words import mix, shingle_hashes, text_slices, word_hashes
+from keelson.llm.words import give_back, mix, shingle_hashes, text_slices, word_hashes
 from keelson.session import stored
 
 BLOCK_BYTES = 4 << 20
@@ -89,6 +89,7 @@ def incidence_rows(docs: DataFrame, words: int, parts: int) -> DataFrame:
                 info["hi"], info["lo"] = (_sums(mix(hashes ^ np.uint64(c)), counts).view(np.int64) for c in (0x243F6A88, 0x85A308D3))
                 yield from block_rows(base + number, info, hashes, counts)
                 number, row = number + 1, end
+        give_back()
 
     def block_rows(block: int, info: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.zeros(len(info), bool)
@@ -135,6 +136,7 @@ def _shared_columns(rows: pa.Table) -> pa.Table:
             if (shared := mine > 1).any():
                 out.append((blocks[i], ENTRIES, pack(h[shared]), pack(unpack(two[i], np.uint32)[shared]), pack(mine[shared])))
     columns = list(zip(*out, strict=True)) or [[]] * 5
+    give_back()
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
                     names=["block", "kind", "hashes", "owners", "df"])
 
@@ -179,6 +181,7 @@ def _sets_of(words: int):
             for _, hashes, counts in document_sets(batch.column("text"), words):
                 out += [h.tobytes() for h in np.split(hashes, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "grams"])
+        give_back()
     return sets
 
 
@@ -263,6 +266,7 @@ def _product_of(numerator: int, denominator: int):
                 links[:len(one), len(one):], links[len(one):, :len(one)] = half, half.T
             out += [(int(ids[a]), int(ids[b]), 0) for a, b in spanning_edges(links)]
         columns = list(zip(*out, strict=True)) or [[]] * 3
+        give_back()
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "links"])
     return product
 
@@ -287,8 +291,11 @@ def link_documents(docs: DataFrame, words: int = 5, numerator: int = 4, denomina
     index = incidence.groupBy("block").applyInArrow(_index_of(numerator, denominator), "gram long, hi long, lo long, n long").distinct()
     column = index.join(classes, ["hi", "lo", "n"]).select("gram", "n", "node")
     before = Window.partitionBy("gram").orderBy("n", "node")
-    chains = column.select("n", F.col("node").alias("b"), F.lag("node").over(before).alias("a"), F.lag("n").over(before).alias("m")).where(
-        F.col("a").isNotNull() & (F.col("m") * denominator >= F.col("n") * numerator)).select("a", "b").distinct()
+    # to the smallest row of the column if the sizes allow it, else to the row before
+    head, last = (F.struct(f("n").over(before).alias("n"), f("node").over(before).alias("node")) for f in (F.first, F.lag))
+    row = column.select("n", "node", F.when(head["n"] * denominator >= F.col("n") * numerator, head).otherwise(last).alias("to"))
+    chains = row.where((F.col("to.node") != F.col("node")) & (F.col("to.n") * denominator >= F.col("n") * numerator)).select(
+        F.col("to.node").alias("a"), F.col("node").alias("b"))
     clusters = components(chains)
     members = stored(clusters.join(classes, "node").select("node", F.col("component").alias("cluster"), "n", "copies"), "members")
     found = stored(_verify(docs, members, words, numerator, denominator, rows), "links")

@@ -6,12 +6,13 @@ words a collision has a chance of about V * V / 2**65.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
@@ -20,6 +21,24 @@ MASK = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [(1 << 64) - 1], dtype=
 _A, _B, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system. Worker processes live on between tasks, and would keep each task's peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def free_names(taken: list[str], wanted: list[str]) -> list[str]:
+    """The wanted column names, with underscores in front as long as they are taken."""
+    out = []
+    for name in wanted:
+        while name.lower() in {t.lower() for t in taken}:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     x = (x ^ (x >> np.uint64(30))) * _A
