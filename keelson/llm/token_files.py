@@ -30,6 +30,7 @@ BLOCK_IDS = 1 << 20
 RANGE_BYTES = 8 << 20
 MAX_RANGES = 4096
 END_ID = 1
+DENSE = 1 << 22
 LENGTHS = np.array([[1 + (c >> (2 * i) & 3) for i in range(4)] for c in range(256)], np.int64)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], "<u4")
 BLOCK = "range_no int, block_no int, n_ids long, doc_ids array<long>, lengths array<long>, ranked binary, control binary, data binary"
@@ -37,10 +38,16 @@ BLOCK = "range_no int, block_no int, n_ids long, doc_ids array<long>, lengths ar
 
 def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """(ranked, control, data) of unsigned 32-bit ids."""
-    distinct, place, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and int(ids.max()) < DENSE:  # counting needs no sort; the result is the same
+        counts = np.bincount(ids)
+        distinct, place = np.flatnonzero(counts), ids
+        counts = counts[distinct]
+        rank_of = np.empty(int(distinct[-1]) + 1, "<u4")
+    else:
+        distinct, place, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        rank_of = np.empty(len(distinct), "<u4")
     order = np.argsort(-counts, kind="stable")
-    rank_of = np.empty(len(order), "<u4")
-    rank_of[order] = np.arange(len(order))
+    rank_of[distinct[order] if place is ids else order] = np.arange(len(order))
     ranks = rank_of[place]
     length = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
     codes = np.zeros(-(-len(ids) // 4) * 4, np.uint8)

@@ -16,6 +16,8 @@ import numpy as np
 CACHE_ENTRIES = 450_000
 LIBRARY_CHARS = 1 << 16
 GROUP_CHARS = 1 << 20
+#: characters that are neither letters, numbers nor white space; the apostrophe also starts contractions
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 OTHER = re.compile(r"[^\t\n\x0b\x0c\r -~\xa1-\xff]|<\|")
 
 
@@ -52,12 +54,31 @@ class WordTokens:
         if missing:
             if len(self.known) + len(missing) > CACHE_ENTRIES:  # keep one older generation, so frequent words survive
                 self.older, self.known = self.known, {c: self.known[c] for c in set().union(*chunks) - missing}
-            old = missing & self.older.keys()
-            self.known.update((c, self.older[c]) for c in old)
-            self._learn(list(missing - old))
+            self._add(missing)
         get = self.known.__getitem__
         return [b"".join(map(get, c)) if p else self._library([t])[0] for c, p, t in zip(chunks, plain, texts, strict=True)]
 
+    def _add(self, missing: set[str]) -> None:
+        """Knows chunks from the older generation or from their parts: the marks after a letter or number are a token
+        sequence of their own, so that a word is encoded once whatever follows it."""
+        parts, new = {}, set()
+        for chunk in missing:
+            if (found := self.older.get(chunk)) is not None:
+                self.known[chunk] = found
+                continue
+            core = chunk.rstrip(MARKS)
+            parts[chunk] = (core, chunk[len(core):]) if core and core != chunk and core[-1].isalnum() else (chunk, "")
+            for part in parts[chunk]:
+                if part and part not in self.known:
+                    if (found := self.older.get(part)) is not None:
+                        self.known[part] = found
+                    else:
+                        new.add(part)
+        self._learn(list(new))
+        for chunk, (core, tail) in parts.items():
+            if tail:
+                self.known[chunk] = self.known[core] + self.known[tail]
+
     def _learn(self, chunks: list[str]) -> None:
         """Encodes new chunks as lines of a few long texts; the place of a token in its text tells its chunk."""
         at = 0
