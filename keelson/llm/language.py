@@ -8,23 +8,23 @@ bounded sample of labelled slices; prediction runs over every byte of every text
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keelson.llm.words import text_slices
+from keelson.llm.words import free_names, give_back, text_slices
 from keelson.session import bounded_collect
 
 HIDDEN = 8
 SEGMENT = 128
 PAD = 256
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"
 DOCS_PER_LANGUAGE = 400
 SLICE_CHARS = 400
 MAX_LANGUAGES = 512
@@ -185,8 +185,8 @@ def training_sample(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     return [r[2] for r in rows], [r[0] for r in rows]
 
 
-def identify(docs: DataFrame, net: Network) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (its pooled probability) to documents; one row per input row.
+def identify(docs: DataFrame, net: Network, lang_pred: str = "lang_pred", pooled: str = "score") -> DataFrame:
+    """Adds the predicted language and its pooled probability to documents; one row per input row.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text when no language was learned.
     """
@@ -201,13 +201,14 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
                 for row, data, offsets in text_slices(column):
                     p = predict(net, data, offsets)
                     best[row:row + len(p)], score[row:row + len(p)] = p.argmax(axis=1), p.max(axis=1)
-                lettered = np.fromiter((t is not None and LETTER.search(t) is not None for t in column.to_pylist()), bool, batch.num_rows)
+                lettered = np.asarray(pc.fill_null(pc.match_substring_regex(column, LETTER), False))
                 best[~lettered], score[~lettered] = len(net.languages), 0.0
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(labels[best], pa.string()), pa.array(np.clip(score, 0.0, 1.0))], names=[*names, "lang_pred", "score"])
+                [*batch.columns, pa.array(labels[best], pa.string()), pa.array(np.clip(score, 0.0, 1.0))], names=[*names, lang_pred, pooled])
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(label, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(label, f"{schema}, `{lang_pred}` string, `{pooled}` double")
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 5):
@@ -229,7 +230,6 @@ def predict_documents(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAG
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """The documents with a language that is predicted with at least the given score, with their columns."""
-    columns = docs.columns
-    net = learn(docs)
-    seen = identify(docs.select(F.struct(*columns).alias("row"), "doc_id", "text"), net)
-    return seen.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select("row.*")
+    language, score = free_names(docs.columns, ["lang_pred", "score"])
+    seen = identify(docs, learn(docs), language, score)
+    return seen.where((F.col(language) != UNDETERMINED) & (F.col(score) >= least)).select(docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.words import text_slices, word_hashes
+from keelson.llm.words import free_names, give_back, text_slices, word_hashes
 from keelson.session import bounded_collect, release, stored
 
 BUCKETS = 1 << 16
@@ -88,6 +88,7 @@ def fit(docs: DataFrame, target_ids: list[int], smoothing: float = SMOOTHING) ->
                     target += np.bincount(codes[picked[_owners(counts)]], minlength=size)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(target[seen])], names=["bucket", "raw", "target"])
+        give_back()
 
     parts = docs.select("doc_id", "text").mapInArrow(count, "bucket long, raw long, target long")
     totals = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
@@ -101,8 +102,8 @@ def fit(docs: DataFrame, target_ids: list[int], smoothing: float = SMOOTHING) ->
     return ratio
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """Adds ``n_ngrams`` and ``log_weight`` (null without n-grams) to documents; one row per input row."""
+def weigh(docs: DataFrame, ratio: np.ndarray, n_ngrams: str = "n_ngrams", log_weight: str = "log_weight") -> DataFrame:
+    """Adds the number of n-grams and the log weight (null without n-grams) to documents; one row per input row."""
     names = docs.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,10 +115,11 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 total[row:end] = counts.sum(axis=0)
                 weight[row:end] = np.bincount(_owners(counts), weights=ratio[codes], minlength=end - row) * LENGTH / np.maximum(total[row:end], 1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(total), pa.array(weight, mask=total == 0)], names=[*names, "n_ngrams", "log_weight"])
+                [*batch.columns, pa.array(total), pa.array(weight, mask=total == 0)], names=[*names, n_ngrams, log_weight])
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{schema}, n_ngrams long, log_weight double")
+    return docs.mapInArrow(score, f"{schema}, `{n_ngrams}` long, `{log_weight}` double")
 
 
 def gumbel_key(weight: Column, doc_id: Column, seed: int = SEED) -> Column:
@@ -182,11 +184,12 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: i
     return kept.withColumn("selected", is_selected(last)), ratio, last
 
 
-def is_selected(last: tuple[float, int] | None) -> Column:
+def is_selected(last: tuple[float, int] | None, gumbel: Column | None = None) -> Column:
     if last is None:
         return F.lit(False)
     key, doc_id = last
-    drawn = (F.col("gumbel_key") > key) | ((F.col("gumbel_key") == key) & (F.col("doc_id") <= doc_id))
+    gumbel = F.col("gumbel_key") if gumbel is None else gumbel
+    drawn = (gumbel > key) | ((gumbel == key) & (F.col("doc_id") <= doc_id))
     return F.coalesce(drawn, F.lit(False))
 
 
@@ -194,7 +197,6 @@ def keep_selected(docs: DataFrame, labels: DataFrame, k: int | None = None, samp
     """The documents that ``resample`` selects, with their columns. Weights are computed again instead of joined to texts."""
     scores, ratio, last = resample(docs, labels, k, sample, seed=seed)
     release(scores)
-    columns = docs.columns
-    weighed = weigh(docs.select(F.struct(*columns).alias("row"), F.col("doc_id"), F.col("text")), ratio)
-    keyed = weighed.withColumn("gumbel_key", gumbel_key(F.col("log_weight"), F.col("doc_id"), seed))
-    return keyed.where(is_selected(last)).select("row.*")
+    n, weight = free_names(docs.columns, ["n_ngrams", "log_weight"])
+    weighed = weigh(docs, ratio, n, weight)
+    return weighed.where(is_selected(last, gumbel_key(F.col(weight), F.col("doc_id"), seed))).select(docs.columns)
