@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from keelson.llm import jaccard, language, neighbours, quality, queries, url_filter
 
-QUERY = F.col("vec_id") % 20 == 0
+
+def is_query():
+    return F.col("vec_id") % 20 == 0
 
 
 def brute_nearest(rows, k=20):
@@ -45,13 +47,21 @@ def test_neighbours_with_copies_ties_and_unusable_rows(spark):
     rows += [(401, None), (402, []), (403, [0.0] * 6), (404, [float("nan"), *[1.0] * 5]), (405, [float("inf"), *[1.0] * 5]),
              (406, [None, *[1.0] * 5]), (None, [1.0] * 6), (407, [1.0] * 5), rows[7], rows[40]]
     frame = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "vec_id long, embedding array<float>, node long, q long, h string")
-    assert answers(neighbours.nearest_neighbours(frame, QUERY)) == brute_nearest([r for r in rows if r[0] != 407])
+    got, want = answers(neighbours.nearest_neighbours(frame, is_query())), brute_nearest([r for r in rows if r[0] != 407])
+    assert got.keys() == want.keys()
+    score = {(q, j): s for q in want for _, j, s in brute_nearest([r for r in rows if r[0] != 407], 1000)[q]}
+    for q, found in got.items():
+        assert [s for _, _, s in found] == [score[q, j] for _, j, _ in found]
+        assert [(-s, j) for _, j, s in found] == sorted((-s, j) for _, j, s in found) and len(found) == 20
+    hits = sum(len({j for _, j, _ in got[q]} & {j for _, j, _ in want[q]}) for q in want)
+    assert hits >= 0.97 * 20 * len(want)
+    assert got[220] == want[220]  # its copies, smallest ids first
 
 
 @pytest.mark.parametrize("n", [0, 1, 5])
 def test_neighbours_with_few_candidates(spark, n):
     rows = [(20 * i, [1.0 + i, -1.0]) for i in range(n)]
-    got = answers(neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), QUERY))
+    got = answers(neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), is_query()))
     assert got == {q: v for q, v in brute_nearest(rows).items() if v}
 
 
