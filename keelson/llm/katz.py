@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.jaccard import pack, unpack
-from keelson.llm.words import mix, text_slices, word_hashes
+from keelson.llm.words import give_back, mix, text_slices, word_hashes
 from keelson.session import bounded_collect, release, shared_path, stored
 
 BLOCK_BYTES = 8 << 20
@@ -115,6 +115,7 @@ def _table(rows: list[tuple], sums: bool = False) -> pa.Table:
     names = ["block", "part", "kind", "a", "b", "c"] + ["sums"] * sums
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64())][:len(names)]
     columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    give_back()
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
@@ -150,6 +151,7 @@ def corpus_blocks(docs: DataFrame, parts: int) -> DataFrame:
                     rows.append((base + number, int(p), WORDS, _squeeze(np.diff(distinct[a:b], prepend=np.uint64(0))), _squeeze(learned[a:b].astype(np.uint32)), b""))
                 yield from _table(rows).to_batches()
                 number, row = number + 1, end
+        give_back()
 
     return docs.select("doc_id", "text", "held").mapInArrow(emit, BLOCKS)
 
