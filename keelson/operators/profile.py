@@ -223,14 +223,19 @@ def histogram(df: DataFrame, column: str, bins: int, series: str | None = None,
         data = data.where(F.col("v") <= high)
     edges = data.groupBy("series").agg(lo.alias("lo"), hi.alias("hi"), F.count(F.lit(1)).alias("total"))
     grid = stored(edges.withColumn("k", F.when(F.col("lo") == F.col("hi"), F.lit(1)).otherwise(F.lit(bins))), "edges")
-    named = grid.select(F.col("series").alias("_s"), "lo", "hi", "k")
-    near = data.join(named, F.col("series").eqNullSafe(F.col("_s")), "inner")
+    if series:
+        named = grid.select(F.col("series").alias("_s"), "lo", "hi", "k")
+        near = data.join(named, F.col("series").eqNullSafe(F.col("_s")), "inner")
+    else:
+        one = grid.first() or {"lo": 0.0, "hi": 0.0, "k": 1}  # a single row
+        near = data.withColumns({"lo": F.lit(one["lo"]), "hi": F.lit(one["hi"]), "k": F.lit(one["k"])})
     cell = F.when(F.col("lo") == F.col("hi"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.col("k")).cast("int") + 1, F.col("k")))
     counted = near.groupBy("series", cell.alias("bin")).agg(F.count(F.lit(1)).alias("n")).select(
         F.col("series").alias("_s"), F.col("bin").alias("_b"), "n")
     every = grid.select("*", F.explode(F.sequence(F.lit(1), F.col("k"))).alias("bin"))
-    full = every.join(counted, F.col("series").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b")), "left")
+    same = F.col("bin") == F.col("_b")
+    full = every.join(counted, (F.col("series").eqNullSafe(F.col("_s")) & same) if series else same, "left")
     width = (F.col("hi") - F.col("lo")) / F.col("k")
     out = full.select(
         "series", "bin", (F.col("lo") + width * (F.col("bin") - 1)).alias("bin_low"),
