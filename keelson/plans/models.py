@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from keelson.operators import features as B
@@ -19,13 +17,10 @@ from keelson.operators.split import apply_split, exact_sample, sample_split, spl
 from keelson.plans import features as PF
 from keelson.plans.common import (CUSTOMERS_SQL, DERIVED, EVENT_RULES, EVENTS_CLEAN_SQL, FEATURES_SQL, LEAKAGE, SPLIT_SQL, V1, V2, customers, r6,
                                   rounded, table)
-from keelson.presets import HP1
+from keelson.presets import HP1, HP2, RUNS
 from keelson.session import materialized, shared_path
-from keelson.spec import ForestSettings, RunSpec
 
 PREDICTORS = ("by_part", "constant", "linear", "per_unit")
-SMALL = ForestSettings("small", trees=10, depth=5, min_leaf=5, feature_subset="sqrt")
-FLAT = ForestSettings("flat", trees=10, depth=3, min_leaf=2, feature_subset="all")
 
 
 def entity_split(spark, d):
@@ -236,31 +231,30 @@ def _fit(spark, d, spec, settings):
 
 
 def forest_predictions(spark, d):
-    return _fit(spark, d, V1, SMALL).predictions()
+    return _fit(spark, d, V1, HP1).predictions()
 
 
 def forest_metrics(spark, d):
-    return _fit(spark, d, V2, replace(HP1, trees=20, depth=6)).metrics()
+    return _fit(spark, d, V2, HP1).metrics()
 
 
 def feature_importance(spark, d):
-    return _fit(spark, d, V2, FLAT).importance()
+    return _fit(spark, d, V2, HP2).importance()
 
 
 def experiment_comparison(spark, d):
-    """Two feature versions and two settings on one split, ranked."""
+    """The standard grid, two feature versions by two settings, on one split, ranked."""
     base = materialized(customers(spark, d))
     split, _ = split_entities(base, "c_custkey", 0.2, 42)
     data = {s.version: (B.derive(base, s.derived), s) for s in (V1, V2)}
-    grid = [RunSpec(f"{v}_{h}", v, h) for v in ("v1", "v2") for h in ("small", "flat")]
     registry = shared_path(spark, "runs")
-    compared = X.comparison(X.run_grid(data, split, "latest_value", grid, {"small": SMALL, "flat": FLAT}, "example", registry))
+    compared = X.comparison(X.run_grid(data, split, "latest_value", RUNS, {"hp1": HP1, "hp2": HP2}, "example", registry))
     return compared.drop("training_seconds", "prediction_seconds")
 
 
 def stored_model_scores(spark, d):
     """Scores of all customers by a model that was saved and loaded, compared with those of the fitted one."""
-    result = _fit(spark, d, V1, FLAT)
+    result = _fit(spark, d, V1, HP2)
     path = shared_path(spark, "model")
     L.save_model(result.model, path)
     stored = L.score(path, customers(spark, d), "c_custkey").withColumnRenamed("prediction", "stored")
@@ -274,7 +268,7 @@ STORED_MODEL_SQL = f"WITH {CUSTOMERS_SQL} SELECT count(*) AS scored_rows, 0::BIG
 
 def forest_bounds(spark, d):
     """Predicted rows per split. A forest averages training labels, so it cannot leave their range."""
-    scored = _fit(spark, d, V1, SMALL).scored
+    scored = _fit(spark, d, V1, HP1).scored
     low, high = scored.where(F.col("split") == "train").agg(F.min("latest_value"), F.max("latest_value")).first()
     return scored.groupBy("split").agg(
         F.count("prediction").alias("predicted_rows"),
@@ -287,7 +281,7 @@ SELECT split, count(*) AS predicted_rows, 0::BIGINT AS rows_out_of_range FROM sp
 
 def importance_total(spark, d):
     """Number of encoded features of version 2, and their importances' sum."""
-    return _fit(spark, d, V2, FLAT).importance().agg(
+    return _fit(spark, d, V2, HP2).importance().agg(
         F.count(F.lit(1)).alias("encoded_features"), r6(F.sum("importance")).alias("total"), F.max("rank").alias("last_rank"))
 
 

@@ -8,7 +8,8 @@ from keelson.operators import features as B
 from keelson.operators import model as L
 from keelson.operators import runs as X
 from keelson.operators.split import split_entities
-from keelson.presets import DERIVED, HP1, HP2, strength_features
+from keelson.plans import models as Q
+from keelson.presets import DERIVED, HP1, HP2, RUNS, strength_features
 from keelson.spec import ContractError, ForestSettings, RunSpec
 
 V1, V2 = strength_features("k", "v1"), strength_features("k", "v2")
@@ -118,6 +119,19 @@ def test_settings():
     assert (f.getNumTrees(), f.getMaxDepth(), f.getMinInstancesPerNode(), f.getFeatureSubsetStrategy()) == (300, 20, 2, "all")
 
 
+def test_registered_forests_have_the_declared_settings(spark, sf, monkeypatch):
+    fitted, grids = {}, []
+    monkeypatch.setattr(Q, "_fit", lambda spark, d, spec, settings: fitted.setdefault(settings, []).append(spec.version) or 1 / 0)
+    for query in (Q.forest_predictions, Q.forest_metrics, Q.feature_importance, Q.stored_model_scores, Q.forest_bounds, Q.importance_total):
+        with pytest.raises(ZeroDivisionError):
+            query(spark, sf)
+    assert fitted.keys() == {HP1, HP2} and sum(map(len, fitted.values())) == 6
+    monkeypatch.setattr(X, "run_grid", lambda data, split, target, runs, settings, *rest: grids.append((runs, settings)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        Q.experiment_comparison(spark, sf)
+    assert grids == [(RUNS, {"hp1": HP1, "hp2": HP2})]
+
+
 def test_more_categories_than_a_small_limit(spark):
     rows = spark.range(11_000).selectExpr("id AS k", "double(id % 7) AS age", "1D AS weight", "2D AS height", "concat('g', id) AS gender", "'r' AS region")
     learned = L.fit_preprocessing(rows, V1)
