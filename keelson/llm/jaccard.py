@@ -92,10 +92,11 @@ def incidence_rows(docs: DataFrame, words: int, parts: int) -> DataFrame:
         give_back()
 
     def block_rows(block: int, info: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first = np.zeros(len(info), bool)
-        first[np.unique(info[["hi", "lo"]], return_index=True)[1]] = True
+        # the first row of each set among those that can link: a null doc_id before a copy sends nothing
+        first, known = np.zeros(len(info), bool), np.flatnonzero(info["known"])
+        first[known[np.unique(info[known][["hi", "lo"]], return_index=True)[1]]] = True
         owner = np.repeat(np.arange(len(info), dtype=np.uint32), counts)
-        chosen = (first & info["known"])[owner]
+        chosen = first[owner]
         hashes, owner = hashes[chosen], owner[chosen]
         hashes = hashes >> np.uint64(64 - COLUMN_BITS)
         order = np.argsort(hashes, kind="stable")

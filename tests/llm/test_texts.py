@@ -81,6 +81,14 @@ def test_jaccard_join_finds_every_link(make_docs, edge_rows, size, ratio, rows_p
     assert sorted(map(tuple, got), key=key) == sorted(brute_links([(i, t) for i, t, _ in rows], size, *ratio), key=key)
 
 
+def test_copies_behind_a_row_without_id_still_link(spark, make_docs):
+    prose = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, prose, "en"), (2, prose, "en"), (3, prose + " end", "en"), (None, "other words", "en")]
+    got = jaccard.link_documents(make_docs(rows).coalesce(1), 3, 9, 10).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute_links([(i, t) for i, t, _ in rows], 3, 9, 10), key=key)
+    assert {r["component_id"] for r in got} == {None, 2}
+
+
 def test_product_stops_early_without_losing_links():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 400, 200).astype(np.uint64)) for _ in range(6)]
