@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keelson.llm.graph import components, screen
-from keelson.llm.words import give_back, mix, shingle_hashes, text_slices, word_hashes
+from keelson.llm.words import free_names, give_back, mix, shingle_hashes, text_slices, word_hashes
+from keelson.operators.ranks import with_ordinal
 from keelson.session import stored
 
 BLOCK_BYTES = 4 << 20
@@ -280,7 +281,7 @@ def link_documents(docs: DataFrame, words: int = 5, numerator: int = 4, denomina
     ``denominator * intersection >= numerator * union``. ``component_id`` is the smallest ``doc_id`` reachable by links,
     ``n_links`` the number of other rows a row links with, copies included. Texts that are null or without words link with
     nothing and are their own component; so are rows with a null ``doc_id`` (null component). Rows that share a ``doc_id``
-    share its component.
+    and its text share its component.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
@@ -334,6 +335,22 @@ def _verify(docs: DataFrame, members: DataFrame, words: int, numerator: int, den
 def keep_one_of_each(docs: DataFrame, words: int = 5, numerator: int = 4, denominator: int = 5) -> DataFrame:
     """The documents that are the smallest ``doc_id`` of their component, with their columns; of repeated rows one stays.
 
+    A ``doc_id`` with different texts is as many documents, in the order of their texts' hashes.
+    """
+    name, digest = free_names(docs.columns, ["_name", "_digest"])
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias(digest))
+    if texts.groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high")).where("low <> high").isEmpty():
+        return _keep_smallest(docs, words, numerator, denominator)
+    numbers = with_ordinal(texts.distinct(), ["doc_id", digest], name)
+    numbered = docs.withColumn(digest, F.xxhash64("text")).join(numbers, ["doc_id", digest], "left")
+    renamed = [F.col("doc_id").alias(name) if c == "doc_id" else F.col(c) for c in docs.columns]
+    kept = _keep_smallest(stored(numbered.select(*renamed, F.col(name).alias("doc_id")), "numbered"), words, numerator, denominator)
+    return kept.select(*[F.col(name).alias("doc_id") if c == "doc_id" else F.col(c) for c in docs.columns])
+
+
+def _keep_smallest(docs: DataFrame, words: int, numerator: int, denominator: int) -> DataFrame:
+    """``keep_one_of_each`` of documents whose ``doc_id`` has one text.
+
     Only rows that an id screen cannot clear are joined, so most texts are not shuffled.
     """
     found = stored(link_documents(docs, words, numerator, denominator), "components")

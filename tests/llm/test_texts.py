@@ -115,6 +115,16 @@ def test_one_of_each_group_stays(make_docs, edge_rows):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_texts_that_share_an_id_are_judged_alone(make_docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, "en"), (5, a, "en"), (5, b, "de"), (5, b, "de"), (6, c, "en"), (6, b + " end", "en"), (4, c + " end", "en"), (None, a, "en"), (8, None, "en")]
+    docs = make_docs(rows)
+    kept = jaccard.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and kept.exceptAll(docs).isEmpty()
+    want = [(1, a), (4, c + " end"), (5, b), (8, None), (None, a)]
+    assert sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=key) == sorted(want, key=key)
+
+
 def test_components_of_chains_and_hubs(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(1, i) for i in range(2, 50)]
