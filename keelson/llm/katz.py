@@ -1,4 +1,4 @@
-"""A word bigram model with Katz backoff: Good-Turing discounts and exactly normalised backoff weights.
+"""A word n-gram model with Katz backoff: Good-Turing discounts and exactly normalised backoff weights.
 
 Words are A-Z lower-cased runs without white space, 64-bit hashes stand for them (words.py); every text ends with one end
 token, and starts after an empty context. With training counts c(w), c(v, w) and discounts d:
@@ -8,14 +8,18 @@ token, and starts after an empty context. With training counts c(w), c(v, w) and
                                                probability that p gives to words not seen after v,
     p(w)     = d(c(w)) * c(w) / N              where the word was seen; what is left goes to one unknown word.
 
+Longer grams back off in the same way, p(w | u, v) to p(w | v), with discounts of their own; the first word of a text has
+only the empty context, the second that and the first word, and so on up to ``order`` words together.
+
 A context that was never seen is skipped: p(w | v) = p(w). A context without a pair that was seen once has little or nothing
 to discount; it is plain: its pairs keep their counts, and one more event is left over for the unseen.
 
 The corpus is cut into blocks of about ``BLOCK_BYTES`` of text. A block holds its tokens as numbers into its own sorted word
 list. It sends the list with training counts to the column ranges of the words, which answer with an id and a total count for
 each; then its distinct word pairs to ranges of contexts, which answer with the pair's count and, where pairs of a context
-are unseen, what its backoff weight is made of. So words and pairs are shuffled once for each block they occur in, packed,
-and no token ever is. Counts land in two tables of the shared folder, one row for each range.
+are unseen, what its backoff weight is made of. For each further length the answer also holds ids of the grams, which are the
+contexts of the next: a round of questions and answers a length, scores by recursion over the answers. So words and grams are shuffled once for each block they occur in, packed,
+and no token ever is. Counts land in tables of the shared folder, one row for each range.
 
 A context that holds more than 1 / ``HOT`` of all tokens is spread over all ranges by its next word; there are fewer than
 ``HOT`` of these, and only their sums reach the driver.
@@ -25,7 +29,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +49,7 @@ DISCOUNTED = 5
 END = np.uint64(0xE0F5C0DE12345677)
 TEXT_START = 0  # id of the empty context; words have ids from 1
 STREAM, WORDS = 0, 1
-WORD_ANSWER, PAIR_ANSWER, TABLE, HOT_PROFILE = 0, 1, 2, 3
+WORD_ANSWER, GRAM_ANSWER, TABLE, HOT_PROFILE = 0, 1, 2, 3
 BLOCKS = "block long, part int, kind int, a binary, b binary, c binary"
 ANSWERS = "block long, part int, kind int, a binary, b binary, c binary, sums array<double>"
 DOC = np.dtype([("doc_id", "<i8"), ("known", "?"), ("held", "i1"), ("tokens", "<i8")])
@@ -179,62 +183,150 @@ def _count_words(parts: int):
     return count
 
 
+@dataclass(frozen=True)
+class Model:
+    """What tasks know of the corpus: sums of words, and of each length of grams so far discounts and hot contexts."""
+
+    starts: int
+    parts: int
+    unigrams: Unigrams
+    discounts: dict[int, Discounts]
+    hot: dict[int, dict[int, list[float]]]
+    hot_above: float
+
+
+def _distinct(context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each distinct pair in order, number of each place's pair)."""
+    if not len(token) or max(int(context.max()), int(token.max())) < 1 << 32:
+        _, one, gram = np.unique(context << np.uint64(32) | token, return_index=True, return_inverse=True)
+        return one, gram
+    order = np.lexsort((token, context))  # the same order and numbers, for ids beyond 2**32
+    new = np.ones(len(order), bool)
+    new[1:] = (token[order][1:] != token[order][:-1]) | (context[order][1:] != context[order][:-1])
+    gram = np.empty(len(order), np.int64)
+    gram[order] = np.cumsum(new) - 1
+    return order[new], gram
+
+
 @dataclass
-class _Block:
-    """A block with its answers about words: token ids, counts, contexts, and its distinct pairs in order."""
+class _Level:
+    """The grams of one length in a block: the tokens that end one, and the distinct grams in order.
+
+    ``lower`` is what the probability of the gram without its first word is made of: the word's count for pairs, for longer
+    grams the shorter gram's count * 2 + plain and its context's count.
+    """
 
-    info: np.ndarray
-    token_count: np.ndarray
+    at: np.ndarray
+    gram: np.ndarray
     context: np.ndarray
     word: np.ndarray
     context_count: np.ndarray
-    word_count: np.ndarray
-    pair_of_token: np.ndarray
+    lower: list[np.ndarray]
     part: np.ndarray
 
     @classmethod
-    def read(cls, stream: pa.Table, answers: list[tuple[int, bytes, bytes]], starts: int, parts: int, hot_above: float) -> _Block:
-        info = np.frombuffer(stream.column("a")[0].as_py(), DOC)
+    def of(cls, at: np.ndarray, context: np.ndarray, token: np.ndarray, context_count: np.ndarray, lower: list[np.ndarray], model: Model) -> _Level:
+        one, gram = _distinct(context, token)
+        context, word, context_count = context[one], token[one], context_count[one]
+        spread = mix(context ^ np.where(context_count > model.hot_above, mix(word), np.uint64(0)))
+        return cls(at, gram, context, word, context_count, [x[one] for x in lower], _range_of(spread, model.parts))
+
+    def places(self, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(self.part, kind="stable")
+        return order, np.searchsorted(self.part[order], np.arange(parts + 1))
+
+
+@dataclass
+class _Answer:
+    """Of each gram of a level: its count, whether its context is plain, its id, and its context's backoff weight."""
+
+    count: np.ndarray
+    plain: np.ndarray
+    ids: np.ndarray
+    alpha: np.ndarray
+
+    @classmethod
+    def read(cls, level: _Level, rows: list[tuple], length: int, model: Model) -> _Answer:
+        order, cuts = level.places(model.parts)
+        discounts, hot_profiles, hot_above = model.discounts[length], model.hot[length], model.hot_above
+        count, plain, ids, alpha = (np.zeros(len(level.context), k) for k in (np.int64, bool, np.uint64, float))
+        for p, k, a, b, c in rows:
+            if k != length:
+                continue
+            at = order[cuts[p]:cuts[p + 1]]
+            answer = _expand(a, np.uint64).astype(np.int64)
+            count[at], plain[at] = answer >> 1, answer & 1
+            if c:
+                ids[at] = _expand(c, np.uint64)
+            missing = at[(answer >> 1) == 0]
+            missing = missing[level.context_count[missing] <= hot_above]
+            contexts, first, place = np.unique(level.context[missing], return_index=True, return_inverse=True)
+            profile = np.frombuffer(b).reshape(len(contexts), DISCOUNTED + 2)
+            alpha[missing] = backoff(profile, level.context_count[missing][first], discounts)[place]
+        hot = np.flatnonzero((count == 0) & (level.context_count > hot_above))
+        if len(hot):
+            contexts, first, place = np.unique(level.context[hot], return_index=True, return_inverse=True)
+            profile = np.array([hot_profiles[int(c)] for c in contexts])
+            alpha[hot] = backoff(profile, level.context_count[hot][first], discounts)[place]
+        hot_plain = {c for c, p in hot_profiles.items() if not p[0]}
+        is_hot = level.context_count > hot_above
+        plain[is_hot] = np.isin(level.context[is_hot], np.array(sorted(hot_plain), np.uint64))
+        return cls(count, plain, ids, alpha)
+
+
+class _Block:
+    """A block with its answers about words; ``climb`` goes from the grams of one length to those of the next."""
+
+    def __init__(self, stream: pa.Table, rows: list[tuple], model: Model):
+        self.info = np.frombuffer(stream.column("a")[0].as_py(), DOC)
         local = _expand(stream.column("b")[0].as_py(), np.uint32)
-        answers = sorted(answers)
+        answers = sorted((p, a, b) for p, k, a, b, _ in rows if k == 1)
         ids, counts = (np.concatenate([_expand(a[i], np.uint64) for a in answers]) for i in (1, 2))
-        token, count = ids[local], counts[local].astype(np.int64)
-        first = np.cumsum(info["tokens"]) - info["tokens"]
-        context, before = np.roll(token, 1), np.roll(count, 1)
-        context[first], before[first] = TEXT_START, starts
-        if len(ids) and int(ids.max()) < 1 << 32:
-            _, one, pair = np.unique(context << np.uint64(32) | token, return_index=True, return_inverse=True)
-        else:  # the same order and numbers, for vocabularies beyond 2**32
-            order = np.lexsort((token, context))
-            new = np.ones(len(order), bool)
-            new[1:] = (token[order][1:] != token[order][:-1]) | (context[order][1:] != context[order][:-1])
-            pair = np.empty(len(order), np.int64)
-            pair[order] = np.cumsum(new) - 1
-            one = order[new]
-        context, word, context_count, word_count = context[one], token[one], before[one], count[one]
-        spread = mix(context ^ np.where(context_count > hot_above, mix(word), np.uint64(0)))
-        return cls(info, count, context, word, context_count, word_count, pair, _range_of(spread, parts))
-
-
-def _ask_pairs(starts: int, parts: int, hot_above: float):
-    def ask(stream: pa.Table, words: pa.Table) -> pa.Table:
-        """The distinct pairs of a block by range of contexts, with how often each occurs in texts to learn from."""
+        self.token, self.count, self.model = ids[local], counts[local].astype(np.int64), model
+        self.first = np.cumsum(self.info["tokens"]) - self.info["tokens"]
+
+    def pairs(self) -> _Level:
+        context, before = np.roll(self.token, 1), np.roll(self.count, 1)
+        context[self.first], before[self.first] = TEXT_START, self.model.starts
+        return _Level.of(np.arange(len(self.token)), context, self.token, before, [self.count], self.model)
+
+    def climb(self, level: _Level, answer: _Answer) -> _Level:
+        """Grams of one word more: their context is the gram that ends a token earlier. Contexts never seen are left out."""
+        context, before = np.zeros(len(self.token), np.uint64), np.zeros(len(self.token), np.int64)
+        context[level.at], before[level.at] = answer.ids[level.gram], answer.count[level.gram]
+        context, before = np.roll(context, 1), np.roll(before, 1)
+        before[self.first] = 0
+        inside = before[level.at] > 0  # a token with a longer gram has this one too, unless its context was never seen
+        at, gram = level.at[inside], level.gram[inside]
+        lower = [answer.count[gram] * 2 + answer.plain[gram], level.context_count[gram]]
+        return _Level.of(at, context[at], self.token[at], before[at], lower, self.model)
+
+
+def _answer_rows(answers: pa.Table) -> list[tuple]:
+    return list(zip(*(answers.column(c).to_pylist() for c in ("part", "kind", "a", "b", "c")), strict=True))
+
+
+def _ask_grams(length: int, model: Model):
+    def ask(stream: pa.Table, answers: pa.Table) -> pa.Table:
+        """The distinct grams of a block by range of contexts, with how often each occurs in texts to learn from."""
         if not stream.num_rows:
             return _table([])
-        answers = list(zip(words.column("part").to_pylist(), words.column("a").to_pylist(), words.column("b").to_pylist(), strict=True))
-        block = _Block.read(stream, answers, starts, parts, hot_above)
-        learned = np.repeat(block.info["held"] == 0, block.info["tokens"])
-        n = np.bincount(block.pair_of_token[learned], minlength=len(block.context))
-        order = np.argsort(block.part, kind="stable")
-        cuts = np.searchsorted(block.part[order], np.arange(parts + 1))
+        replies = _answer_rows(answers)
+        block = _Block(stream, replies, model)
+        level = block.pairs()
+        for k in range(2, length):
+            level = block.climb(level, _Answer.read(level, replies, k, model))
+        learned = np.repeat(block.info["held"] == 0, block.info["tokens"])[level.at]
+        n = np.bincount(level.gram[learned], minlength=len(level.context))
+        order, cuts = level.places(model.parts)
         rows, name = [], stream.column("block")[0].as_py()
         for p in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[p]:cuts[p + 1]]
-            contexts, first = np.unique(block.context[at], return_index=True)
+            contexts, first = np.unique(level.context[at], return_index=True)
             head = np.stack([np.diff(contexts, prepend=np.uint64(0)), np.diff(np.append(first, len(at))).astype(np.uint64),
-                             block.context_count[at][first].astype(np.uint64)]).ravel()
-            rows.append((name, int(p), WORDS, _squeeze(head), _squeeze(block.word[at]),
-                         _squeeze(np.concatenate([block.word_count[at].astype(np.uint64), n[at].astype(np.uint64)]))))
+                             level.context_count[at][first].astype(np.uint64)]).ravel()
+            rows.append((name, int(p), WORDS, _squeeze(head), _squeeze(level.word[at]),
+                         _squeeze(np.concatenate([x[at].astype(np.uint64) for x in (*level.lower, n)]))))
         return _table(rows)
     return ask
 
@@ -250,22 +342,33 @@ def _profiles(owner: np.ndarray, contexts: int, counts: np.ndarray, probability:
     return out
 
 
-def _count_pairs(unigrams: Unigrams, hot_above: float):
+def _count_grams(length: int, model: Model, last: bool):
+    hot_above = model.hot_above
+
+    def below(lower: list[np.ndarray]) -> np.ndarray:
+        """Probability of the seen grams without their first word, which were seen as well."""
+        if length == 2:
+            return model.unigrams.probability(lower[0])
+        return seen_probability(lower[0] >> 1, lower[1], (lower[0] & 1) == 1, model.discounts[length - 1])
+
     def count(rows: pa.Table) -> pa.Table:
-        """Of one range of contexts: an answer to each block, the table (contexts, words, counts), sums, and hot profiles."""
+        """Of one range of contexts: an answer to each block, the table (contexts, words, counts), sums, and hot profiles.
+
+        Unless these are the ``last`` grams, the answer also names each gram by an id, small for frequent ones.
+        """
         blocks, part = rows.column("block").to_pylist(), rows.column("part")[0].as_py()
-        context, word, word_count, n, context_count, sizes = [], [], [], [], [], []
+        context, word, lower, n, context_count, sizes = [], [], [], [], [], []
         for a, b, c in zip(*(rows.column(x).to_pylist() for x in "abc"), strict=True):
             step, repeat, total = _expand(a, np.uint64).reshape(3, -1)
             repeat = repeat.astype(np.int64)
             context.append(np.repeat(np.cumsum(step, dtype=np.uint64), repeat))
             context_count.append(np.repeat(total.astype(np.int64), repeat))
             word.append(_expand(b, np.uint64))
-            both = _expand(c, np.uint64).astype(np.int64)
-            word_count.append(both[:len(both) // 2])
-            n.append(both[len(both) // 2:])
+            *shorter, own = _expand(c, np.uint64).astype(np.int64).reshape(-1, len(word[-1]))
+            lower.append(shorter)
+            n.append(own)
             sizes.append(len(word[-1]))
-        context, word, word_count, n, context_count = map(np.concatenate, (context, word, word_count, n, context_count))
+        context, word, n, context_count, *lower = map(np.concatenate, (context, word, n, context_count, *zip(*lower, strict=True)))
         order = np.lexsort((word, context))
         new = np.ones(len(order), bool)
         new[1:] = (word[order][1:] != word[order][:-1]) | (context[order][1:] != context[order][:-1])
@@ -274,17 +377,20 @@ def _count_pairs(unigrams: Unigrams, hot_above: float):
         one = order[new]
         total = np.bincount(pair, weights=n, minlength=len(one)).astype(np.int64)
         contexts, owner = np.unique(context[one], return_inverse=True)
-        profile = _profiles(owner, len(contexts), total, unigrams.probability(word_count[one]))
+        profile = _profiles(owner, len(contexts), total, below([x[one] for x in lower]))
         hot = np.zeros(len(contexts), bool)
         hot[owner] = context_count[one] > hot_above
         plain = (profile[:, 0] == 0)[owner]
+        ids = np.empty(0 if last else len(one), np.uint64)
+        if not last:
+            ids[np.argsort(-total, kind="stable")] = np.uint64(1 + part) + np.uint64(model.parts) * np.arange(len(one), dtype=np.uint64)
         out, at, answer = [], 0, (total * 2 + plain).astype(np.uint64)
         for block, size in zip(blocks, sizes, strict=True):
             mine = pair[at:at + size]
             at += size
             unseen = np.unique(owner[mine[(total[mine] == 0)]])
             unseen = unseen[~hot[unseen]]
-            out.append((block, part, PAIR_ANSWER, _squeeze(answer[mine]), profile[unseen].tobytes(), b"", None))
+            out.append((block, part, GRAM_ANSWER, _squeeze(answer[mine]), profile[unseen].tobytes(), b"" if last else _squeeze(ids[mine]), None))
         seen = total > 0
         sums = np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:DISCOUNTED + 2].astype(float).tolist()
         step = np.diff(context[one][seen], prepend=np.uint64(0)) if seen.any() else np.empty(0, np.uint64)
@@ -309,53 +415,38 @@ def seen_probability(counts: np.ndarray, context_count: np.ndarray, plain: np.nd
     return np.where(plain, counts / (context_count + 1.0), small * counts / np.maximum(context_count, 1))
 
 
-def _score(unigrams: Unigrams, discounts: Discounts, hot_profiles: dict[int, list[float]], starts: int, parts: int, hot_above: float):
+def _score(order: int, model: Model):
     def score(stream: pa.Table, answers: pa.Table) -> pa.Table:
         """The log probability of each text of one block."""
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not stream.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        rows = list(zip(*(answers.column(c).to_pylist() for c in ("part", "kind", "a", "b")), strict=True))
-        block = _Block.read(stream, [(p, a, b) for p, k, a, b in rows if k == WORD_ANSWER], starts, parts, hot_above)
-        order = np.argsort(block.part, kind="stable")
-        cuts = np.searchsorted(block.part[order], np.arange(parts + 1))
-        count, plain, alpha = (np.zeros(len(block.context), k) for k in (np.int64, bool, float))
-        for p, k, a, b in rows:
-            if k != PAIR_ANSWER:
-                continue
-            at = order[cuts[p]:cuts[p + 1]]
-            answer = _expand(a, np.uint64).astype(np.int64)
-            count[at], plain[at] = answer >> 1, answer & 1
-            missing = at[(answer >> 1) == 0]
-            missing = missing[block.context_count[missing] <= hot_above]
-            contexts, first, place = np.unique(block.context[missing], return_index=True, return_inverse=True)
-            profile = np.frombuffer(b).reshape(len(contexts), DISCOUNTED + 2)
-            alpha[missing] = backoff(profile, block.context_count[missing][first], discounts)[place]
-        hot = np.flatnonzero((count == 0) & (block.context_count > hot_above))
-        if len(hot):
-            contexts, first, place = np.unique(block.context[hot], return_index=True, return_inverse=True)
-            profile = np.array([hot_profiles[int(c)] for c in contexts])
-            alpha[hot] = backoff(profile, block.context_count[hot][first], discounts)[place]
-        hot_plain = {c for c, p in hot_profiles.items() if not p[0]}
-        is_hot = block.context_count > hot_above
-        plain[is_hot] = np.isin(block.context[is_hot], np.array(sorted(hot_plain), np.uint64))
-        p = np.where(count > 0, seen_probability(count, block.context_count, plain, discounts), alpha * unigrams.probability(block.word_count))
-        log_p = np.log10(np.maximum(p, 1e-300))[block.pair_of_token]
+        rows = _answer_rows(answers)
+        block = _Block(stream, rows, model)
+        p, level = model.unigrams.probability(block.count), block.pairs()
+        for k in range(2, order + 1):
+            answer = _Answer.read(level, rows, k, model)
+            seen = seen_probability(answer.count, level.context_count, answer.plain, model.discounts[k])[level.gram]
+            p[level.at] = np.where(answer.count[level.gram] > 0, seen, answer.alpha[level.gram] * p[level.at])
+            if k < order:
+                level = block.climb(level, answer)
+        log_p = np.log10(np.maximum(p, 1e-300))
         owner = np.repeat(np.arange(len(block.info)), block.info["tokens"])
-        base = np.log10((block.token_count + 1) / (unigrams.total + (unigrams.distinct + 1)))
+        base = np.log10((block.count + 1) / (model.unigrams.total + (model.unigrams.distinct + 1)))
         info = block.info
-        sums = [np.bincount(owner, weights=w, minlength=len(info)) for w in (block.token_count > 0, base, log_p)]
+        sums = [np.bincount(owner, weights=w, minlength=len(info)) for w in (block.count > 0, base, log_p)]
+        give_back()
         return pa.table([pa.array(np.ascontiguousarray(info["doc_id"]), mask=~info["known"]), pa.array(info["held"] == 1),
                          pa.array(np.ascontiguousarray(info["tokens"])), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=names)
     return score
 
 
-def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES, order: int = 2) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
 
     The model learns from texts with crc32(doc_id as text) mod 7 other than 2; those with 2 are held out, rows with a null
-    ``doc_id`` are neither. A null text is empty and has its end token only. Repeated rows count as often as they occur.
+    ``doc_id`` are neither. ``order`` is the number of words of the longest grams, at least two. A null text is empty and has its end token only. Repeated rows count as often as they occur.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -373,20 +464,22 @@ def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     sums = np.array([r["sums"] for r in bounded_collect(_summed(words.where(F.col("kind") == TABLE)), 1, "word sums") if r["sums"]])
     totals = sums[0] if len(sums) else np.zeros(DISCOUNTED + 3)
     unigrams = _unigrams(totals)
-    hot_above = unigrams.total / HOT
-    word_answers = words.where(F.col("kind") == WORD_ANSWER).select("block", "part", "kind", "a", "b")
-    asked = streams.groupBy("block").cogroup(word_answers.groupBy("block")).applyInArrow(_ask_pairs(starts, parts, hot_above), BLOCKS)
-    pairs = stored(asked.groupBy("part").applyInArrow(_count_pairs(unigrams, hot_above), ANSWERS), "pairs", ["kind"])
-    counts = bounded_collect(_summed(pairs.where(F.col("kind") == TABLE)), 1, "pair sums")
-    discounts = good_turing(np.array(counts[0]["sums"])) if counts and counts[0]["sums"] else Discounts(half=True)
-    hot = pairs.where(F.col("kind") == HOT_PROFILE).groupBy("block").agg(*_element_sums())
-    profiles = {r["block"]: r["sums"] for r in bounded_collect(hot.select("block", F.array(*[f"s{i}" for i in range(DISCOUNTED + 2)]).alias("sums")), HOT, "hot contexts")}
-    pair_answers = pairs.where(F.col("kind") == PAIR_ANSWER).select("block", "part", "kind", "a", "b")
-    answers = word_answers.unionByName(pair_answers)
-    scored = streams.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(unigrams, discounts, profiles, starts, parts, hot_above), SCORES)
+    model = Model(starts, parts, unigrams, {}, {}, unigrams.total / HOT)
+    answers = words.where(F.col("kind") == WORD_ANSWER).select("block", "part", F.lit(1).alias("kind"), "a", "b", "c")
+    used = [answers]
+    for length in range(2, order + 1):
+        asked = streams.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_grams(length, model), BLOCKS)
+        grams = stored(asked.groupBy("part").applyInArrow(_count_grams(length, model, length == order), ANSWERS), "grams", ["kind"])
+        counts = bounded_collect(_summed(grams.where(F.col("kind") == TABLE)), 1, "gram sums")
+        discounts = good_turing(np.array(counts[0]["sums"])) if counts and counts[0]["sums"] else Discounts(half=True)
+        hot = grams.where(F.col("kind") == HOT_PROFILE).groupBy("block").agg(*_element_sums())
+        profiles = {r["block"]: r["sums"] for r in bounded_collect(hot.select("block", F.array(*[f"s{i}" for i in range(DISCOUNTED + 2)]).alias("sums")), HOT, "hot contexts")}
+        model = replace(model, discounts={**model.discounts, length: discounts}, hot={**model.hot, length: profiles})
+        used.append(grams.where(F.col("kind") == GRAM_ANSWER).select("block", "part", F.lit(length).alias("kind"), "a", "b", "c"))
+        answers = answers.unionByName(used[-1])
+    scored = streams.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order, model), SCORES)
     result = stored(scored, "scores")
-    release(streams, word_answers, pair_answers)
+    release(streams, *used)
     spark.sql(f"DROP TABLE {name}")
     return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(unigrams.total).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -29,7 +29,7 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score_documents(table(spark, sf_dir, "documents"))
+    return katz.score_documents(table(spark, sf_dir, "documents"), order=3)
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from keelson.llm import fingerprint, jaccard, katz, words
+from keelson.llm import fingerprint, jaccard, katz, queries, words
 from keelson.llm.graph import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -241,6 +241,56 @@ def test_katz_against_brute_force(make_docs, edge_rows, hot, monkeypatch):
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def katz_scores_by_recursion(rows, order):
+    """Probabilities of each word by recursion over contexts of up to ``order`` - 1 words."""
+    docs = [(i, ["<s>", *words_of(t), None]) for i, t, _ in rows]
+    grams, followers = [Counter() for _ in range(order + 1)], defaultdict(dict)
+    for i, full in docs:
+        if i is not None and zlib.crc32(str(i).encode()) % 7 != 2:
+            for at in range(1, len(full)):
+                for k in range(1, min(order, at + 1) + 1):
+                    gram = tuple(full[at - k + 1:at + 1])
+                    grams[k][gram] += 1
+                    followers[gram[:-1]][gram[-1]] = grams[k][gram]
+    discounts = [None] + [katz.good_turing(np.array([sum(c == r for c in g.values()) for r in range(1, 7)])) for g in grams[1:]]
+    total = sum(grams[1].values())
+
+    def seen(h, c):
+        d = discounts[len(h) + 1]
+        kept = float(d.of(np.array([c]))[0]) if c <= 5 or not h else 1
+        after = followers[h]
+        return c / (sum(after.values()) + 1) if h and 1 not in after.values() else kept * c / (sum(after.values()) if h else total)
+
+    def p(h, w):
+        after = followers.get(h)
+        if not after:
+            return p(h[1:], w)
+        if w in after:
+            return seen(h, after[w])
+        left = 1 - sum(seen(h, c) for c in after.values())
+        return left / (1 - sum(p(h[1:], x) for x in after)) * p(h[1:], w) if h else left
+    for h in [h for h in followers if len(h) == order - 1][:12]:  # exactly normalised
+        assert sum(p(h, w) for w, in grams[1]) + p(h, b"\0 never") == pytest.approx(1)
+    return [(i, sum(math.log10(p(tuple(full[max(0, at - order + 1):at]), full[at])) for at in range(1, len(full)))) for i, full in docs]
+
+
+@pytest.mark.parametrize(("order", "hot"), [(3, 10_000), (3, 20), (4, 10_000)])
+def test_katz_of_higher_order_against_recursion(make_docs, edge_rows, order, hot, monkeypatch):
+    monkeypatch.setattr(katz, "HOT", hot)
+    rows = [r for r in edge_rows if r[0] != 13] + [(1000 + i, f"w{i % 7} w{i % 5} w{i % 11} common w{i % 3} common x{i} w{i % 7} w{i % 5}", "en") for i in range(120)]
+    got = sorted(((r["doc_id"], r["score"]) for r in katz.score_documents(make_docs(rows), part_bytes=3000, order=order).collect()), key=key)
+    want = sorted(katz_scores_by_recursion(rows, order), key=key)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-9)
+
+
+def test_the_query_scores_by_three_words(spark, sf, monkeypatch):
+    orders = []
+    monkeypatch.setattr(katz, "score_documents", lambda docs, order=2: orders.append(order))
+    queries.op4_katz_backoff(spark, sf)
+    assert orders == [3]
+
+
 def test_katz_without_texts(make_docs):
     assert katz.score_documents(make_docs([])).collect() == []
     row, = katz.score_documents(make_docs([(1, None, None)])).collect()
