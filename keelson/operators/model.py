@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
@@ -19,17 +20,29 @@ from pyspark.storagelevel import StorageLevel
 from keelson.operators.metrics import METRICS, regression_metrics, residuals
 from keelson.operators.profile import value_counts
 from keelson.operators.ranks import column_quantiles
+from keelson.session import bounded_collect, stored
 from keelson.spec import ContractError, FeatureSpec, ForestSettings
 
 
 @dataclass(frozen=True)
 class Preprocessing:
-    """Learned from training rows: exact medians, most frequent categories, sorted category lists."""
+    """Learned from training rows: exact medians, most frequent categories, and a table of all categories.
+
+    ``dictionary`` holds (column_name, value, n). Imputing needs the modes only; encodings with a column or a label for each
+    category read its sorted lists.
+    """
 
     spec: FeatureSpec
     medians: dict[str, float]
     modes: dict[str, str]
-    categories: dict[str, list[str]]
+    dictionary: DataFrame | None = None
+
+    @cached_property
+    def categories(self) -> dict[str, list[str]]:
+        lists: dict[str, list[str]] = {}
+        for r in self.dictionary.select("column_name", "value").toLocalIterator() if self.dictionary is not None else ():
+            lists.setdefault(r["column_name"], []).append(r["value"])
+        return {c: sorted(vs) for c, vs in lists.items()}
 
     @property
     def numeric(self) -> list[str]:
@@ -37,7 +50,7 @@ class Preprocessing:
 
     @property
     def categorical(self) -> list[str]:
-        return [c for c in self.spec.categorical if self.categories.get(c)]
+        return [c for c in self.spec.categorical if self.modes.get(c) is not None]
 
     @property
     def output_names(self) -> list[str]:
@@ -80,14 +93,11 @@ class Preprocessing:
 def fit_preprocessing(train: DataFrame, spec: FeatureSpec) -> Preprocessing:
     """Exact medians (midpoint of the two middle values); most frequent category, ties to the smallest."""
     medians = {c: q[0] for c, q in column_quantiles(train, spec.numeric, [0.5]).items()} if spec.numeric else {}
-    modes, categories = {}, {}
-    if spec.categorical:
-        counts = value_counts(train, spec.categorical).where(F.col("value").isNotNull())
-        # the encoder's dictionary is part of the model, which lives on the driver whatever its size
-        for r in counts.toLocalIterator():
-            categories.setdefault(r["column_name"], []).append((r["value"], r["n"]))
-        modes = {c: min(vs, key=lambda v: (-v[1], v[0]))[0] for c, vs in categories.items()}
-    return Preprocessing(spec, medians, modes, {c: sorted(v for v, _ in vs) for c, vs in categories.items()})
+    if not spec.categorical:
+        return Preprocessing(spec, medians, {})
+    dictionary = stored(value_counts(train, spec.categorical).where(F.col("value").isNotNull()), "categories")
+    modes = dictionary.groupBy("column_name").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
+    return Preprocessing(spec, medians, {r["column_name"]: r["mode"] for r in bounded_collect(modes, len(spec.categorical), "modes")}, dictionary)
 
 
 def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:

@@ -138,6 +138,16 @@ def test_more_categories_than_a_small_limit(spark):
     assert len(learned.categories["gender"]) == 11_000 and learned.modes["gender"] == "g0"
 
 
+def test_imputing_brings_no_categories_to_the_driver(spark, monkeypatch):
+    rows = spark.range(2_000).selectExpr("id AS k", "double(id % 7) AS age", "1D AS weight", "2D AS height", "concat('g', if(id > 1990, 7, id)) AS gender",
+                                         "if(id % 3 = 0, NULL, concat('r', id % 3)) AS region")
+    monkeypatch.setattr(type(rows), "toLocalIterator", lambda *_, **__: 1 / 0)
+    learned = L.fit_preprocessing(rows, V1)
+    assert learned.modes == {"gender": "g7", "region": "r1"} and learned.categorical == ["gender", "region"]
+    assert learned.impute(rows).where("region IS NULL").isEmpty()
+    assert learned.dictionary.where("column_name = 'gender'").count() == 1991
+
+
 def test_grid_registry_and_comparison(spark, data, tmp_path):
     split, _ = split_entities(data, "k", 0.2)
     sets = {"a": ForestSettings("a", 3, 3, 1), "b": ForestSettings("b", 3, 2, 1, "all")}
