@@ -84,10 +84,8 @@ def test_fallback_time_without_source_column(raw):
     assert times == ["2024-01-01 00:00:00", "2024-01-01 00:00:01"]
 
 
-def test_latest_row_wins_before_the_label_filter(raw, raw_schema, spark):
-    from conftest import RAW_ROWS
-
-    old = list(RAW_ROWS[0])
+def test_latest_row_wins_before_the_label_filter(raw, raw_rows, raw_schema, spark):
+    old = list(raw_rows[0])
     old[0], old[1], old[2], old[12:16] = 77.0, "2022-03-01T00:00:00Z", 33.0, [120.0, 90.0, 60.0, 110.0]
     new = list(old)
     new[1], new[2], new[12:16], new[16] = "2022-09-15T00:00:00Z", 34.0, [130.0, 95.0, 70.0, 125.0], 1
@@ -100,13 +98,11 @@ def test_latest_row_wins_before_the_label_filter(raw, raw_schema, spark):
     assert run(spark.createDataFrame([tuple(old), tuple(bad)], raw_schema)).data.count() == 0
 
 
-def test_equal_times_keep_the_later_row(raw):
-    from conftest import RAW_ROWS
-
-    twin = list(RAW_ROWS[0])
+def test_equal_times_keep_the_later_row(raw, raw_rows):
+    twin = list(raw_rows[0])
     twin[2], twin[16] = 44.0, 9
-    assert rows(run(raw(rows=[RAW_ROWS[0], tuple(twin)])))[11]["age"] == 44.0
-    assert rows(run(raw(rows=[tuple(twin), RAW_ROWS[0]])))[11]["age"] == 44.0
+    assert rows(run(raw(rows=[raw_rows[0], tuple(twin)])))[11]["age"] == 44.0
+    assert rows(run(raw(rows=[tuple(twin), raw_rows[0]])))[11]["age"] == 44.0
 
 
 def test_missing_key_is_dropped_and_counted(raw):
@@ -118,11 +114,9 @@ def test_key_is_truncated_to_integer(raw):
     assert 11 in rows(run(raw({(0, "record_id"): 11.7})))
 
 
-def test_large_keys_stay_apart(raw, raw_schema, spark):
-    from conftest import RAW_ROWS
-
+def test_large_keys_stay_apart(raw, raw_rows, raw_schema, spark):
     for kind, keys in (("long", (2**53, 2**53 + 1)), ("string", (" 9007199254740992", "+9007199254740993"))):
-        data = [(k, *RAW_ROWS[0][1:]) for k in keys]
+        data = [(k, *raw_rows[0][1:]) for k in keys]
         result = run(spark.createDataFrame(data, raw_schema.replace("record_id double", f"record_id {kind}")))
         assert sorted(rows(result)) == [2**53, 2**53 + 1]
 
