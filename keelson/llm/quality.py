@@ -123,9 +123,9 @@ def weigh(docs: DataFrame, ratio: np.ndarray, n_ngrams: str = "n_ngrams", log_we
 
 
 def gumbel_key(weight: Column, doc_id: Column, seed: int = SEED) -> Column:
-    """Log weight plus standard Gumbel noise that depends on the id alone, so retried tasks draw the same."""
+    """Log weight plus standard Gumbel noise that depends on the id alone, so retried tasks draw the same; null without an id."""
     uniform = (F.pmod(F.xxhash64(doc_id, F.lit(seed), F.lit("gumbel")), F.lit(1 << 53)) + F.lit(0.5)) / F.lit(float(1 << 53))
-    return weight - F.log(-F.log(uniform))
+    return F.when(doc_id.isNotNull(), weight - F.log(-F.log(uniform)))
 
 
 def kth_largest(df: DataFrame, key: str, tie: str, k: int) -> tuple[float, int] | None:
@@ -153,7 +153,7 @@ def best_cut(scores: DataFrame, labels: DataFrame) -> float:
     good cuts the middle one of the first run is taken.
     """
     place = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.floor("log_weight"))).alias("place")
-    known = labels.where("quality IN (0, 1)").select("doc_id", "quality")
+    known = labels.where("quality IN (0, 1)").select("doc_id", "quality").distinct()
     counts = scores.where("log_weight IS NOT NULL").join(known, "doc_id").groupBy(place, "quality").count()
     good, bad = (np.zeros(HIGHEST - LOWEST + 2, np.int64) for _ in range(2))
     for r in bounded_collect(counts, 2 * len(good), "labelled weights"):
@@ -175,12 +175,13 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: i
     target_ids = target_sample(labels, sample, seed)
     ratio = fit(docs, target_ids, smoothing)
     scored = weigh(docs.select("doc_id", "text"), ratio).select("doc_id", "n_ngrams", "log_weight").withColumn(
-        "gumbel_key", F.when(F.col("doc_id").isNotNull(), gumbel_key(F.col("log_weight"), F.col("doc_id"), seed)))
+        "gumbel_key", gumbel_key(F.col("log_weight"), F.col("doc_id"), seed))
     kept = stored(scored, "weights")
     if not target_ids:
         last = None
     else:
-        last = kth_largest(kept, "gumbel_key", "doc_id", kept.where(F.col("log_weight") >= best_cut(kept, labels)).count() if k is None else k)
+        drawable = kept.where(F.col("gumbel_key").isNotNull())
+        last = kth_largest(kept, "gumbel_key", "doc_id", drawable.where(F.col("log_weight") >= best_cut(kept, labels)).count() if k is None else k)
     return kept.withColumn("selected", is_selected(last)), ratio, last
 
 
