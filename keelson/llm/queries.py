@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, fingerprint, jaccard, katz, language, neighbours, packing, quality, token_files, url_filter
+from keelson.llm import (alignment, byte_bpe, decontaminate, fingerprint, interaction, jaccard, katz, language, neighbours, packing, quality,
+                         token_files, url_filter)
 
 # fixed by the query's definition
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -56,6 +57,22 @@ def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=10)
+    names = F.sort_array(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model")).documents
+
+
 OP8_SQL = """
 WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
                                            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
@@ -70,6 +87,33 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM lowered p LEFT JOIN fitting f ON p.page_id = f.page_id AND f.rn = 1
 """
 
+OP11_SQL = """
+WITH split AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                      regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+failures AS (SELECT part, doc_id, (len(words) < 100)::INT AS a, (100 * len(list_distinct(words)) < 80 * len(words))::INT AS b,
+                    (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INT AS c,
+                    regexp_matches(t, '[#$%&*|]')::INT AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS e FROM split),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+patterns AS (SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS pattern, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+             FROM failures LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT v.f || w.f || x.f || y.f || z.f AS filter_order, [v.bit, w.bit, x.bit, y.bit, z.bit] AS bits
+           FROM letters v JOIN letters w ON w.f <> v.f JOIN letters x ON x.f NOT IN (v.f, w.f) JOIN letters y ON y.f NOT IN (v.f, w.f, x.f)
+                JOIN letters z ON z.f NOT IN (v.f, w.f, x.f, y.f)),
+steps AS (SELECT filter_order, s.step, bits[s.step] AS bit, coalesce(list_sum(bits[1:s.step - 1]), 0)::INT AS before
+          FROM orders CROSS JOIN (SELECT unnest(range(1, 6))::INT AS step) s),
+counted AS (SELECT part, filter_order, step, bit,
+                   sum(n * (pattern & (before + bit) = 0)::INT)::BIGINT AS kept,
+                   sum(n * (pattern & before = 0 AND pattern & bit > 0)::INT)::BIGINT AS removed,
+                   sum(n * (pattern & before > 0 AND pattern & bit > 0)::INT)::BIGINT AS redundant,
+                   sum(n * (pattern = bit)::INT)::BIGINT AS unique_fails,
+                   sum(good * (pattern & before = 0 AND pattern & bit > 0)::INT)::BIGINT AS good_lost,
+                   sum(toxic * (pattern & before = 0 AND pattern & bit > 0)::INT)::BIGINT AS toxic_lost
+            FROM patterns CROSS JOIN steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted
+"""
+
 REGISTRY = {
     "op1_nearest_neighbours": (op1_nearest_neighbours, None),
     "op2_packing": (op2_packing, None),
@@ -81,6 +125,9 @@ REGISTRY = {
     "op8_url_filter": (op8_url_filter, OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_quality_resampling": (op10_quality_resampling, None),
+    "op11_filter_interaction": (op11_filter_interaction, OP11_SQL),
+    "op12_decontamination": (op12_decontamination, None),
+    "op13_tokenizer_alignment": (op13_tokenizer_alignment, None),
 }
 
 
