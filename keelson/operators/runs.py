@@ -13,6 +13,7 @@ from keelson.operators import metrics as M
 from keelson.operators.features import model_inputs
 from keelson.operators.model import FitResult, fit, prepare, save_model
 from keelson.operators.split import EntitySplit
+from keelson.session import bounded_collect, release
 from keelson.spec import ContractError, FeatureSpec, ForestSettings, RunSpec
 
 RUN_SCHEMA = ("run_name string, run_group string, feature_version string, settings string, started_at timestamp, "
@@ -46,9 +47,10 @@ def run_record(spark: SparkSession, run: RunSpec, group: str, result: FitResult,
 def run_grid(datasets: Mapping[str, tuple[DataFrame, FeatureSpec]], split: EntitySplit, target: str,
              runs: Sequence[RunSpec], settings: Mapping[str, ForestSettings], group: str, registry: str | None = None,
              artifacts: str | None = None, tags: Mapping[str, str] | None = None) -> DataFrame:
-    """Fit every run of the grid on the same split, append its record to the registry table, return the group's records.
+    """Fit every run of the grid on the same split, record it in the registry table, return the group's records.
 
-    Each version is encoded and persisted once for all its runs; each fit is a distributed job.
+    Each version is encoded and stored once for all its runs; each fit is a distributed job. A run's artifacts are written
+    before its record, and both replace those of an earlier attempt: a group that was stopped midway can be run again.
     """
     require_grid(runs, sorted(datasets), sorted(settings))
     spark = next(iter(datasets.values()))[0].sparkSession
@@ -66,19 +68,32 @@ def run_grid(datasets: Mapping[str, tuple[DataFrame, FeatureSpec]], split: Entit
                     result.predictions().write.mode("overwrite").parquet(f"{path}/predictions")
                     result.importance().write.mode("overwrite").parquet(f"{path}/importance")
                 records.append(run_record(spark, run, group, result, path, tags))
+                release(result.nodes)
                 if registry:
-                    records[-1].write.mode("append").parquet(registry)
+                    write_record(records[-1], registry)
         finally:
             prepared.close()
     if not registry:
         return reduce(DataFrame.unionByName, records)
-    found = runs_of_group(spark.read.parquet(registry), group)
-    n = found.count()
-    if n != len(runs):
-        raise ContractError(f"group {group} holds {n} runs, expected {len(runs)}")
+    found = runs_of_group(read_registry(spark, registry), group)
+    names = sorted(r["run_name"] for r in bounded_collect(found.select("run_name"), len(runs) + 100, "runs of a group"))
+    if names != sorted(r.run_name for r in runs):
+        raise ContractError(f"group {group} holds the runs {names}, expected {len(runs)}")
     return found
 
 
+def write_record(record: DataFrame, registry: str) -> None:
+    """Puts a record into its folder, one for each group and run, instead of what an earlier attempt left there."""
+    writer = record.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_group", "run_name").parquet(registry)
+
+
+def read_registry(spark: SparkSession, registry: str) -> DataFrame:
+    """All records; names that look like numbers stay texts."""
+    rows = spark.read.schema(RUN_SCHEMA).parquet(registry)
+    return rows.select(*[c.split()[0] for c in RUN_SCHEMA.split(", ")])
+
+
 def runs_of_group(runs: DataFrame, group: str) -> DataFrame:
     return runs.where(F.col("tags")["run_group"] == group)
 
