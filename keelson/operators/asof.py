@@ -14,7 +14,7 @@ slices stays a table. Labels without a key or a time match nothing; they are app
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,11 +48,12 @@ class AsOfSide:
 
 
 def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide],
-               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+               max_group_rows: int = MAX_GROUP_ROWS, prune: bool = True) -> DataFrame:
     """All label rows and columns, plus each side's features (NULL without a match).
 
     A match has feature time <= label time and, with a TTL, >= label time - TTL. Of feature rows with equal time the
-    larger ordinal wins. NULLs inside the matched row are kept.
+    larger ordinal wins. NULLs inside the matched row are kept. ``prune`` reads the labels' time range first and limits
+    each side to the times that can match, so that its scan skips files and row groups.
     """
     require_columns(labels, [key, time], "labels")
     clash = [n for s in sides for n in [*s.outputs, *([s.time_as] if s.time_as else [])]]
@@ -62,6 +63,9 @@ def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]
 
     known = F.col(key).isNotNull() & F.col(time).isNotNull()
     apart, labels = labels.where(~known), labels.where(known)
+    if prune:
+        span = time_span(labels, time)
+        sides = [within_span(s, span) for s in sides]
     rows = _unite(labels, key, time, sides)
     heavy = _find_heavy(rows, max_group_rows)
     if heavy is not None:
@@ -83,6 +87,29 @@ def as_of_join(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide]
     return found.unionByName(apart.select(*labels.columns, *[F.lit(None).cast(types[c]).alias(c) for c in found.columns if c not in labels.columns]))
 
 
+def time_span(labels: DataFrame, time: str) -> tuple[Column, Column] | None:
+    """The smallest and the largest time as literals, from one aggregate over the time column; None without a time.
+
+    Times with a zone are carried as microseconds, so the literals do not depend on any zone.
+    """
+    zoned = isinstance(labels.schema[time].dataType, T.TimestampType)
+    ends = [F.unix_micros(f(time)) if zoned else f(time).cast("string") for f in (F.min, F.max)]
+    found = labels.agg(*[e.alias(f"_{i}") for i, e in enumerate(ends)]).first()
+    if found[0] is None:
+        return None
+    return tuple(F.timestamp_micros(F.lit(v)) if zoned else F.lit(v).cast(labels.schema[time].dataType) for v in found)
+
+
+def within_span(side: AsOfSide, span: tuple[Column, Column] | None) -> AsOfSide:
+    """The side without the rows that are younger than every label, or expired at every label."""
+    if span is None:
+        return replace(side, df=side.df.where(F.lit(False)))
+    fits = F.col(side.time) <= span[1]
+    if side.ttl is not None:
+        fits &= F.col(side.time) >= span[0] - F.lit(side.ttl)
+    return replace(side, df=side.df.where(fits))
+
+
 def _unite(labels: DataFrame, key: str, time: str, sides: Sequence[AsOfSide], spread: bool = False) -> DataFrame:
     """Rows (_k, _t, _u, _kind, _ord, _slice, _slot, _label, _v0, ...); _kind 0 is a feature row, 1 a label row.
 

@@ -8,8 +8,9 @@ sums, so data, labels and all counts come from one pass and one shuffle by key.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,8 +124,8 @@ class CleanResult:
         long = sums.unpivot([], list(ranged), "column_name", "invalid_value_count")
         return _with_bounds(long, ranged, "invalid_value_count")
 
-    def summary(self, median: bool = True) -> DataFrame:
-        """One row: initial rows, rows dropped by each reason, final rows, label statistics, missing predictor cells."""
+    def _accounts(self) -> list[Column]:
+        """Row accounting as aggregates over ``per_key``."""
         r = self.rules
         known = F.col(r.entity_key).isNotNull()
         good = known & F.col("_complete")
@@ -141,7 +142,7 @@ class CleanResult:
         sentinel_hits = F.lit(0).cast("bigint")
         for c in r.components:
             sentinel_hits = sentinel_hits + F.col(f"_s_{c}")
-        one = self.per_key.agg(
+        return [
             total(F.col("_n")).alias("initial_rows"),
             total(F.when(~known, F.col("_n"))).alias("missing_key_rows_removed"),
             total(F.when(known, F.col("_n") - 1)).alias("duplicate_key_rows_removed"),
@@ -153,13 +154,59 @@ class CleanResult:
             F.max(label).alias("label_max"),
             F.avg(label).alias("label_mean"),
             total(F.when(good, cells)).alias("missing_predictor_cells"),
-        )
+        ]
+
+    def write(self, path: str) -> Written:
+        """Writes the cleaned table and counts on the way: rows are accounted for by the tasks that write them.
+
+        The metrics belong to the stage that writes, whose tasks count once however often others are repeated.
+        """
+        hits = [c for c in self.per_key.columns if c.startswith(("_s_", "_r_"))]
+        totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in hits]
+        seen = Observation(f"cleaning {path}")
+        _results(self.rules, self.columns, self.per_key.observe(seen, *self._accounts(), *totals)).data.write.mode("overwrite").parquet(path)
+        spark = self.per_key.sparkSession
+        return Written(self.rules, spark.read.schema(self.data.schema).parquet(path), seen.get)
+
+    def summary(self, median: bool = True) -> DataFrame:
+        """One row: initial rows, rows dropped by each reason, final rows, label statistics, missing predictor cells."""
+        one = self.per_key.agg(*self._accounts())
         if not median:
             return one
-        values = self.labels.select(F.lit("label").alias("series"), F.col(r.label).alias("value"))
-        middle = exact_quantiles(values, [0.5]).collect()
-        value = middle[0]["quantiles"][0] if middle and middle[0]["quantiles"] else None
-        return one.withColumn("label_median", F.lit(value).cast("double"))
+        return one.withColumn("label_median", F.lit(_median(self.labels, self.rules.label)).cast("double"))
+
+
+@dataclass
+class Written:
+    """A cleaned table and what was counted while it was written; reports read no further rows of the raw table."""
+
+    rules: CleaningRules
+    data: DataFrame
+    counts: dict[str, Any]
+
+    def summary(self, median: bool = True) -> DataFrame:
+        """The row of ``CleanResult.summary``; only the median reads the cleaned labels."""
+        kinds = {"label_min": "double", "label_max": "double", "label_mean": "double", "final_columns": "int"}
+        names = [n for n in self.counts if not n.startswith(("_s_", "_r_"))]
+        row, schema = tuple(self.counts[n] for n in names), ", ".join(f"{n} {kinds.get(n, 'bigint')}" for n in names)
+        one = self.data.sparkSession.createDataFrame([row], schema)
+        return one.withColumn("label_median", F.lit(_median(self.data, self.rules.label)).cast("double")) if median else one
+
+    def sentinel_report(self) -> DataFrame:
+        rows = [(c, self.counts[f"_s_{c}"]) for c in self.rules.components]
+        long = self.data.sparkSession.createDataFrame(rows, "column_name string, sentinel_replacement_count bigint")
+        return long.select("column_name", _sentinel_array(self.rules.sentinels).alias("sentinel_values"), "sentinel_replacement_count")
+
+    def range_report(self) -> DataFrame:
+        ranged = {c: r for c, r in self.rules.ranges.items() if f"_r_{c}" in self.counts}
+        long = self.data.sparkSession.createDataFrame([(c, self.counts[f"_r_{c}"]) for c in ranged], "column_name string, invalid_value_count bigint")
+        return _with_bounds(long, ranged, "invalid_value_count")
+
+
+def _median(labels: DataFrame, label: str) -> float | None:
+    values = labels.select(F.lit("label").alias("series"), F.col(label).alias("value"))
+    middle = exact_quantiles(values, [0.5]).collect()
+    return middle[0]["quantiles"][0] if middle and middle[0]["quantiles"] else None
 
 
 def clean(df: DataFrame, rules: CleaningRules, ordinal: str | None = None) -> CleanResult:

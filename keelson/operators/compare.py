@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.digest import fingerprint
+from keelson.operators.ranks import with_ordinal
 from keelson.spec import ContractError, require_columns
 
 
@@ -89,12 +90,12 @@ def grid_gaps(facts: DataFrame, first: DataFrame, second: DataFrame, names: Sequ
     ``first`` and ``second`` are one-column frames with the keys of each dimension. Missing cells come as runs: one row for
     each unbroken stretch of second keys that a first key lacks, n being its length. Cells with several rows
     (``duplicate``) and cells outside the grid (``unexpected``) come one by one, n being their rows. So the result grows
-    with the facts and the first keys, never with the grid; only the second dimension's own keys are put in one order.
+    with the facts and the first keys, never with the grid; the second dimension's keys are numbered by range partitioning.
     """
     a, b = names
     one = first.select(F.col(first.columns[0]).alias("_a")).where(F.col("_a").isNotNull()).distinct()
-    two = second.select(F.col(second.columns[0]).alias("_b")).where(F.col("_b").isNotNull()).distinct().select(
-        "_b", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_b")).alias("_i"))
+    keys = second.select(F.col(second.columns[0]).alias("_b")).where(F.col("_b").isNotNull()).distinct()
+    two = with_ordinal(keys, ["_b"], "_p").select("_b", (F.col("_p") + 1).cast("int").alias("_i"))
     cells = facts.select(F.col(a).alias("_a"), F.col(b).alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n"))
     placed = cells.join(two, "_b", "left").join(one.withColumn("_in", F.lit(True)), "_a", "left")
     inside = F.col("_i").isNotNull() & F.col("_in").isNotNull()

@@ -103,6 +103,19 @@ def lookup(snapshot: DataFrame, wanted: DataFrame, key: str, features: Sequence[
     return joined.select(*wanted.columns, *features)
 
 
+def lookup_colocated(table: str, wanted: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
+    """Lookup in a snapshot saved by ``write_bucketed`` under ``key``: only requests are shuffled, to the table's buckets.
+
+    For request tables of any size. The snapshot's side keeps the layout it was written in, so it is neither shuffled nor
+    sent anywhere; buckets without requests are read, but rows leave them only for a request.
+    """
+    snapshot = wanted.sparkSession.table(table)
+    require_columns(snapshot, [key, *features], table)
+    hits = snapshot.select(F.col(key).alias("_key"), *features)
+    joined = wanted.join(hits.hint("merge"), F.col(key) == F.col("_key"), "left")
+    return joined.select(*wanted.columns, *features)
+
+
 def lookup_list(snapshot: DataFrame, ids: Sequence, key: str, features: Sequence[str]) -> DataFrame:
     """Lookup of a caller's key list, in request order."""
     wanted = requests(snapshot.sparkSession, ids, key, snapshot.schema[key].dataType)

@@ -10,6 +10,7 @@ from keelson.operators import clean as C
 from keelson.operators.keys import keep_latest, key_counts
 from keelson.operators.ranks import with_file_ordinal, with_ordinal
 from keelson.plans.common import EVENT_RULES, EVENTS_CLEAN_SQL, LINE_RULES, r6, table
+from keelson.session import shared_path
 from keelson.spec import CleaningRules
 
 
@@ -116,8 +117,7 @@ WHERE rn = 1 AND q IS NOT NULL AND e IS NOT NULL AND t IS NOT NULL"""
 
 
 def cleaning_summary(spark, d):
-    result = C.clean(table(spark, d, "events"), EVENT_RULES, "event_id").shared()
-    one = result.summary()
+    one = C.clean(table(spark, d, "events"), EVENT_RULES, "event_id").write(shared_path(spark, "cleaned")).summary()
     return one.select("*", (F.col("initial_rows") - F.col("missing_key_rows_removed") - F.col("duplicate_key_rows_removed")
                             - F.col("bad_label_rows_removed") == F.col("final_rows")).alias("reconciles")).withColumns(
         {c: r6(c) for c in ("label_mean", "label_median")})
@@ -134,7 +134,7 @@ SELECT (SELECT count(*) FROM events) AS initial_rows, (SELECT count(*) FROM even
 
 def cleaning_counts(spark, d):
     """Sentinel and range counts of the whole cleaning job, over all raw rows."""
-    result = C.clean(_lines(spark, d), LINE_RULES, "ordinal").shared()
+    result = C.clean(_lines(spark, d), LINE_RULES, "ordinal").write(shared_path(spark, "cleaned"))
     a = result.sentinel_report().select(F.lit("sentinel").alias("rule"), "column_name", F.col("sentinel_replacement_count").alias("n"))
     b = result.range_report().select(F.lit("range").alias("rule"), "column_name", F.col("invalid_value_count").alias("n"))
     return a.unionByName(b)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +13,8 @@ from keelson.operators import retrieve as R
 from keelson.operators.asof import AsOfSide, as_of_join, retrieval_counts
 from keelson.operators.compare import row_differences
 from keelson.plans.common import DERIVED, FEATURES_SQL, TTL, V1, V2, customers, rounded, table
-from keelson.session import materialized
-from keelson.sources.tables import first_rows
+from keelson.session import materialized, shared_path
+from keelson.sources.tables import first_rows, write_bucketed
 from keelson.spec import FeatureService, FeatureSource, FeatureView
 
 
@@ -241,6 +243,13 @@ LOOKUP_SQL = f"""SELECT c_custkey * 7 + 3 AS request_position, c_custkey AS user
 FROM customer LEFT JOIN ({SNAPSHOT_SQL}) s ON c_custkey = s.user_id"""
 
 
+def colocated_lookup(spark, d):
+    """The same lookup in a snapshot stored in buckets by key."""
+    name = f"keelson_snapshot_{uuid4().hex}"
+    write_bucketed(_snapshot(spark, d), name, "user_id", 8, path=shared_path(spark, "snapshot"))
+    return R.lookup_colocated(name, _requests(spark, d), "user_id", ["event_type", "value"])
+
+
 def lookup_check(spark, d):
     wanted = _requests(spark, d)
     return R.check_response(R.lookup(_snapshot(spark, d), wanted, "user_id", ["event_type", "value"]), wanted, "user_id",
@@ -293,6 +302,7 @@ QUERIES = {
     "materialize_latest": (materialize_latest, MATERIALIZE_SQL),
     "snapshot_update": (snapshot_update, SNAPSHOT_SQL),
     "online_lookup": (online_lookup, LOOKUP_SQL),
+    "colocated_lookup": (colocated_lookup, LOOKUP_SQL),
     "lookup_check": (lookup_check, LOOKUP_CHECK_SQL),
     "ordered_sample": (ordered_sample, ORDERED_SAMPLE_SQL),
 }

@@ -19,6 +19,7 @@ from keelson.plans.common import (CUSTOMERS_SQL, DERIVED, EVENT_RULES, EVENTS_CL
                                   rounded, table)
 from keelson.presets import HP1, HP2, RUNS
 from keelson.session import materialized, shared_path
+from keelson.spec import ForestSettings
 
 PREDICTORS = ("by_part", "constant", "linear", "per_unit")
 
@@ -226,7 +227,7 @@ BEST_MODEL_SQL = f"SELECT l_returnflag, model, n, rmse, mae, r2 FROM ({LEADERBOA
 
 
 def _fit(spark, d, spec, settings):
-    prepared = L.prepare(_split_rows(spark, d, spec), spec, "c_custkey", "latest_value", persist=False)
+    prepared = L.prepare(_split_rows(spark, d, spec), spec, "c_custkey", "latest_value")
     return L.fit(prepared, settings)
 
 
@@ -290,6 +291,39 @@ n AS (SELECT {len(V2.numeric)} + count(DISTINCT segment) + count(DISTINCT priori
 SELECT k AS encoded_features, 1.0::DOUBLE AS total, k::INT AS last_rank FROM n"""
 
 
+ONE_TREE = ForestSettings("one", trees=1, depth=2, min_leaf=20, feature_subset="all", bootstrap=False, max_bins=32)
+
+
+def tree_splits(spark, d):
+    """Nodes of one tree of two levels over all training rows: its sizes, means and splits can be counted in SQL."""
+    result = _fit(spark, d, V1, ONE_TREE)
+    names = result.preprocessing.named_features().withColumnRenamed("feature", "name")
+    found = result.nodes.join(F.broadcast(names), F.col("feature") == F.col("position"), "left")
+    return found.select("node", F.col("n").cast("bigint").alias("n"), r6("prediction").alias("prediction"), F.col("name").alias("feature"))
+
+
+# every threshold of every feature: rows on its right side, their sum; the best one of each node, ties to the first feature
+_TREE_LEVEL = """
+{name}_tests AS (SELECT node, x.feature, x.place, e.threshold, count(*) FILTER (x.value > e.threshold) AS n_right, count(*) AS n,
+                        sum(y) FILTER (x.value > e.threshold) AS s_right, sum(y) AS s
+                 FROM {rows} r JOIN cells x USING (c_custkey) JOIN edges e ON e.feature = x.feature GROUP BY ALL),
+{name}_best AS (SELECT node, feature, threshold FROM {name}_tests WHERE n_right >= 20 AND n - n_right >= 20
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY round((s_right - n_right * s / n) ** 2 * n / (n_right::DOUBLE * (n - n_right)), 3) DESC, place, threshold) = 1),
+{name} AS (SELECT r.c_custkey, r.y, r.node, 2 * r.node + (x.value > b.threshold)::INT AS child, b.feature
+           FROM {rows} r JOIN {name}_best b USING (node) JOIN cells x ON x.c_custkey = r.c_custkey AND x.feature = b.feature)"""
+_MEDIANS = ", ".join(f"coalesce({c}, median({c}) OVER ())::DOUBLE AS {c}" for c in V1.numeric)
+TREE_SPLITS_SQL = f"""WITH {CUSTOMERS_SQL}, {SPLIT_SQL}, t AS (SELECT customers.* FROM customers JOIN split_of USING (c_custkey) WHERE split = 'train'),
+filled AS (SELECT c_custkey, latest_value::DOUBLE AS y, {_MEDIANS}, {', '.join(f"coalesce({c}, mode({c}) OVER ()) AS {c}" for c in V1.categorical)} FROM t),
+cells AS ({' UNION ALL '.join([f"SELECT c_custkey, 'numerical__{c}' AS feature, '{i}' AS place, {c} AS value FROM filled" for i, c in enumerate(V1.numeric)]
+                              + [f"SELECT c_custkey, 'categorical__{c}_' || v.v AS feature, '{len(V1.numeric) + i}' || v.v AS place, (filled.{c} = v.v)::INT::DOUBLE AS value FROM filled, (SELECT DISTINCT {c} AS v FROM filled) v" for i, c in enumerate(V1.categorical)])}),
+edges AS (SELECT feature, unnest(list_distinct(CASE WHEN feature LIKE 'categorical%' THEN [0.5] ELSE quantile_disc(value, {[i / 32 for i in range(1, 32)]}) END)) AS threshold FROM cells GROUP BY feature),
+root AS (SELECT c_custkey, y, 1 AS node FROM filled), {_TREE_LEVEL.format(name='one', rows='root')},
+second AS (SELECT c_custkey, y, child AS node FROM one), {_TREE_LEVEL.format(name='two', rows='second')},
+placed AS (SELECT y, node, feature FROM root JOIN (SELECT feature FROM one_best) ON true UNION ALL SELECT y, node, feature FROM second LEFT JOIN two_best USING (node)
+           UNION ALL SELECT y, child, NULL FROM two)
+SELECT node::BIGINT AS node, count(*) AS n, round(avg(y), 6) AS prediction, any_value(feature) AS feature FROM placed GROUP BY node"""
+
+
 def grid_gaps_users_days(spark, d):
     """Runs of days without any event of a user, and days with several: a grid of all customers and all days of activity."""
     facts = table(spark, d, "events").select("user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"))
@@ -437,6 +471,7 @@ QUERIES = {
     "stored_model_scores": (stored_model_scores, STORED_MODEL_SQL),
     "forest_bounds": (forest_bounds, FOREST_BOUNDS_SQL),
     "importance_total": (importance_total, IMPORTANCE_SQL),
+    "tree_splits": (tree_splits, TREE_SPLITS_SQL),
     "grid_gaps_users_days": (grid_gaps_users_days, GRID_GAPS_SQL),
     "quality_checks": (quality_checks, _quality_sql()),
     "quality_roll_up": (quality_roll_up, f"SELECT count(*) AS checks, count(*) FILTER (status = 'passed') AS passed, count(*) FILTER (status = 'failed') AS failed FROM ({_quality_sql()})"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators import retrieve as R
-from keelson.operators.asof import AsOfSide, as_of_join, retrieval_counts
+from keelson.operators.asof import AsOfSide, as_of_join, retrieval_counts, time_span, within_span
 from keelson.spec import ContractError, FeatureService, FeatureSource, FeatureView
 from keelson.streaming import snapshot as SN
 
@@ -156,3 +156,91 @@ def test_streamed_snapshot_survives_a_replay(spark, tmp_path):
     assert {(r["k"], r["v"]) for r in got.collect()} == {(1, "c"), (2, "b")}
     SN.compact(spark, out, str(tmp_path / "base"), "k", "ft", ["v"], "o")
     assert spark.read.parquet(str(tmp_path / "base")).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_feature_scans_are_limited_to_times_that_can_match(spark, tmp_path, kind):
+    path = str(tmp_path / "features")
+    hours = spark.range(40_000).select((F.col("id") % 50).alias("k"), F.timestamp_seconds(1_600_000_000 + F.col("id") * 3600).cast(kind).alias("fts"),
+                                       F.col("id").cast("string").alias("v"))
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")  # INT96 times have no statistics
+    try:
+        hours.repartitionByRange(20, "fts").write.parquet(path)
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    features = spark.read.parquet(path)
+    labels = hours.where("v BETWEEN '20000' AND '20100' AND length(v) = 5").select("k", F.col("fts").alias("t"), F.col("v").alias("y"))
+    side = AsOfSide(features, "k", "fts", ("v",), timedelta(days=5))
+    got = as_of_join(labels, "k", "t", [side])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, as_of_join(labels, "k", "t", [side], prune=False).collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(fts," in plan and "LessThanOrEqual(fts," in plan
+    pruned = within_span(side, time_span(labels, "t")).df._jdf.queryExecution()
+    assert pruned.toRdd().count() == 101 + 120
+    scanned = pruned.executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    # of 40,000 rows; the Parquet reader compares statistics of times with a zone only
+    assert scanned <= 5_000 or kind == "timestamp_ntz"
+    # no label, no feature row; labels without a time do not count
+    assert as_of_join(labels.withColumn("t", F.lit(None).cast(kind)), "k", "t", [side]).where("v IS NOT NULL").isEmpty()
+    assert time_span(labels.where("false"), "t") is None
+
+
+def test_a_snapshot_is_folded_while_a_reader_goes_on(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    schema = "k long, ft timestamp, o long, v string"
+
+    def feed(rows, checkpoint=ck):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        SN.feed_snapshot(spark.readStream.schema(schema).parquet(src), out, checkpoint, "k", "ft", ["v"], "o").awaitTermination()
+
+    def read():
+        return SN.read_snapshot(spark, out, "k", "ft", ["v"], "o")
+
+    def publish():
+        return SN.publish(spark, out, "k", "ft", ["v"], "o")
+
+    def values(df):
+        return {(r["k"], r["v"]) for r in df.collect()}
+
+    feed([(1, at(1), 1, "a"), (2, at(1), 2, "b")])
+    feed([(1, at(5), 3, "c")])
+    early = read()
+    assert publish().through == 1 and publish() is None
+    assert values(early) == values(read()) == {(1, "c"), (2, "b")}  # the early reader still finds its batches
+    feed([(2, at(7), 4, "d"), (3, at(1), 5, "e")])
+    between, want = read(), {(1, "c"), (2, "d"), (3, "e")}
+    second = publish()
+    assert (second.version, second.through) == (2, 2) and values(between) == values(read()) == want
+    assert SN.batches(spark, out) == [2] and len(SN.pointers(spark, out)) == 2
+    # a replayed batch of any age changes nothing, an incomplete one is neither read nor folded
+    batch = spark.createDataFrame([(1, at(5), 3, "c")], schema)
+    R.materialize(batch, "k", "ft", ["v"], ordinal="o").write.parquet(f"{out}/batch=1")
+    spark.createDataFrame([(9, at(9), 9, "z")], schema).write.parquet(f"{out}/batch=3")
+    (tmp_path / "out" / "batch=3" / "_SUCCESS").unlink()
+    spark.createDataFrame([(8, at(9), 9, "y")], schema).write.parquet(f"{out}/batch=4")
+    assert values(read()) == want | {(8, "y")} and publish() is None
+    (tmp_path / "out" / "batch=3" / "_SUCCESS").touch()
+    assert publish().through == 4 and values(read()) == want | {(8, "y"), (9, "z")}
+    assert [p.version for p in SN.pointers(spark, out)] == [2, 3]
+    # two publishers of one publication: the second fails, what it wrote is not read
+    with pytest.raises(ContractError, match="exists already"):
+        SN._write_pointer(spark, out, SN.Pointer(3, "_bases/other", 9))
+    assert values(read()) == want | {(8, "y"), (9, "z")}
+
+
+def test_lookup_in_buckets_leaves_the_snapshot_where_it_is(spark, tmp_path):
+    from keelson.sources.tables import write_bucketed
+
+    snapshot = spark.range(1000).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    write_bucketed(snapshot, "bucketed_snapshot", "k", 8, path=str(tmp_path / "snapshot"))
+    wanted = spark.createDataFrame([(i, k) for i, k in enumerate([5, 999, 5, 4000, None])], "request_position long, k long")
+    got = R.lookup_colocated("bucketed_snapshot", wanted, "k", ["v"])
+    assert sorted(map(tuple, got.collect())) == [(0, 5, "v5"), (1, 999, "v999"), (2, 5, "v5"), (3, 4000, None), (4, None, None)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = R.lookup_colocated("bucketed_snapshot", wanted, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert plan.index("Exchange") < plan.index("Bucketed: true")  # the requests' side
+    spark.sql("DROP TABLE bucketed_snapshot")

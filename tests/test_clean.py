@@ -178,3 +178,18 @@ def test_keep_latest_and_key_counts(spark):
     assert {(r["k"], r["v"]) for r in keep_latest(df, "k", "t", "o").collect()} == {(1, "b"), (2, "c"), (None, "e")}
     assert key_counts(df, "k").first().asDict() == {
         "row_count": 5, "missing_keys": 2, "distinct_keys": 2, "superseded_rows": 1, "duplicated_key_rows": 2}
+
+
+def test_counts_taken_while_writing_are_those_of_the_reports(spark, raw, tmp_path):
+    for i, edits in enumerate(({}, {(0, c): 1.0 for c in COMPONENTS}, {(0, "record_id"): None, (1, "candj"): 1.0}, {(k, "record_id"): None for k in range(3)})):
+        result = run(raw(edits))
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup(f"write-{i}", "")
+        written = result.write(str(tmp_path / f"cleaned-{i}"))
+        written.summary(median=False).collect(), written.sentinel_report().collect(), written.range_report().collect()
+        scans = len(jobs.getJobIdsForGroup(f"write-{i}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert scans <= 5  # the write, and the local report tables
+        for ours, theirs in ((written.summary(), result.summary()), (written.sentinel_report(), result.sentinel_report()), (written.range_report(), result.range_report())):
+            assert ours.columns == theirs.columns and sorted(map(tuple, ours.collect()), key=repr) == sorted(map(tuple, theirs.collect()), key=repr)
+        assert sorted(map(tuple, written.data.collect())) == sorted(map(tuple, result.data.collect()))

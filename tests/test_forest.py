@@ -140,7 +140,7 @@ spark = (SparkSession.builder.master("local[4]").config("spark.driver.memory", "
          .config("spark.sql.shuffle.partitions", "8").getOrCreate())
 spark.sparkContext.setCheckpointDir({folder!r})
 n = {n}
-rows = spark.range(2 * n).selectExpr("id AS k", "double(id % 7) AS age", "1D AS weight", "2D AS height", "concat('g', lpad(id % %d, 7, '0')) AS gender" % n, "'r' AS region")
+rows = spark.range(2 * n).selectExpr("id AS k", "double(id % 7) AS age", "1D AS weight", "2D AS height", "concat('g', lpad(id %% %d, 7, '0')) AS gender" % n, "'r' AS region")
 learned = L.fit_preprocessing(rows, strength_features("k", "v1"))
 encoded = learned.vectors(rows, ["k", "gender"])
 from pyspark.ml.stat import Summarizer

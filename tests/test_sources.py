@@ -113,3 +113,30 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         assert joined.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_archive_is_parsed_in_bounded_blocks(tmp_path):
+    import pyarrow as pa
+
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open("a.csv", "w") as f:
+        f.write(b"k,age,note\n")
+        for i in range(60):
+            f.write(b"".join(b'%d,2,"%s\nnext"\n' % (i * 1000 + j, b"y" * 2000) for j in range(1000)))  # 120 MB unpacked
+    content, seen = (tmp_path / "big.zip").read_bytes(), 0
+    before = pa.total_allocated_bytes()
+    for batch in C._batches(content, "big.zip", ["k", "note"], C.BLOCK):
+        assert pa.total_allocated_bytes() - before < 6 * C.BLOCK
+        assert batch.column("k")[0].as_py() == str(seen) and batch.column("note")[0].as_py() == "y" * 2000 + "\nnext"
+        seen += batch.num_rows
+    assert seen == 60_000
+
+
+def test_blocks_grow_with_the_longest_row_and_long_archives_are_opened_by_path(spark, tmp_path, monkeypatch):
+    archive(tmp_path / "a.zip", {"a.csv": "k,age,note\n" + "".join(f'{i},1,"{"z" * (i % 7) * 3000}\n"\n' for i in range(300))})
+    archive(tmp_path / "b.zip", {"a.csv": "k,age,note\n900,1,x\n901,2"})
+    whole = C.read_archives(spark, str(tmp_path), SCHEMA).orderBy("k").collect()
+    files = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "content")
+    assert C.parse_archives(files, SCHEMA, block=1000).orderBy("k").collect() == whole
+    monkeypatch.setattr(C, "CELL_BYTES", 200)  # a.zip is beyond it
+    assert C.read_archives(spark, str(tmp_path), SCHEMA).orderBy("k").collect() == whole
+    assert [r["_line"] for r in whole if r["k"] is not None and r["k"] < 300] == list(range(300)) and any(r["_error"] for r in whole)
