@@ -299,7 +299,7 @@ def tree_splits(spark, d):
     result = _fit(spark, d, V1, ONE_TREE)
     names = result.preprocessing.named_features().withColumnRenamed("feature", "name")
     found = result.nodes.join(F.broadcast(names), F.col("feature") == F.col("position"), "left")
-    return found.select("node", F.col("n").cast("bigint").alias("n"), r6("prediction").alias("prediction"), F.col("name").alias("feature"))
+    return found.select("node", F.col("n").cast("bigint").alias("n"), F.round("prediction", 2).alias("prediction"), F.col("name").alias("feature"))
 
 
 # every threshold of every feature: rows on its right side, their sum; the best one of each node, ties to the first feature
@@ -321,7 +321,7 @@ root AS (SELECT c_custkey, y, 1 AS node FROM filled), {_TREE_LEVEL.format(name='
 second AS (SELECT c_custkey, y, child AS node FROM one), {_TREE_LEVEL.format(name='two', rows='second')},
 placed AS (SELECT y, node, feature FROM root JOIN (SELECT feature FROM one_best) ON true UNION ALL SELECT y, node, feature FROM second LEFT JOIN two_best USING (node)
            UNION ALL SELECT y, child, NULL FROM two)
-SELECT node::BIGINT AS node, count(*) AS n, round(avg(y), 6) AS prediction, any_value(feature) AS feature FROM placed GROUP BY node"""
+SELECT node::BIGINT AS node, count(*) AS n, round(avg(y), 2) AS prediction, any_value(feature) AS feature FROM placed GROUP BY node"""
 
 
 def grid_gaps_users_days(spark, d):
