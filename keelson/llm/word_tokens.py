@@ -16,6 +16,8 @@ import numpy as np
 CACHE_ENTRIES = 450_000
 LIBRARY_CHARS = 1 << 16
 GROUP_CHARS = 1 << 20
+#: a mark that is one token by itself
+BAR = "|"
 #: characters that are neither letters, numbers nor white space; the apostrophe also starts contractions
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 OTHER = re.compile(r"[^\t\n\x0b\x0c\r -~\xa1-\xff]|<\|")
@@ -28,6 +30,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.bar,) = self.tokenizer.encode(BAR, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -80,18 +83,19 @@ class WordTokens:
                 self.known[chunk] = self.known[core] + self.known[tail]
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encodes new chunks as lines of a few long texts; the place of a token in its text tells its chunk."""
+        """Encodes new chunks in a few long texts, with a bar between two of them that tells where each one's ids end."""
+        barred = [c for c in chunks if BAR in c]
+        self.known.update(zip(barred, self._library(barred), strict=True))
+        plain = [c for c in chunks if BAR not in c] if barred else chunks
         at = 0
-        while at < len(chunks):
-            end, size, starts = at, 0, []
-            while end < len(chunks) and size < LIBRARY_CHARS:
-                starts.append(size)
-                size += len(chunks[end]) + 1
+        while at < len(plain):
+            end, size = at, 0
+            while end < len(plain) and size < LIBRARY_CHARS:
+                size += len(plain[end]) + 3
                 end += 1
-            found = self.tokenizer.encode(" ".join(chunks[at:end]), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            cuts = np.searchsorted(np.array([o[0] for o in found.offsets]), starts[1:])
-            self.known.update(zip(chunks[at:end], (i.tobytes() for i in np.split(ids, cuts)), strict=True))
+            ids = self._library([f" {BAR} ".join(plain[at:end])])[0]
+            ends = (4 * np.flatnonzero(np.frombuffer(ids, "<u4") == self.bar)).tolist()
+            self.known.update(zip(plain[at:end], [ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(ids)])], strict=True))
             at = end
 
 
