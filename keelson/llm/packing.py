@@ -25,6 +25,8 @@ from keelson.session import stored
 
 LENGTH = 4096
 WINDOWS = 128
+#: pieces of a batch; differencing holds a row of windows for each
+BATCH_ITEMS = 20_000
 END_ID = 2
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -107,8 +109,8 @@ def pack_documents(docs: DataFrame, path: str, length: int = LENGTH, windows: in
     null ``doc_id`` are packed too. Sequences are numbered by batch and window, not without gaps.
     """
     pieces = stored(pieces_of(docs, path, length, end_id), "pieces")
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    batches = max(1, -(-total // (windows * length)))
+    total, items = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
+    batches = max(1, -(-total // (windows * length)), -(-items // BATCH_ITEMS))
 
     def pack(rows: pa.Table) -> pa.Table:
         order = rows.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])
@@ -124,5 +126,6 @@ def pack_documents(docs: DataFrame, path: str, length: int = LENGTH, windows: in
         base = (order.column("batch").to_numpy()[0] << 32) if len(sizes) else 0
         return order.drop_columns(["batch"]).append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
 
-    dealt = pieces.withColumn("batch", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(batches)))
+    # by the place of a row in the stored table, so that equal rows do not meet in one batch
+    dealt = pieces.withColumn("batch", F.pmod(F.xxhash64("_metadata.file_name", "_metadata.row_index"), F.lit(batches)))
     return dealt.groupBy("batch").applyInArrow(pack, PIECES + ", sequence_id long, offset long")
