@@ -29,13 +29,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm.jaccard import pack, unpack
@@ -53,6 +54,7 @@ WORD_ANSWER, GRAM_ANSWER, TABLE, HOT_PROFILE = 0, 1, 2, 3
 BLOCKS = "block long, part int, kind int, a binary, b binary, c binary"
 ANSWERS = "block long, part int, kind int, a binary, b binary, c binary, sums array<double>"
 DOC = np.dtype([("doc_id", "<i8"), ("known", "?"), ("held", "i1"), ("tokens", "<i8")])
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -449,6 +451,24 @@ def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES, order: int =
     ``doc_id`` are neither. ``order`` is the number of words of the longest grams, at least two. A null text is empty and has its end token only. Repeated rows count as often as they occur.
     """
     spark = docs.sparkSession
+    with released_shuffles(spark):
+        result, total = _scores(spark, docs, part_bytes, order)
+    return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that made them ends. For steps that store what they make, so none is read again."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def _scores(spark: SparkSession, docs: DataFrame, part_bytes: int, order: int) -> tuple[DataFrame, int]:
+    """(stored scores, number of training tokens)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
     held = F.when(F.col("doc_id").isNull(), F.lit(-1)).when(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(1)).otherwise(F.lit(0))
@@ -461,6 +481,7 @@ def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES, order: int =
     blocks = spark.table(name)
     streams = blocks.where(F.col("kind") == STREAM)
     words = stored(blocks.where(F.col("kind") == WORDS).groupBy("part").applyInArrow(_count_words(parts), ANSWERS), "words", ["kind"])
+    _delete(spark, f"{path}/kind={WORDS}")  # answered; the streams are all that is read from here on
     sums = np.array([r["sums"] for r in bounded_collect(_summed(words.where(F.col("kind") == TABLE)), 1, "word sums") if r["sums"]])
     totals = sums[0] if len(sums) else np.zeros(DISCOUNTED + 3)
     unigrams = _unigrams(totals)
@@ -481,7 +502,12 @@ def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES, order: int =
     result = stored(scored, "scores")
     release(streams, *used)
     spark.sql(f"DROP TABLE {name}")
-    return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(unigrams.total).cast("long").alias("train_tokens"), "base_score", "score")
+    return result, unigrams.total
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _element_sums(length: int = DISCOUNTED + 2) -> list:
