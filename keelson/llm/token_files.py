@@ -69,7 +69,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     """Encodes every whole text, appends ``end_id``, and writes the ids in ascending ``doc_id`` order under ``path``.
 
     Documents are cut into ranges of ``doc_id`` at quantiles, at most ``MAX_RANGES``; the quantiles are all that reaches the
-    driver. Ids are made before the shuffle and travel compressed. A document is never split over blocks. Null texts count
+    driver. Ids are made before the shuffle and travel as 16-bit numbers where the vocabulary fits. A document is never split over blocks. Null texts count
     as empty; rows with a null ``doc_id`` come first; equal ids are ordered by their token ids.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -78,19 +78,15 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     cuts = sorted(set(cuts or []))
     place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+    narrow = "<u2" if max(end_id, word_tokens(tokenizer).tokenizer.get_vocab_size() - 1) < 1 << 16 else "<u4"
 
-        tokens, end, squeeze = word_tokens(tokenizer), np.array([end_id], "<u4").tobytes(), zstandard.ZstdCompressor(level=1)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, end = word_tokens(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            planes = [np.frombuffer(ids + end, np.uint8).reshape(-1, 4).T.tobytes() for ids in tokens.encode(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("range_no"), batch.column("doc_id"), pa.array(map(squeeze.compress, planes), pa.binary())],
-                                             names=["range_no", "doc_id", "ids"])
+            ids = [np.frombuffer(found + end, "<u4").astype(narrow).tobytes() for found in tokens.encode(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("range_no"), batch.column("doc_id"), pa.array(ids, pa.binary())], names=["range_no", "doc_id", "ids"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        expand = zstandard.ZstdDecompressor()
         current, number, doc_ids, parts, total = None, 0, [], [], 0
 
         def block() -> pa.RecordBatch:
@@ -106,8 +102,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                     yield block()
                     number, doc_ids, parts, total = (number + 1 if range_no == current else 0), [], [], 0
                 current = range_no
-                planes = np.frombuffer(expand.decompress(packed), np.uint8)
-                parts.append(np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel())
+                parts.append(np.frombuffer(packed, narrow))
                 doc_ids.append(doc_id)
                 total += len(parts[-1])
         if parts:
