@@ -211,6 +211,10 @@ def identify(docs: DataFrame, net: Network, lang_pred: str = "lang_pred", pooled
     return docs.mapInArrow(label, f"{schema}, `{lang_pred}` string, `{pooled}` double")
 
 
+#: share of rightly named held-out documents that the derived bound may lose
+LOST = 0.001
+
+
 def held_out(doc_id: str = "doc_id", parts: int = 5):
     """Rows whose crc32(id as text) is a multiple of ``parts``; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts == 0, F.lit(False))
@@ -228,8 +232,23 @@ def predict_documents(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAG
     return identify(docs.select("doc_id", "text"), net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents with a language that is predicted with at least the given score, with their columns."""
+def least_score(docs: DataFrame, net: Network, lost: float = LOST) -> float:
+    """The score that all but the share ``lost`` of the held-out documents reach whose language the network names; 0 without any.
+
+    So the bound follows what the network knows: with few or easy languages it is high, with many it is low.
+    """
+    seen = identify(docs.where(held_out() & F.col("lang").isNotNull()).select("text", "lang"), net)
+    return seen.where(F.col("lang_pred") == F.col("lang")).agg(F.percentile_approx("score", lost, 10_000)).first()[0] or 0.0
+
+
+def keep_identified(docs: DataFrame, least: float | None = None) -> DataFrame:
+    """The documents with a language that is predicted with at least the given score, with their columns.
+
+    Without ``least``, ``least_score`` decides. A text in a language that was not learned is rejected only where the network
+    is less sure of it than of its own languages.
+    """
     language, score = free_names(docs.columns, ["lang_pred", "score"])
-    seen = identify(docs, learn(docs), language, score)
-    return seen.where((F.col(language) != UNDETERMINED) & (F.col(score) >= least)).select(docs.columns)
+    net = learn(docs)
+    bound = least_score(docs, net) if least is None else least
+    seen = identify(docs, net, language, score)
+    return seen.where((F.col(language) != UNDETERMINED) & (F.col(score) >= bound)).select(docs.columns)

@@ -124,6 +124,26 @@ def test_language_edge_cases(make_docs, edge_rows):
     assert language.predict_documents(make_docs([])).collect() == []
 
 
+def test_the_bound_follows_held_out_scores_and_rejects_unlearned_texts(spark, make_docs):
+    rng = random.Random(6)
+
+    def text(syllables):
+        return " ".join("".join(rng.choice(syllables) for _ in range(3)) for _ in range(60))
+
+    kinds = {"a": ["ba", "lo", "mi"], "b": ["xu", "trk", "ze"], "c": ["ñe", "ça", "êt"]}
+    rows = [(i, text(kinds[lang]), lang) for i, lang in enumerate(rng.choice("abc") for _ in range(240))]
+    odd = [(1000 + i, text(list("bxñzltk0aueim")), None) for i in range(40)]
+    docs = make_docs(rows + odd)
+    net = language.learn(docs)
+    bound = language.least_score(docs, net)
+    assert 1 / 3 < bound < 1
+    kept = {r["doc_id"] for r in language.keep_identified(docs).collect()}
+    scores = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(docs, net, "named", "sure").selectExpr("doc_id", "named AS lang_pred", "sure AS score").collect()}
+    assert kept == {i for i, (lang, score) in scores.items() if lang != "und" and score >= bound}
+    assert len(kept & {i for i, _, _ in rows}) >= 0.95 * len(rows) and len(kept & {i for i, _, _ in odd}) <= 0.5 * len(odd)
+    assert language.keep_identified(docs, least=0.0).count() == len(rows) + len(odd)
+
+
 def test_repeated_training_is_equal():
     one, two = (language.train(["abc def", "xyz uvw"] * 3, ["a", "b"] * 3, steps=3) for _ in range(2))
     assert all((p == q).all() for p, q in zip(one.parameters(), two.parameters(), strict=True))
