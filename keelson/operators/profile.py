@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from keelson.functions import scalar as S
 from keelson.functions.digest import canonical_text, row_digest
 from keelson.operators.ranks import column_quantiles, exact_quantiles, to_long
-from keelson.session import stored
+from keelson.session import bounded_collect, release, stored
 from keelson.spec import FeatureSpec
 
 LONG_TEXT = 64
@@ -141,20 +141,35 @@ def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None) ->
 
     A missing value competes for most frequent; equal counts are decided by the smaller value, missing last.
     Present it by unique_count descending.
+
+    Long texts are counted by digest and beginning, so whole texts are not shuffled. Only where a long text wins are the
+    rows with its beginning read again, and the smallest text among equals is found by a minimum in each task.
     """
     names = list(columns if columns is not None else text_columns(df))
+    schema = "column_name string, unique_count bigint, missing_count bigint, most_frequent_value string, most_frequent_count bigint"
     if not names:
-        return df.sparkSession.createDataFrame(
-            [], "column_name string, unique_count bigint, missing_count bigint, most_frequent_value string, most_frequent_count bigint")
-    freq = value_counts(df, names)
-    known = F.col("value").isNotNull()
-    top_n = freq.groupBy("column_name").agg(
-        F.count_if(known).alias("unique_count"),
-        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing_count"),
-        F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("a"), F.col("value").isNull().alias("b"),
-                                                  F.col("value").alias("c"))).alias("_top"))
-    return top_n.select("column_name", "unique_count", "missing_count", F.col("_top.value").alias("most_frequent_value"),
-                        F.col("_top.n").alias("most_frequent_count"))
+        return df.sparkSession.createDataFrame([], schema)
+    value, start = F.col("value"), F.substring("value", 1, LONG_TEXT)
+    is_long = F.length(value) > LONG_TEXT
+    # a short text sorts before long ones with the same beginning
+    key = F.when(is_long, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(F.concat(F.lit("!"), value))
+    long = df.select(*[canonical_text(c, df.schema[c].dataType).alias(c) for c in names]).unpivot([], names, "column_name", "value")
+    freq = stored(long.select("column_name", key.alias("key"), start.alias("start")).groupBy("column_name", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("start").alias("start")), "frequencies")
+    known = F.col("key").isNotNull()
+    top = bounded_collect(freq.groupBy("column_name").agg(
+        F.count_if(known).alias("unique"), F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
+        F.min_by(F.struct("key", "start", "n"), F.struct((-F.col("n")).alias("a"), F.col("key").isNull().alias("b"), F.col("start").alias("c"),
+                                                         F.col("key").alias("d"))).alias("best")), len(names), "columns")
+    won = {r["column_name"]: r["best"]["start"] for r in top}
+    for r in top:
+        c, best = r["column_name"], r["best"]
+        if best["key"] is not None and best["key"].startswith("#"):
+            equals = freq.where((F.col("column_name") == c) & (F.col("n") == best["n"]) & (F.col("start") == best["start"]) & F.col("key").startswith("#"))
+            rows = long.where((F.col("column_name") == c) & is_long & (start == best["start"])).withColumn("key", key)
+            won[c] = rows.join(equals.select("key"), "key", "left_semi").agg(F.min("value")).first()[0]
+    release(freq)
+    return df.sparkSession.createDataFrame([(r["column_name"], r["unique"], r["missing"], won[r["column_name"]], r["best"]["n"]) for r in top], schema)
 
 
 def feature_missingness(df: DataFrame, spec: FeatureSpec) -> DataFrame:

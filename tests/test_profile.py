@@ -49,6 +49,17 @@ def test_long_texts_are_still_told_apart(spark):
     assert top["most_frequent_value"] == "a" * 500 and top["most_frequent_count"] == 2
 
 
+def test_ties_of_long_texts_go_to_the_smaller_text(spark):
+    stem = "é" * 64
+    texts = [stem + "b" * 400, stem + "a" * 300 + "z", stem + "a" * 300 + "y", stem + "c", "#short", "z" * 80]
+    rows = [(t, t[:65], stem if i % 2 else t) for i, t in enumerate(texts) for _ in range(1 if t[0] in "#z" else 2)]
+    df = spark.createDataFrame(rows, "long string, cut string, mixed string").repartition(3)
+    got = {r["column_name"]: (r["unique_count"], r["most_frequent_value"], r["most_frequent_count"]) for r in P.categorical_summary(df).collect()}
+    for c in df.columns:
+        counts = df.groupBy(c).count().orderBy(F.desc("count"), c).collect()
+        assert got[c] == (len(counts), counts[0][c], counts[0]["count"])
+
+
 def test_numeric_summary_agrees_with_pandas(spark):
     rnd = random.Random(3)
     pdf = pd.DataFrame({"a": [rnd.gauss(0, 5) for _ in range(501)], "b": [float(rnd.randint(0, 3)) for _ in range(501)], "c": [7.0] * 501})
