@@ -291,6 +291,21 @@ n AS (SELECT {len(V2.numeric)} + count(DISTINCT segment) + count(DISTINCT priori
 SELECT k AS encoded_features, 1.0::DOUBLE AS total, k::INT AS last_rank FROM n"""
 
 
+def importance_check(spark, d):
+    """Importances and their order against MLlib's own computation over the stored form of the same forest."""
+    result = _fit(spark, d, V1, HP1)
+    theirs = spark.createDataFrame([(i, float(v)) for i, v in enumerate(result.model.forest.featureImportances.toArray())], "position int, theirs double")
+    ours = materialized(result.importance().join(result.preprocessing.named_features(), "feature").join(theirs, "position"))
+    after = ours.select((F.col("rank") - 1).alias("rank"), F.col("theirs").alias("next"))
+    return ours.join(after, "rank", "left").agg(
+        F.count(F.lit(1)).alias("encoded_features"), F.count_if(F.abs(F.col("importance") - F.col("theirs")) > 1e-9).alias("different"),
+        F.count_if(F.col("next") > F.col("theirs") + 1e-9).alias("out_of_order"))
+
+
+IMPORTANCE_CHECK_SQL = f"""WITH {CUSTOMERS_SQL}, {SPLIT_SQL}, t AS (SELECT customers.* FROM customers JOIN split_of USING (c_custkey) WHERE split = 'train')
+SELECT {len(V1.numeric)} + count(DISTINCT segment) + count(DISTINCT priority) AS encoded_features, 0::BIGINT AS different, 0::BIGINT AS out_of_order FROM t"""
+
+
 ONE_TREE = ForestSettings("one", trees=1, depth=2, min_leaf=20, feature_subset="all", bootstrap=False, max_bins=32)
 
 
@@ -471,6 +486,7 @@ QUERIES = {
     "stored_model_scores": (stored_model_scores, STORED_MODEL_SQL),
     "forest_bounds": (forest_bounds, FOREST_BOUNDS_SQL),
     "importance_total": (importance_total, IMPORTANCE_SQL),
+    "importance_check": (importance_check, IMPORTANCE_CHECK_SQL),
     "tree_splits": (tree_splits, TREE_SPLITS_SQL),
     "grid_gaps_users_days": (grid_gaps_users_days, GRID_GAPS_SQL),
     "quality_checks": (quality_checks, _quality_sql()),
