@@ -58,6 +58,17 @@ def test_neighbours_with_copies_ties_and_unusable_rows(spark):
     assert got[220] == want[220]  # its copies, smallest ids first
 
 
+def test_recall_beside_one_very_long_vector(spark):
+    rng = np.random.default_rng(8)
+    vectors = np.float32(rng.normal(size=(700, 24)))
+    vectors[7] *= 5000
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    got = answers(neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), is_query()))
+    want = brute_nearest(rows)
+    hits = sum(len({x[1] for x in got[q]} & {x[1] for x in v}) for q, v in want.items())
+    assert got.keys() == want.keys() and hits >= 0.9 * 20 * len(want)
+
+
 @pytest.mark.parametrize("n", [0, 1, 5])
 def test_neighbours_with_few_candidates(spark, n):
     rows = [(20 * i, [1.0 + i, -1.0]) for i in range(n)]
