@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.session import bounded_collect, release, shared_path, stored
@@ -36,7 +36,8 @@ SUBTREE_ROWS = 1 << 18
 #: (node, bin) sums that one pass over the rows may gather in a task
 PASS_SUMS = 1 << 21
 SKETCH = 10_000
-NODES_SENT = 4_000_000
+#: nodes of the trees, and blocks of rows, that one task scores at once
+NODES_SENT, BLOCKS_SENT = 1_000_000, 64
 #: bytes of bagged rows that one shuffle to subtrees may carry; more trees take further rounds
 ROUND_BYTES = 1 << 38
 NODE_SCHEMA = "tree int, node long, n double, total double, squares double, split_column int, split_bin int, gain double"
@@ -417,34 +418,64 @@ class Trees:
 def predict(nodes: DataFrame, rows: DataFrame, columns: list[str], layout: Layout, keep: list[str]) -> DataFrame:
     """(keep..., prediction): the mean of all trees for rows with the encoded ``columns``.
 
-    Trees are sent to the tasks in groups of at most ``NODES_SENT`` nodes, or of one tree; each group adds its sum.
+    Trees meet rows in tasks, never on the driver: a group holds trees of at most ``NODES_SENT`` nodes, or one tree, and about
+    ``BLOCKS_SENT`` blocks of rows. Groups of trees add up in their order, so equal forests give equal predictions.
     """
+    spark = rows.sparkSession
     sizes = sorted((r["tree"], r["count"]) for r in nodes.groupBy("tree").count().collect())
-    groups, held = [[]], 0
+    if not sizes:
+        return rows.select(*keep, F.lit(0.0).alias("prediction"))
+    dealt, held, group = [], 0, 0
     for tree, size in sizes:
-        if groups[-1] and held + size > NODES_SENT:
-            groups.append([])
-            held = 0
-        groups[-1].append(tree)
+        if held and held + size > NODES_SENT:
+            held, group = 0, group + 1
+        dealt.append((tree, group))
         held += size
-    spark, out = rows.sparkSession, rows.select(*keep, *columns, F.lit(0.0).alias("_sum"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-    for group in groups:
-        wanted = nodes.where(F.col("tree").between(group[0], group[-1])) if group else nodes
-        sent = spark.sparkContext.broadcast(Trees(wanted.select("tree", "node", "feature", "threshold", "prediction").toPandas(), layout))
+    width = len(columns)
 
-        def add(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                x = np.array([batch.column(len(keep) + i).to_numpy(zero_copy_only=False) for i in range(len(columns))], float).reshape(len(columns), batch.num_rows)
-                total = batch.column(batch.num_columns - 1).to_numpy() + sent.value.total(x, layout.is_category)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(total)], names=batch.schema.names)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array([batch.column(len(keep) + i).to_numpy(zero_copy_only=False) for i in range(width)], float).reshape(width, batch.num_rows)
+                kept = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), c) for c in batch.columns[:len(keep)]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array([batch.num_rows]), pa.array([x.tobytes()], pa.binary())], names=[*keep, "_rows", "_x"])
+
+    chosen = rows.select(*keep, *columns)
+    lists = [f"`{f.name}` array<{f.dataType.simpleString()}>" for f in chosen.schema.fields[:len(keep)]]
+    blocks = stored(chosen.mapInArrow(pack, ", ".join([*lists, "_rows long", "_x binary"])).withColumn("_block", F.monotonically_increasing_id()), "blocks")
+    n = blocks.count()
+    parts = max(1, -(-n // BLOCKS_SENT), min(n, -(-spark.sparkContext.defaultParallelism // (group + 1))))
+
+    def add(key: tuple, trees: pa.Table, rows: pa.Table) -> pa.Table:
+        sums = []
+        if trees.num_rows and rows.num_rows:
+            grown = Trees(trees.select(["tree", "node", "feature", "threshold", "prediction"]).to_pandas(), layout)
+            sums = [grown.total(np.frombuffer(x.as_py()).reshape(width, -1), layout.is_category).tobytes() for x in rows.column("_x")]
+        return pa.table({"_block": rows.column("_block") if sums else pa.array([], pa.int64()), "_group": pa.array([key[0].as_py()] * len(sums), pa.int32()),
+                         "_sums": pa.array(sums, pa.binary())})
+
+    groups = F.broadcast(spark.createDataFrame(dealt, "tree int, _group int"))
+    trees = nodes.select("tree", "node", "feature", "threshold", "prediction").join(groups, "tree").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    wanted = blocks.select("_block", "_x", F.explode(F.sequence(F.lit(0), F.lit(group))).alias("_group"),
+                           F.pmod(F.xxhash64("_block"), F.lit(parts)).cast("int").alias("_part"))
+    sums = trees.groupBy("_group", "_part").cogroup(wanted.groupBy("_group", "_part")).applyInArrow(add, "_block long, _group int, _sums binary")
+    of_block = sums.groupBy("_block").agg(F.transform(F.array_sort(F.collect_list(F.struct("_group", "_sums"))), lambda s: s["_sums"]).alias("_sums"))
+    whole = blocks.drop("_x").join(of_block, "_block").select(*keep, "_sums")
+    schema = [*[f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:len(keep)]], "prediction double"]
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                total = 0.0
+                for part in batch.column(len(keep))[i].as_py():
+                    total = total + np.frombuffer(part)
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, 1).flatten() for c in batch.columns[:len(keep)]], pa.array(total / len(sizes))], names=[*keep, "prediction"])
 
-        out = out.mapInArrow(add, fields)
-    return out.select(*keep, (F.col("_sum") / max(len(sizes), 1)).alias("prediction"))
+    return whole.mapInArrow(unpack, ", ".join(schema))
 
 
-def as_mllib(nodes: DataFrame, features: int, settings: ForestSettings, target: str) -> RandomForestRegressionModel:
-    """The same forest as an MLlib model, by writing the tables MLlib stores models in and loading them.
+def write_mllib(nodes: DataFrame, features: int, settings: ForestSettings, target: str) -> str:
+    """Path of the same forest in the tables MLlib stores models in, written by tasks.
 
     An empty forest with these settings gives the metadata; its node table is replaced.
     """
@@ -470,7 +501,32 @@ def as_mllib(nodes: DataFrame, features: int, settings: ForestSettings, target:
     meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
     meta["numFeatures"], meta["paramMap"]["maxDepth"] = features, settings.depth
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
-    return RandomForestRegressionModel.load(path)
+    return path
+
+
+def as_mllib(nodes: DataFrame, features: int, settings: ForestSettings, target: str) -> RandomForestRegressionModel:
+    """The same forest as an MLlib model, which the driver holds whole."""
+    return RandomForestRegressionModel.load(write_mllib(nodes, features, settings, target))
+
+
+def read_mllib(path: str) -> DataFrame:
+    """``tree, node, feature, threshold, prediction`` of a forest in MLlib's stored form; nodes are numbered as in ``grow_forest``."""
+    def number(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id")
+        left, right, feature = (rows.column(c).to_numpy() for c in ("left", "right", "feature"))
+        node, level = np.ones(len(left), np.int64), np.zeros(1, np.int64)
+        while len(level):
+            level = level[left[level] >= 0]
+            node[left[level]], node[right[level]] = 2 * node[level], 2 * node[level] + 1
+            level = np.concatenate([left[level], right[level]])
+        return pa.table({"tree": rows.column("tree"), "node": node, "feature": np.where(left >= 0, feature, -1).astype(np.int32),
+                         "threshold": rows.column("threshold"), "prediction": rows.column("prediction")})
+
+    split = "nodeData.split"
+    rows = SparkSession.active().read.schema(MODEL_SCHEMA).parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), "nodeData.id", F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+        F.col(f"{split}.featureIndex").alias("feature"), F.get(f"{split}.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"), "nodeData.prediction")
+    return stored(rows.groupBy("tree").applyInArrow(number, "tree int, node long, feature int, threshold double, prediction double"), "nodes")
 
 
 def estimator(settings: ForestSettings, target: str) -> RandomForestRegressor:

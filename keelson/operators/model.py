@@ -12,6 +12,7 @@ import time
 from dataclasses import dataclass, fields
 from functools import cached_property
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators.forest import as_mllib, estimator, grow_forest, predict
+from keelson.operators.forest import Layout, estimator, grow_forest, predict, read_mllib, write_mllib
 from keelson.operators.metrics import METRICS, regression_metrics, residuals
 from keelson.operators.profile import value_counts
 from keelson.operators.ranks import column_quantiles, with_ordinal
@@ -164,23 +165,38 @@ def fit_preprocessing(train: DataFrame, spec: FeatureSpec) -> Preprocessing:
 
 @dataclass(frozen=True)
 class ForestModel:
-    """Preprocessing and forest: scores any table with the source features."""
+    """Preprocessing and forest, in MLlib's stored form: scores any table with the source features."""
 
     preprocessing: Preprocessing
-    forest: RandomForestRegressionModel
+    stored_forest: str
+
+    @cached_property
+    def forest(self) -> RandomForestRegressionModel:
+        """MLlib's model, which the driver holds whole."""
+        return RandomForestRegressionModel.load(self.stored_forest)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``_features`` and ``prediction``."""
+        """Adds ``_features`` and ``prediction``, by MLlib's model."""
         return self.forest.transform(self.preprocessing.vectors(df, df.columns)).select(*df.columns, "_features", "prediction")
 
+    def score(self, df: DataFrame, key: str) -> DataFrame:
+        """(key, prediction), by tasks that read the stored forest: it may be larger than the driver's memory."""
+        p = self.preprocessing
+        numbers, places = p.number_names()
+        layout = Layout(tuple(np.empty(0) for _ in numbers), tuple(places.values()))
+        return predict(read_mllib(self.stored_forest), p.numbered(df, [key]), [*numbers, *places], layout, [key])
+
     def save(self, path: str) -> None:
         """Replaces what is at ``path``."""
         p = self.preprocessing
-        self.forest.write().overwrite().save(f"{path}/forest")
+        spark = SparkSession.active()
+        if self.stored_forest != f"{path}/forest":
+            for part in ("data", "treesMetadata"):
+                spark.read.parquet(f"{self.stored_forest}/{part}").write.mode("overwrite").parquet(f"{path}/forest/{part}")
+            spark.read.text(f"{self.stored_forest}/metadata").coalesce(1).write.mode("overwrite").text(f"{path}/forest/metadata")
         if p.dictionary is not None:
             p.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
         learned = {"spec": {f.name: getattr(p.spec, f.name) for f in fields(p.spec)}, "medians": p.medians, "modes": p.modes, "sizes": p.sizes}
-        spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(learned),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/statistics")
 
     @classmethod
@@ -189,7 +205,7 @@ class ForestModel:
         learned = json.loads(spark.read.text(f"{path}/statistics").first()[0])
         spec = FeatureSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in learned["spec"].items()})
         dictionary = spark.read.parquet(f"{path}/dictionary") if learned["sizes"] else None
-        return cls(Preprocessing(spec, learned["medians"], learned["modes"], dictionary, learned["sizes"]), RandomForestRegressionModel.load(f"{path}/forest"))
+        return cls(Preprocessing(spec, learned["medians"], learned["modes"], dictionary, learned["sizes"]), f"{path}/forest")
 
 
 @dataclass
@@ -207,7 +223,7 @@ class FitResult:
     @cached_property
     def model(self) -> ForestModel:
         """The fitted model in the form that is saved; made when first asked for."""
-        return ForestModel(self.preprocessing, as_mllib(self.nodes, self.preprocessing.width, self.settings, self.target))
+        return ForestModel(self.preprocessing, write_mllib(self.nodes, self.preprocessing.width, self.settings, self.target))
 
     def metrics(self) -> DataFrame:
         """(split, n, rmse, mae, r2)."""
@@ -298,4 +314,4 @@ def save_model(model: ForestModel, path: str) -> None:
 
 def score(path: str, features: DataFrame, key: str) -> DataFrame:
     """(key, prediction) for any table with the source features, by a stored model."""
-    return ForestModel.load(path).transform(features).select(key, "prediction")
+    return ForestModel.load(path).score(features, key)

@@ -68,7 +68,7 @@ def run_grid(datasets: Mapping[str, tuple[DataFrame, FeatureSpec]], split: Entit
                     result.predictions().write.mode("overwrite").parquet(f"{path}/predictions")
                     result.importance().write.mode("overwrite").parquet(f"{path}/importance")
                 records.append(run_record(spark, run, group, result, path, tags))
-                release(result.nodes)
+                release(result.nodes, result.scored)
                 if registry:
                     write_record(records[-1], registry)
         finally:

@@ -99,6 +99,15 @@ def test_saved_model_scores_raw_rows(data, fitted, tmp_path):
     assert got == want
 
 
+def test_scores_and_stored_models_bring_no_trees_to_the_driver(data, fitted, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(data), "toPandas", lambda *_: 1 / 0)
+    monkeypatch.setattr(L.RandomForestRegressionModel, "load", lambda *_: 1 / 0)
+    prepared = L.prepare(data.withColumn("split", F.lit("train")), V1, "k", "y")
+    again = L.fit(prepared, fitted.settings)
+    L.save_model(again.model, str(tmp_path / "m"))
+    assert L.score(str(tmp_path / "m"), data, "k").exceptAll(again.scored.select("k", "prediction")).isEmpty()
+
+
 def test_literals_with_quotes(spark, members, data):
     odd = data.withColumn("region", F.when(F.col("k") % 2 == 0, F.lit("it's \\ odd")).otherwise(F.lit(None)))
     result = L.fit(L.prepare(B.model_split(odd, members, V1, "y"), V1, "k", "y", partitions=2), ForestSettings("s", 2, 2, 1))
