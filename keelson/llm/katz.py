@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -41,7 +40,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm.jaccard import pack, unpack
 from keelson.llm.words import give_back, mix, text_slices, word_hashes
-from keelson.session import bounded_collect, release, shared_path, stored
+from keelson.session import bounded_collect, release, released_shuffles, shared_path, stored
 
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20
@@ -54,7 +53,6 @@ WORD_ANSWER, GRAM_ANSWER, TABLE, HOT_PROFILE = 0, 1, 2, 3
 BLOCKS = "block long, part int, kind int, a binary, b binary, c binary"
 ANSWERS = "block long, part int, kind int, a binary, b binary, c binary, sums array<double>"
 DOC = np.dtype([("doc_id", "<i8"), ("known", "?"), ("held", "i1"), ("tokens", "<i8")])
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -456,17 +454,6 @@ def score_documents(docs: DataFrame, part_bytes: int = PART_BYTES, order: int =
     return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-@contextmanager
-def released_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the job that made them ends. For steps that store what they make, so none is read again."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-
-
 def _scores(spark: SparkSession, docs: DataFrame, part_bytes: int, order: int) -> tuple[DataFrame, int]:
     """(stored scores, number of training tokens)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

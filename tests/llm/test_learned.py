@@ -84,6 +84,22 @@ def test_recall_on_the_table(spark, sf):
     assert all([x[0] for x in v] == list(range(1, 21)) for v in got.values())
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("|")
+    return {f for f in files.split("|") if f.endswith(".data")}
+
+
+def test_widened_search_leaves_no_shuffle_files(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.float32(rng.normal(size=(600, 32))))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    before = shuffle_files(spark)
+    found = neighbours.nearest_neighbours(frame, is_query(), beam=21, recall=1.0)
+    assert not shuffle_files(spark) - before
+    got, want = answers(found), brute_nearest(rows)
+    assert sum(len({x[1] for x in got[q]} & {x[1] for x in v}) for q, v in want.items()) >= 0.99 * 20 * len(want)
+
+
 def test_gradients_equal_differences():
     net, rng = language.Network.fresh(["a", "b", "c"], hidden=3, kind=np.float64), np.random.default_rng(0)
     ids = rng.integers(0, 256, (5, 4))
