@@ -35,6 +35,7 @@ SLICE_CHARS = 1 << 19
 BLOCK_CHARS = 1 << 23
 BLOCK_ROWS = 100_000
 CACHE_ENTRIES = 300_000
+LIBRARY_CHUNKS = 1000
 #: an optional space with what follows up to white space, or white space: the splitting pattern never looks across these
 CHUNK = re.compile(r" ?[^\t\n\r ]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
 #: a text with anything but printable Latin-1, tabs and line breaks goes to the library whole
@@ -87,10 +88,27 @@ class Aligner:
                 self.older, self.known = self.known, {c: self.known[c] for c in wanted - missing}
             self.known.update((c, self.older[c]) for c in missing if c in self.older)
             new = [c for c in missing if c not in self.known]
-            self.known.update(zip(new, self._library(new), strict=True))
+            self._learn(new)
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, c)) if c is not None else self._library([t])[0], "<u4") for c, t in zip(chunks, spaced, strict=True)]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Encodes new chunks. Those of a space and more are encoded many at once, as in a text; their bytes tell where each one's ids end."""
+        spaced = [c for c in chunks if len(c) > 1 and c[0] == " " and c[1] not in "\t\n\r "]
+        alone = list(set(chunks).difference(spaced))
+        for at in range(0, len(spaced), LIBRARY_CHUNKS):
+            some = spaced[at:at + LIBRARY_CHUNKS]
+            data = self._library(["".join(some)])[0]
+            ends = np.cumsum(self.a_length[np.frombuffer(data, "<u4")])
+            wanted = np.cumsum([len(c.encode()) for c in some])
+            last = np.searchsorted(ends, wanted)
+            if len(ends) == 0 or ends[-1] != wanted[-1] or (ends[last] != wanted).any():  # a token across two chunks
+                alone += some
+                continue
+            cuts = (4 * (last + 1)).tolist()
+            self.known.update(zip(some, [data[a:b] for a, b in zip([0, *cuts], cuts)], strict=True))
+        self.known.update(zip(alone, self._library(alone), strict=True))
+
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
 

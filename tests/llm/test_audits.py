@@ -195,6 +195,18 @@ def test_alignment_of_no_documents(make_docs):
     assert sorted((r["n_links"], r["groups_sha256"]) for r in got) == [(0, ""), (0, "")]
 
 
+def test_new_chunks_are_encoded_many_at_once(monkeypatch):
+    coder = alignment.Aligner(A_PATH, B_PATH)
+    words = [f"{a}{b}{m}" for a in ("word", "WORD", "it's", "12x", "<|endoftext|>", "é¼", "'ll", "$") for b in range(60) for m in ("", ".", "!?", "'s")]
+    texts = [" ".join(words[i::7]) for i in range(7)] + ["  a\tb\n\n c ", "a", "", " ", "x" * 300 + " y", "日本 語 a", " a\u00a0b \x1c"]
+    calls, library = [], coder._library
+    monkeypatch.setattr(coder, "_library", lambda some: (calls.append(len(some)), library(some))[1])
+    monkeypatch.setattr(alignment, "LIBRARY_CHUNKS", 50)
+    got = [ids.tolist() for ids in coder.first_ids(texts)]
+    assert got == [coder.first.encode(f" {t}", add_special_tokens=False).ids for t in texts]
+    assert sum(calls) < 0.1 * len(coder.known)
+
+
 def test_chunk_table_stays_bounded_and_equal(monkeypatch):
     monkeypatch.setattr(alignment, "CACHE_ENTRIES", 5)
     coder = alignment.Aligner(A_PATH, B_PATH)
