@@ -9,7 +9,6 @@ whole, because normalisation and white space could then differ.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -22,14 +21,14 @@ GROUP_CHARS = 1 << 20
 BAR = "|"
 #: characters that are neither letters, numbers nor white space; the apostrophe also starts contractions
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-OTHER = re.compile(r"[^\t\n\x0b\x0c\r -~\xa1-\xff]|<\|")
-ASCII = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F)])
+PLAIN = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
 def is_plain(text: str) -> bool:
-    if text.isascii():
-        return "<|" not in text and not text.encode().translate(None, ASCII)
-    return OTHER.search(text) is None
+    try:
+        return "<|" not in text and not text.encode("latin-1").translate(None, PLAIN)
+    except UnicodeEncodeError:
+        return False
 
 
 class WordTokens:
