@@ -19,7 +19,11 @@ list. It sends the list with training counts to the column ranges of the words,
 each; then its distinct word pairs to ranges of contexts, which answer with the pair's count and, where pairs of a context
 are unseen, what its backoff weight is made of. For each further length the answer also holds ids of the grams, which are the
 contexts of the next: a round of questions and answers a length, scores by recursion over the answers. So words and grams are shuffled once for each block they occur in, packed,
-and no token ever is. Counts land in tables of the shared folder, one row for each range.
+and no token ever is.
+
+Blocks, questions about words and all answers are rows of one table of the shared folder, bucketed by block: the range that counts
+writes each answer into the bucket of the block that asked, where the next round reads it. So an answer is on disk once and is
+not shuffled. Only the counts of counts outlive a range, one row for each.
 
 A context that holds more than 1 / ``HOT`` of all tokens is spread over all ranges by its next word; there are fewer than
 ``HOT`` of these, and only their sums reach the driver.
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm.jaccard import pack, unpack
 from keelson.llm.words import give_back, mix, text_slices, word_hashes
-from keelson.session import bounded_collect, release, released_shuffles, shared_path, stored
+from keelson.session import bounded_collect, released_shuffles, shared_path, stored
 
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 8 << 20
@@ -48,10 +52,10 @@ HOT = 10_000
 DISCOUNTED = 5
 END = np.uint64(0xE0F5C0DE12345677)
 TEXT_START = 0  # id of the empty context; words have ids from 1
-STREAM, WORDS = 0, 1
-WORD_ANSWER, GRAM_ANSWER, TABLE, HOT_PROFILE = 0, 1, 2, 3
-BLOCKS = "block long, part int, kind int, a binary, b binary, c binary"
-ANSWERS = "block long, part int, kind int, a binary, b binary, c binary, sums array<double>"
+#: kinds of rows; those of the answers, sums and hot contexts of words (length 1) and grams are ``KINDS * length`` more
+STREAM, QUESTION, ANSWER, SUMS, HOT_PROFILE = 0, 1, 2, 3, 4
+KINDS = 8
+ROWS = "block long, part int, kind int, a binary, b binary, c binary, sums array<double>"
 DOC = np.dtype([("doc_id", "<i8"), ("known", "?"), ("held", "i1"), ("tokens", "<i8")])
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -115,20 +119,39 @@ def _expand(data: bytes, kind) -> np.ndarray:
     return unpack(zstandard.ZstdDecompressor().decompress(data), kind) if data else np.empty(0, kind)
 
 
-def _table(rows: list[tuple], sums: bool = False) -> pa.Table:
-    names = ["block", "part", "kind", "a", "b", "c"] + ["sums"] * sums
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64())][:len(names)]
+def _table(rows: list[tuple]) -> pa.Table:
+    names = ["block", "part", "kind", "a", "b", "c", "sums"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64())]
     columns = list(zip(*rows, strict=True)) or [[]] * len(names)
     give_back()
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a place of each distinct key in order, number of each place's key)."""
+    order = np.argsort(keys)
+    new = np.ones(len(order), bool)
+    new[1:] = keys[order][1:] != keys[order][:-1]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def _by_frequency(counts: np.ndarray) -> np.ndarray:
+    """Places in order of falling counts: numbers by it are small for frequent words, which pack well."""
+    return np.argsort(-counts.astype(np.int64), kind="stable")
+
+
 def _range_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def corpus_blocks(docs: DataFrame, parts: int) -> DataFrame:
-    """Blocks of (``doc_id``, ``text``, ``held``: 1 held out, 0 to learn from, -1 neither): one row of tokens, rows of words."""
+    """Blocks of (``doc_id``, ``text``, ``held``: 1 held out, 0 to learn from, -1 neither): one row of tokens, rows of words.
+
+    The row of tokens holds the documents, the words' counts in the order of their hashes, and each token's place among
+    the words by falling counts.
+    """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
@@ -146,40 +169,44 @@ def corpus_blocks(docs: DataFrame, parts: int) -> DataFrame:
                 is_word = np.ones(len(tokens), bool)
                 is_word[np.cumsum(counts + 1) - 1] = False
                 tokens[is_word] = words
-                distinct, local = np.unique(tokens, return_inverse=True)
+                one, local = _numbered(tokens)
+                distinct, occurs = tokens[one], np.bincount(local).astype(np.uint32)
                 learned = np.bincount(local[np.repeat(info["held"] == 0, info["tokens"])], minlength=len(distinct))
-                rows = [(base + number, -1, STREAM, info.tobytes(), _squeeze(local.astype(np.uint32)), b"")]
+                rank = np.empty(len(distinct), np.uint32)
+                rank[_by_frequency(occurs)] = np.arange(len(distinct), dtype=np.uint32)
+                rows = [(base + number, -1, STREAM, info.tobytes(), _squeeze(rank[local]), _squeeze(occurs), None)]
                 cuts = np.searchsorted(_range_of(distinct, parts), np.arange(parts + 1))
                 for p in np.flatnonzero(np.diff(cuts)):
                     a, b = cuts[p], cuts[p + 1]
-                    rows.append((base + number, int(p), WORDS, _squeeze(np.diff(distinct[a:b], prepend=np.uint64(0))), _squeeze(learned[a:b].astype(np.uint32)), b""))
+                    rows.append((base + number, int(p), QUESTION, _squeeze(np.diff(distinct[a:b], prepend=np.uint64(0))), _squeeze(learned[a:b].astype(np.uint32)), b"", None))
                 yield from _table(rows).to_batches()
                 number, row = number + 1, end
         give_back()
 
-    return docs.select("doc_id", "text", "held").mapInArrow(emit, BLOCKS)
+    return docs.select("doc_id", "text", "held").mapInArrow(emit, ROWS)
+
+
+def _counts_of_counts(total: np.ndarray) -> list[float]:
+    return np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:DISCOUNTED + 2].astype(float).tolist()
 
 
 def _count_words(parts: int):
     def count(rows: pa.Table) -> pa.Table:
-        """Of one range of words: an answer (ids, counts) to each block, the table (words, ids, counts), and its sums."""
+        """Of one range of words: an answer (ids, counts) to each block, and sums."""
         blocks, part = rows.column("block").to_pylist(), rows.column("part")[0].as_py()
         each = [np.cumsum(_expand(a, np.uint64), dtype=np.uint64) for a in rows.column("a").to_pylist()]
         counts = np.concatenate([_expand(b, np.uint32) for b in rows.column("b").to_pylist()])
-        words, place = np.unique(np.concatenate(each), return_inverse=True)
-        total = np.bincount(place, weights=counts, minlength=len(words)).astype(np.int64)
-        order = np.lexsort((words, -total))
-        ids = np.empty(len(words), np.uint64)
-        ids[order] = np.uint64(1 + part) + np.uint64(parts) * np.arange(len(words), dtype=np.uint64)
+        one, place = _numbered(np.concatenate(each))
+        total = np.bincount(place, weights=counts, minlength=len(one)).astype(np.int64)
+        ids = np.empty(len(one), np.uint64)
+        ids[_by_frequency(total)] = np.uint64(1 + part) + np.uint64(parts) * np.arange(len(one), dtype=np.uint64)
         out, at = [], 0
         for block, h in zip(blocks, each, strict=True):
             mine = place[at:at + len(h)]
             at += len(h)
-            out.append((block, part, WORD_ANSWER, _squeeze(ids[mine]), _squeeze(total[mine].astype(np.uint64)), b"", None))
-        seen = total > 0
-        sums = [float(total.sum()), float(seen.sum()), *np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:DISCOUNTED + 2].astype(float)]
-        out.append((0, part, TABLE, _squeeze(words[seen]), _squeeze(ids[seen]), _squeeze(total[seen].astype(np.uint64)), sums))
-        return _table(out, True)
+            out.append((block, part, KINDS + ANSWER, _squeeze(ids[mine]), _squeeze(total[mine].astype(np.uint64)), b"", None))
+        out.append((0, part, KINDS + SUMS, b"", b"", b"", [float(total.sum()), float((total > 0).sum()), *_counts_of_counts(total)]))
+        return _table(out)
     return count
 
 
@@ -196,10 +223,9 @@ class Model:
 
 
 def _distinct(context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first place of each distinct pair in order, number of each place's pair)."""
+    """(a place of each distinct pair in order, number of each place's pair)."""
     if not len(token) or max(int(context.max()), int(token.max())) < 1 << 32:
-        _, one, gram = np.unique(context << np.uint64(32) | token, return_index=True, return_inverse=True)
-        return one, gram
+        return _numbered(context << np.uint64(32) | token)
     order = np.lexsort((token, context))  # the same order and numbers, for ids beyond 2**32
     new = np.ones(len(order), bool)
     new[1:] = (token[order][1:] != token[order][:-1]) | (context[order][1:] != context[order][:-1])
@@ -251,7 +277,7 @@ class _Answer:
         discounts, hot_profiles, hot_above = model.discounts[length], model.hot[length], model.hot_above
         count, plain, ids, alpha = (np.zeros(len(level.context), k) for k in (np.int64, bool, np.uint64, float))
         for p, k, a, b, c in rows:
-            if k != length:
+            if k != KINDS * length + ANSWER:
                 continue
             at = order[cuts[p]:cuts[p + 1]]
             answer = _expand(a, np.uint64).astype(np.int64)
@@ -261,7 +287,7 @@ class _Answer:
             missing = at[(answer >> 1) == 0]
             missing = missing[level.context_count[missing] <= hot_above]
             contexts, first, place = np.unique(level.context[missing], return_index=True, return_inverse=True)
-            profile = np.frombuffer(b).reshape(len(contexts), DISCOUNTED + 2)
+            profile = _read_profiles(b, len(contexts))
             alpha[missing] = backoff(profile, level.context_count[missing][first], discounts)[place]
         hot = np.flatnonzero((count == 0) & (level.context_count > hot_above))
         if len(hot):
@@ -277,10 +303,10 @@ class _Answer:
 class _Block:
     """A block with its answers about words; ``climb`` goes from the grams of one length to those of the next."""
 
-    def __init__(self, stream: pa.Table, rows: list[tuple], model: Model):
-        self.info = np.frombuffer(stream.column("a")[0].as_py(), DOC)
-        local = _expand(stream.column("b")[0].as_py(), np.uint32)
-        answers = sorted((p, a, b) for p, k, a, b, _ in rows if k == 1)
+    def __init__(self, rows: list[tuple], model: Model):
+        info, rank, occurs = next((a, b, c) for _, k, a, b, c in rows if k == STREAM)
+        self.info, local = np.frombuffer(info, DOC), _by_frequency(_expand(occurs, np.uint32))[_expand(rank, np.uint32)]
+        answers = sorted((p, a, b) for p, k, a, b, _ in rows if k == KINDS + ANSWER)
         ids, counts = (np.concatenate([_expand(a[i], np.uint64) for a in answers]) for i in (1, 2))
         self.token, self.count, self.model = ids[local], counts[local].astype(np.int64), model
         self.first = np.cumsum(self.info["tokens"]) - self.info["tokens"]
@@ -302,31 +328,29 @@ class _Block:
         return _Level.of(at, context[at], self.token[at], before[at], lower, self.model)
 
 
-def _answer_rows(answers: pa.Table) -> list[tuple]:
-    return list(zip(*(answers.column(c).to_pylist() for c in ("part", "kind", "a", "b", "c")), strict=True))
+def _block_rows(table: pa.Table) -> list[tuple]:
+    return list(zip(*(table.column(c).to_pylist() for c in ("part", "kind", "a", "b", "c")), strict=True))
 
 
 def _ask_grams(length: int, model: Model):
-    def ask(stream: pa.Table, answers: pa.Table) -> pa.Table:
+    def ask(table: pa.Table) -> pa.Table:
         """The distinct grams of a block by range of contexts, with how often each occurs in texts to learn from."""
-        if not stream.num_rows:
-            return _table([])
-        replies = _answer_rows(answers)
-        block = _Block(stream, replies, model)
+        replies, name = _block_rows(table), table.column("block")[0].as_py()
+        block = _Block(replies, model)
         level = block.pairs()
         for k in range(2, length):
             level = block.climb(level, _Answer.read(level, replies, k, model))
         learned = np.repeat(block.info["held"] == 0, block.info["tokens"])[level.at]
         n = np.bincount(level.gram[learned], minlength=len(level.context))
         order, cuts = level.places(model.parts)
-        rows, name = [], stream.column("block")[0].as_py()
+        rows = []
         for p in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[p]:cuts[p + 1]]
             contexts, first = np.unique(level.context[at], return_index=True)
             head = np.stack([np.diff(contexts, prepend=np.uint64(0)), np.diff(np.append(first, len(at))).astype(np.uint64),
                              level.context_count[at][first].astype(np.uint64)]).ravel()
-            rows.append((name, int(p), WORDS, _squeeze(head), _squeeze(level.word[at]),
-                         _squeeze(np.concatenate([x[at].astype(np.uint64) for x in (*level.lower, n)]))))
+            rows.append((name, int(p), QUESTION, _squeeze(head), _squeeze(level.word[at]),
+                         _squeeze(np.concatenate([x[at].astype(np.uint64) for x in (*level.lower, n)])), None))
         return _table(rows)
     return ask
 
@@ -335,13 +359,23 @@ def _profiles(owner: np.ndarray, contexts: int, counts: np.ndarray, probability:
     """(contexts, DISCOUNTED + 2): seen pairs of count 1..DISCOUNTED, sum of larger counts, sum of p(w) of all seen pairs."""
     out = np.zeros((contexts, DISCOUNTED + 2))
     small = (counts > 0) & (counts <= DISCOUNTED)
-    np.add.at(out, (owner[small], counts[small] - 1), 1)
+    out[:, :DISCOUNTED] = np.bincount(owner[small] * DISCOUNTED + counts[small] - 1, minlength=contexts * DISCOUNTED).reshape(contexts, DISCOUNTED)
     large = counts > DISCOUNTED
     out[:, DISCOUNTED] = np.bincount(owner[large], weights=counts[large], minlength=contexts)
     out[:, DISCOUNTED + 1] = np.bincount(owner[counts > 0], weights=probability[counts > 0], minlength=contexts)
     return out
 
 
+def _write_profiles(profiles: np.ndarray) -> bytes:
+    """Sums of p(w) as they are, the counts before them packed."""
+    return profiles[:, -1].tobytes() + _squeeze(profiles[:, :-1].astype(np.uint64).T.ravel())
+
+
+def _read_profiles(data: bytes, contexts: int) -> np.ndarray:
+    counts = _expand(data[8 * contexts:], np.uint64).astype(float).reshape(DISCOUNTED + 1, contexts)
+    return np.column_stack([counts.T, np.frombuffer(data, count=contexts)])
+
+
 def _count_grams(length: int, model: Model, last: bool):
     hot_above = model.hot_above
 
@@ -352,7 +386,7 @@ def _count_grams(length: int, model: Model, last: bool):
         return seen_probability(lower[0] >> 1, lower[1], (lower[0] & 1) == 1, model.discounts[length - 1])
 
     def count(rows: pa.Table) -> pa.Table:
-        """Of one range of contexts: an answer to each block, the table (contexts, words, counts), sums, and hot profiles.
+        """Of one range of contexts: an answer to each block, sums, and hot profiles.
 
         Unless these are the ``last`` grams, the answer also names each gram by an id, small for frequent ones.
         """
@@ -369,12 +403,7 @@ def _count_grams(length: int, model: Model, last: bool):
             n.append(own)
             sizes.append(len(word[-1]))
         context, word, n, context_count, *lower = map(np.concatenate, (context, word, n, context_count, *zip(*lower, strict=True)))
-        order = np.lexsort((word, context))
-        new = np.ones(len(order), bool)
-        new[1:] = (word[order][1:] != word[order][:-1]) | (context[order][1:] != context[order][:-1])
-        pair = np.empty(len(order), np.int64)
-        pair[order] = np.cumsum(new) - 1
-        one = order[new]
+        one, pair = _distinct(context, word)
         total = np.bincount(pair, weights=n, minlength=len(one)).astype(np.int64)
         contexts, owner = np.unique(context[one], return_inverse=True)
         profile = _profiles(owner, len(contexts), total, below([x[one] for x in lower]))
@@ -383,21 +412,18 @@ def _count_grams(length: int, model: Model, last: bool):
         plain = (profile[:, 0] == 0)[owner]
         ids = np.empty(0 if last else len(one), np.uint64)
         if not last:
-            ids[np.argsort(-total, kind="stable")] = np.uint64(1 + part) + np.uint64(model.parts) * np.arange(len(one), dtype=np.uint64)
-        out, at, answer = [], 0, (total * 2 + plain).astype(np.uint64)
+            ids[_by_frequency(total)] = np.uint64(1 + part) + np.uint64(model.parts) * np.arange(len(one), dtype=np.uint64)
+        out, at, answer, kind = [], 0, (total * 2 + plain).astype(np.uint64), KINDS * length
         for block, size in zip(blocks, sizes, strict=True):
             mine = pair[at:at + size]
             at += size
             unseen = np.unique(owner[mine[(total[mine] == 0)]])
             unseen = unseen[~hot[unseen]]
-            out.append((block, part, GRAM_ANSWER, _squeeze(answer[mine]), profile[unseen].tobytes(), b"" if last else _squeeze(ids[mine]), None))
-        seen = total > 0
-        sums = np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1:DISCOUNTED + 2].astype(float).tolist()
-        step = np.diff(context[one][seen], prepend=np.uint64(0)) if seen.any() else np.empty(0, np.uint64)
-        out.append((0, part, TABLE, _squeeze(step), _squeeze(word[one][seen]), _squeeze(total[seen].astype(np.uint64)), sums))
+            out.append((block, part, kind + ANSWER, _squeeze(answer[mine]), _write_profiles(profile[unseen]), b"" if last else _squeeze(ids[mine]), None))
+        out.append((0, part, kind + SUMS, b"", b"", b"", _counts_of_counts(total)))
         for c in np.flatnonzero(hot):
-            out.append((int(contexts[c]), part, HOT_PROFILE, b"", b"", b"", profile[c].tolist()))
-        return _table(out, True)
+            out.append((int(contexts[c]), part, kind + HOT_PROFILE, b"", b"", b"", profile[c].tolist()))
+        return _table(out)
     return count
 
 
@@ -416,14 +442,12 @@ def seen_probability(counts: np.ndarray, context_count: np.ndarray, plain: np.nd
 
 
 def _score(order: int, model: Model):
-    def score(stream: pa.Table, answers: pa.Table) -> pa.Table:
+    def score(table: pa.Table) -> pa.Table:
         """The log probability of each text of one block."""
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        if not stream.num_rows:
-            return pa.table([pa.array([], k) for k in kinds], names=names)
-        rows = _answer_rows(answers)
-        block = _Block(stream, rows, model)
+        rows = _block_rows(table)
+        block = _Block(rows, model)
         p, level = model.unigrams.probability(block.count), block.pairs()
         for k in range(2, order + 1):
             answer = _Answer.read(level, rows, k, model)
@@ -461,34 +485,36 @@ def _scores(spark: SparkSession, docs: DataFrame, part_bytes: int, order: int) -
     held = F.when(F.col("doc_id").isNull(), F.lit(-1)).when(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(1)).otherwise(F.lit(0))
     marked = docs.select("doc_id", "text", held.alias("held"))
     starts = marked.where("held = 0").count()
-    # bucketed by block, so that the blocks stay where they are when answers are brought to them
+    # bucketed by block, so that a block finds its tokens and its answers without a shuffle
     name, path = f"keelson_blocks_{uuid.uuid4().hex}", shared_path(spark, "blocks")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    corpus_blocks(marked, parts).write.partitionBy("kind").bucketBy(buckets, "block").option("path", path).saveAsTable(name)
-    blocks = spark.table(name)
-    streams = blocks.where(F.col("kind") == STREAM)
-    words = stored(blocks.where(F.col("kind") == WORDS).groupBy("part").applyInArrow(_count_words(parts), ANSWERS), "words", ["kind"])
-    _delete(spark, f"{path}/kind={WORDS}")  # answered; the streams are all that is read from here on
-    sums = np.array([r["sums"] for r in bounded_collect(_summed(words.where(F.col("kind") == TABLE)), 1, "word sums") if r["sums"]])
+
+    def add(rows: DataFrame) -> None:
+        rows.write.mode("append").format("parquet").partitionBy("kind").bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+
+    def of_kinds(*kinds: int) -> DataFrame:
+        return spark.table(name).where(F.col("kind").isin(*kinds)).select("block", "part", "kind", "a", "b", "c", "sums")
+
+    add(corpus_blocks(marked, parts))
+    add(of_kinds(QUESTION).groupBy("part").applyInArrow(_count_words(parts), ROWS))
+    _delete(spark, f"{path}/kind={QUESTION}")  # answered; from here on questions are only shuffled
+    sums = np.array([r["sums"] for r in bounded_collect(_summed(of_kinds(KINDS + SUMS)), 1, "word sums") if r["sums"]])
     totals = sums[0] if len(sums) else np.zeros(DISCOUNTED + 3)
     unigrams = _unigrams(totals)
     model = Model(starts, parts, unigrams, {}, {}, unigrams.total / HOT)
-    answers = words.where(F.col("kind") == WORD_ANSWER).select("block", "part", F.lit(1).alias("kind"), "a", "b", "c")
-    used = [answers]
+    known = [STREAM, KINDS + ANSWER]
     for length in range(2, order + 1):
-        asked = streams.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_ask_grams(length, model), BLOCKS)
-        grams = stored(asked.groupBy("part").applyInArrow(_count_grams(length, model, length == order), ANSWERS), "grams", ["kind"])
-        counts = bounded_collect(_summed(grams.where(F.col("kind") == TABLE)), 1, "gram sums")
+        asked = of_kinds(*known).groupBy("block").applyInArrow(_ask_grams(length, model), ROWS)
+        add(asked.groupBy("part").applyInArrow(_count_grams(length, model, length == order), ROWS))
+        counts = bounded_collect(_summed(of_kinds(KINDS * length + SUMS)), 1, "gram sums")
         discounts = good_turing(np.array(counts[0]["sums"])) if counts and counts[0]["sums"] else Discounts(half=True)
-        hot = grams.where(F.col("kind") == HOT_PROFILE).groupBy("block").agg(*_element_sums())
+        hot = of_kinds(KINDS * length + HOT_PROFILE).groupBy("block").agg(*_element_sums())
         profiles = {r["block"]: r["sums"] for r in bounded_collect(hot.select("block", F.array(*[f"s{i}" for i in range(DISCOUNTED + 2)]).alias("sums")), HOT, "hot contexts")}
         model = replace(model, discounts={**model.discounts, length: discounts}, hot={**model.hot, length: profiles})
-        used.append(grams.where(F.col("kind") == GRAM_ANSWER).select("block", "part", F.lit(length).alias("kind"), "a", "b", "c"))
-        answers = answers.unionByName(used[-1])
-    scored = streams.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order, model), SCORES)
-    result = stored(scored, "scores")
-    release(streams, *used)
+        known.append(KINDS * length + ANSWER)
+    result = stored(of_kinds(*known).groupBy("block").applyInArrow(_score(order, model), SCORES), "scores")
     spark.sql(f"DROP TABLE {name}")
+    _delete(spark, path)
     return result, unigrams.total
 
 

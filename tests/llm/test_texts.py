@@ -291,6 +291,26 @@ def test_the_query_scores_by_three_words(spark, sf, monkeypatch):
     assert orders == [3]
 
 
+def test_katz_reads_stored_answers_without_a_shuffle(make_docs, edge_rows, monkeypatch):
+    plans, stored = {}, katz.stored
+
+    def keep(df, name, *partition_by):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name, *partition_by)
+    monkeypatch.setattr(katz, "stored", keep)
+    katz.score_documents(make_docs(edge_rows), part_bytes=3000, order=3)
+    assert "InArrow" in plans["scores"] and "Exchange" not in plans["scores"]
+
+
+def test_profiles_and_places_by_frequency_come_back():
+    rng = np.random.default_rng(0)
+    profiles = np.column_stack([rng.integers(0, 10, (50, katz.DISCOUNTED + 1)), rng.random(50)])
+    for n in (0, 1, 50):
+        assert np.array_equal(katz._read_profiles(katz._write_profiles(profiles[:n]), n), profiles[:n])
+    one, number = katz._numbered(np.array([7, 3, 7, 9, 3, 7], np.uint64))
+    assert number.tolist() == [1, 0, 1, 2, 0, 1] and [number[i] for i in one] == [0, 1, 2]
+
+
 def test_katz_without_texts(make_docs):
     assert katz.score_documents(make_docs([])).collect() == []
     row, = katz.score_documents(make_docs([(1, None, None)])).collect()
