@@ -100,6 +100,27 @@ def test_widened_search_leaves_no_shuffle_files(spark):
     assert sum(len({x[1] for x in got[q]} & {x[1] for x in v}) for q, v in want.items()) >= 0.99 * 20 * len(want)
 
 
+@pytest.mark.parametrize("block_nodes", [1 << 14, 100])
+def test_search_compares_no_pair_twice_and_makes_no_row_for_a_pair(spark, monkeypatch, block_nodes):
+    monkeypatch.setattr(neighbours, "BLOCK_NODES", block_nodes)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.float32(rng.normal(size=(600, 32))))]
+    compared, advance = [], neighbours.Search._compared
+
+    def counted(search, asked):
+        found = neighbours.stored(advance(search, asked), "counted")
+        compared.append(found.selectExpr("count(*) AS rows", "count(DISTINCT q) AS queries", "sum(length(sim)) / 4 AS pairs").first())
+        return found
+    monkeypatch.setattr(neighbours.Search, "_compared", counted)
+    got = answers(neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), is_query(), beam=21, recall=1.0))
+    want = brute_nearest(rows)
+    assert sum(len({x[1] for x in got[q]} & {x[1] for x in v}) for q, v in want.items()) >= 0.99 * 20 * len(want)
+    blocks = -(-600 // block_nodes)
+    assert all(r["rows"] <= blocks * r["queries"] for r in compared)
+    # entry nodes may be met before or after they are due; all else is compared once
+    assert sum(r["pairs"] for r in compared) <= 1.5 * len(want) * len(rows)
+
+
 def test_gradients_equal_differences():
     net, rng = language.Network.fresh(["a", "b", "c"], hidden=3, kind=np.float64), np.random.default_rng(0)
     ids = rng.integers(0, 256, (5, 4))
