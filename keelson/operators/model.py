@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 from functools import cached_property
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators.forest import Layout, estimator, grow_forest, predict, read_mllib, write_mllib
+from keelson.operators.forest import Forest, Layout, estimator, grow, predict_by, read_mllib, tree_sizes, write_mllib
 from keelson.operators.metrics import METRICS, regression_metrics, residuals
 from keelson.operators.profile import value_counts
 from keelson.operators.ranks import column_quantiles, with_ordinal
@@ -165,10 +166,21 @@ def fit_preprocessing(train: DataFrame, spec: FeatureSpec) -> Preprocessing:
 
 @dataclass(frozen=True)
 class ForestModel:
-    """Preprocessing and forest, in MLlib's stored form: scores any table with the source features."""
+    """Preprocessing and forest: scores any table with the source features. The forest is in MLlib's stored form at ``path``,
+    or, without a path, put there by ``write``."""
 
     preprocessing: Preprocessing
-    stored_forest: str
+    path: str | None = None
+    write: Callable[[str], None] | None = None
+
+    @cached_property
+    def stored_forest(self) -> str:
+        """Path of MLlib's stored form, made when first asked for."""
+        if self.path:
+            return self.path
+        path = shared_path(SparkSession.active(), "forest")
+        self.write(path)
+        return path
 
     @cached_property
     def forest(self) -> RandomForestRegressionModel:
@@ -183,17 +195,20 @@ class ForestModel:
         """(key, prediction), by tasks that read the stored forest: it may be larger than the driver's memory."""
         p = self.preprocessing
         numbers, places = p.number_names()
-        layout = Layout(tuple(np.empty(0) for _ in numbers), tuple(places.values()))
-        return predict(read_mllib(self.stored_forest), p.numbered(df, [key]), [*numbers, *places], layout, [key])
+        scoring, layout = read_mllib(self.stored_forest, Layout(tuple(np.empty(0) for _ in numbers), tuple(places.values())))
+        return predict_by(scoring, tree_sizes(scoring), p.numbered(df, [key]), [*numbers, *places], layout, [key])
 
     def save(self, path: str) -> None:
         """Replaces what is at ``path``."""
         p = self.preprocessing
         spark = SparkSession.active()
-        if self.stored_forest != f"{path}/forest":
+        forest = f"{path}/forest"
+        if not self.path:
+            self.write(forest)
+        elif self.path != forest:
             for part in ("data", "treesMetadata"):
-                spark.read.parquet(f"{self.stored_forest}/{part}").write.mode("overwrite").parquet(f"{path}/forest/{part}")
-            spark.read.text(f"{self.stored_forest}/metadata").coalesce(1).write.mode("overwrite").text(f"{path}/forest/metadata")
+                spark.read.parquet(f"{self.path}/{part}").write.mode("overwrite").parquet(f"{forest}/{part}")
+            spark.read.text(f"{self.path}/metadata").coalesce(1).write.mode("overwrite").text(f"{forest}/metadata")
         if p.dictionary is not None:
             p.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
         learned = {"spec": {f.name: getattr(p.spec, f.name) for f in fields(p.spec)}, "medians": p.medians, "modes": p.modes, "sizes": p.sizes}
@@ -213,17 +228,22 @@ class FitResult:
     spec: FeatureSpec
     settings: ForestSettings
     preprocessing: Preprocessing
-    nodes: DataFrame
+    forest: Forest
     scored: DataFrame
     key: str
     target: str
     training_seconds: float
     prediction_seconds: float = 0.0
 
+    @property
+    def nodes(self) -> DataFrame:
+        """A row for each node, unpacked when it is read."""
+        return self.forest.nodes
+
     @cached_property
     def model(self) -> ForestModel:
-        """The fitted model in the form that is saved; made when first asked for."""
-        return ForestModel(self.preprocessing, write_mllib(self.nodes, self.preprocessing.width, self.settings, self.target))
+        """The fitted model in the form that is saved; that is written where it is saved, or when first asked for."""
+        return ForestModel(self.preprocessing, write=lambda path: write_mllib(self.forest.mllib(), self.preprocessing.width, self.settings, self.target, path))
 
     def metrics(self) -> DataFrame:
         """(split, n, rmse, mae, r2)."""
@@ -247,7 +267,7 @@ class FitResult:
         A tree's share of a feature is the part of its decrease of squares that splits on the feature make; the
         importance is the mean share over trees with a split. Ranks are positions in a range-partitioned order.
         """
-        gains = self.nodes.where("feature >= 0").groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
+        gains = stored(self.forest.gains().groupBy("tree", "feature").agg(F.sum("gain").alias("gain")), "gains")
         totals = gains.groupBy(F.col("tree").alias("of_tree")).agg(F.sum("gain").alias("of_all"))
         shares = gains.join(F.broadcast(totals), F.col("tree") == F.col("of_tree")).groupBy("feature").agg(F.sum(F.col("gain") / F.col("of_all")).alias("share"))
         trees = totals.count()
@@ -302,10 +322,10 @@ def fit(prepared: Prepared, settings: ForestSettings) -> FitResult:
     p = prepared.preprocessing
     train = prepared.rows.where((F.col("split") == "train") & F.col(prepared.target).isNotNull())
     numbers, places = p.number_names()
-    nodes, layout = grow_forest(train, prepared.key, prepared.target, numbers, places, settings)
+    grown = grow(train, prepared.key, prepared.target, numbers, places, settings)
     seconds = time.perf_counter() - start
-    scored = predict(nodes, prepared.rows, [*numbers, *places], layout, [prepared.key, "split", prepared.target])
-    return FitResult(p.spec, settings, p, nodes, scored, prepared.key, prepared.target, seconds)
+    scored = predict_by(grown.scoring(), tree_sizes(grown.pieces), prepared.rows, [*numbers, *places], grown.layout, [prepared.key, "split", prepared.target])
+    return FitResult(p.spec, settings, p, grown, scored, prepared.key, prepared.target, seconds)
 
 
 def save_model(model: ForestModel, path: str) -> None:

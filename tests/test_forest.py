@@ -176,3 +176,43 @@ def test_a_grid_stopped_midway_can_be_run_again(spark, tmp_path, monkeypatch):
         assert sorted((r["run_group"], r["run_name"], r["settings"]) for r in run().collect()) == [("7", "01", "1"), ("7", "02", "2")]
     with pytest.raises(ContractError, match="holds the runs"):
         X.run_grid({"v1": (data, spec)}, split, "y", [RunSpec("other", "v1", "1")], {"1": sets["1"]}, "7", str(tmp_path / "runs"))
+
+
+def test_a_pass_over_the_rows_sends_one_packed_row_for_each_node_and_task(frame):
+    settings = ForestSettings("many", 4, 9, 2)
+    data = G.bin_rows(frame.repartition(3), "k", "y", ["a", "b"], {"c": 6, "d": 3}, settings)
+    sums = G.level_sums(data, G.Grown(), [(t, 1) for t in range(4)], settings)
+    assert 4 <= sums.count() <= 4 * data.rows.rdd.getNumPartitions()
+
+
+def test_trees_in_pieces_score_and_are_stored_as_whole_ones(spark, frame, tmp_path):
+    settings = ForestSettings("p", 3, 20, 1, "all")
+    grown = [G.grow(frame, "k", "y", ["a", "b"], {"c": 6, "d": 3}, settings, subtree_rows=n) for n in (90, 1000)]
+    assert [f.pieces.count() > 3 for f in grown] == [True, False]
+    rows = frame.select("k", "a", "b", "c", "d").unionByName(spark.createDataFrame([(-1, float("nan"), 0.1, 6, 3), (-2, 1e9, -1e9, 0, 1)], "k long, a double, b double, c int, d int"))
+    columns, keep, got = ["a", "b", "c", "d"], ["k"], []
+    for i, forest in enumerate(grown):
+        path = str(tmp_path / f"forest{i}")
+        G.write_mllib(forest.mllib(), forest.layout.features, settings, "y", path)
+        again, layout = G.read_mllib(path, G.Layout((np.empty(0), np.empty(0)), (6, 3)))
+        got.append(sorted(G.predict_by(forest.scoring(), G.tree_sizes(forest.pieces), rows, columns, forest.layout, keep).collect()))
+        got.append(sorted(G.predict_by(again, G.tree_sizes(again), rows, columns, layout, keep).collect()))
+        got.append(sorted(G.predict(forest.nodes, rows, columns, forest.layout, keep).collect()))
+    assert len(got[0]) == 402 and all(g == got[0] for g in got)
+
+
+def test_a_model_is_saved_once_and_rows_are_scored_as_bins(spark, frame, tmp_path):
+    base = spark.range(300).selectExpr("id AS k", "IF(id % 5 = 0, 'test', 'train') AS split", "double(id % 17 + 4 * (id % 3)) AS y", "double(id % 17) AS age",
+                                       "double(id % 4) AS weight", "1D AS height", "concat('g', id % 3) AS gender", "'r' AS region")
+    tables = spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/tables"
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    result = L.fit(L.prepare(base, strength_features("k", "v1"), "k", "y"), ForestSettings("s", 6, 5, 2))
+    L.save_model(result.model, str(tmp_path / "model"))
+    stored = {r["k"]: r["prediction"] for r in L.score(str(tmp_path / "model"), base, "k").collect()}
+    assert stored == {r["k"]: r["prediction"] for r in result.scored.collect()}
+    made = set(os.listdir(tables)) - before
+    assert not [f for f in made if f.startswith("forest-")]  # no copy beside the saved one
+    blocks = [f for f in made if f.startswith("blocks-")]
+    assert len(blocks) == 2
+    for folder in blocks:  # a byte for each of five columns
+        assert spark.read.parquet(f"{tables}/{folder}").where("length(_x) <> 5 * _rows").isEmpty()
