@@ -260,7 +260,12 @@ def choose(tree: int, ids: np.ndarray, node_n: np.ndarray, node_total: np.ndarra
 def grow_subtree(tree: int, root: int, x: np.ndarray, weight: np.ndarray, target: np.ndarray, layout: Layout, settings: ForestSettings) -> Piece:
     """The subtree below ``root``; ``x`` has a row for each column. Rows are kept in the order of their nodes, and those of a
     node that cannot be divided (too few, or of one target) are dropped before any column is looked at."""
-    x, weighted, ids, sizes, out = list(x), weight * target, np.array([root], np.int64), np.array([len(weight)]), []
+    weighted, ids, sizes, out = weight * target, np.array([root], np.int64), np.array([len(weight)]), []
+    columns, x = list(range(len(x))), list(x)
+    if subset_size(settings.feature_subset, layout.features) >= layout.features:
+        # ties go to the first column, so one with the bins of an earlier one in all rows is never chosen
+        columns = [j for j in columns if not any(layout.is_category[i] == layout.is_category[j] and np.array_equal(x[i], x[j]) for i in range(j))]
+        x = [x[j] for j in columns]
     while len(ids):
         starts = np.cumsum(sizes) - sizes
         n, total, squares = (np.add.reduceat(v, starts) for v in (weight, weighted, weighted * target))
@@ -274,14 +279,14 @@ def grow_subtree(tree: int, root: int, x: np.ndarray, weight: np.ndarray, target
                 x, weight, weighted, target, sizes = [v[rows] for v in x], weight[rows], weighted[rows], target[rows], sizes[may]
             level = Level(sizes, weight, weighted, n[may], total[may], allowed_features(tree, ids[may], layout.features, settings), layout, settings.min_leaf)
             chosen, chosen_slot, most = np.full(len(sizes), -1), np.zeros(len(sizes), np.int64), level.n.copy()  # a decrease of less than a grid step is rounding
-            for j, values in enumerate(x):
+            for j, values in zip(columns, x):
                 found, at = level.best(j, values)
                 better = found > most
                 chosen[better], chosen_slot[better], most[better] = j, at[better], found[better]
             column[may], slot[may] = chosen, chosen_slot
             inner, right = chosen >= 0, np.zeros(len(weight), bool)
             of_node = chosen[level.node]
-            for j, values in enumerate(x):
+            for j, values in zip(columns, x):
                 rows = np.flatnonzero(of_node == j)
                 value, limit = values[rows], chosen_slot[level.node[rows]]
                 right[rows] = value == limit if layout.is_category[j] else value > limit

@@ -216,3 +216,34 @@ def test_a_model_is_saved_once_and_rows_are_scored_as_bins(spark, frame, tmp_pat
     assert len(blocks) == 2
     for folder in blocks:  # a byte for each of five columns
         assert spark.read.parquet(f"{tables}/{folder}").where("length(_x) <> 5 * _rows").isEmpty()
+
+
+@pytest.mark.parametrize("min_leaf, dense", [(1, 0), (1, 10**9), (4, 3)])
+def test_tables_and_sorting_find_the_splits_of_best_splits(min_leaf, dense, monkeypatch):
+    """Every column's best split of a level, with a column that equals an earlier one, by both ways and by the plain one."""
+    monkeypatch.setattr(G, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    layout, sizes = G.Layout((np.arange(8.0), np.arange(8.0), np.arange(3.0)), (5,)), np.array([40, 1, 7, 90])
+    x = [rng.integers(0, 9, 138), None, rng.integers(0, 4, 138), rng.integers(0, 6, 138)]
+    x[1] = x[0]
+    node, weight, target = np.repeat(np.arange(4), sizes), rng.integers(1, 4, 138).astype(float), rng.integers(0, 2**34, 138).astype(float)
+    n, total = np.bincount(node, weight), np.bincount(node, weight * target)
+    for allowed in (None, np.sort(rng.choice(4 * layout.features, 12, replace=False))):
+        level = G.Level(sizes, weight, weight * target, n, total, allowed, layout, min_leaf)
+        for j in range(4):
+            order = np.lexsort((x[j], node))
+            cells = {}
+            for i in order.tolist():
+                cell = cells.setdefault((int(node[i]), int(x[j][i])), [0.0, 0.0])
+                cell[0] += weight[i]
+                cell[1] += weight[i] * target[i]
+            of_node, slot = np.array(list(cells)).T
+            rows, sums = np.array(list(cells.values())).T
+            gain, at = G.best_splits(j, of_node, slot, rows, sums, n, total, allowed, layout, min_leaf)
+            found, where = level.best(j, x[j])
+            assert (found == gain).all() and (where[gain > 0] == at[gain > 0]).all()
+    settings = ForestSettings("t", 1, 6, min_leaf, "all")
+    piece = G.grow_subtree(0, 1, np.array(x, np.uint8), weight, target, layout, settings)
+    assert 1 not in piece.column and (piece.column >= 0).sum() > 5
+    apart = G.grow_subtree(0, 1, np.array([x[0], (x[1] + 1) % 9, x[2], x[3]], np.uint8), weight, target, layout, settings)
+    assert 1 in apart.column
