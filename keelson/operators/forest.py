@@ -927,8 +927,9 @@ def predict_by(scoring: DataFrame, sizes: list[tuple[int, int]], rows: DataFrame
 
 def mllib_rows(tree: int, node: np.ndarray, n: np.ndarray, mean: np.ndarray, squares: np.ndarray, gain: np.ndarray, feature: np.ndarray, threshold: np.ndarray) -> pa.Table:
     """A tree as rows of ``MODEL_SCHEMA``, a few in each batch."""
-    order = np.argsort(node)
-    node, n, mean, squares, gain, feature, threshold = (c[order] for c in (node, n, mean, squares, gain, feature, threshold))
+    if (node[1:] < node[:-1]).any():
+        order = np.argsort(node)
+        node, n, mean, squares, gain, feature, threshold = (c[order] for c in (node, n, mean, squares, gain, feature, threshold))
     inner, size = feature >= 0, len(node)
     left = np.where(inner, np.searchsorted(node, 2 * node), -1).astype(np.int32)
     variance = np.nan_to_num(squares / n - mean * mean)

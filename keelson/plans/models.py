@@ -18,7 +18,7 @@ from keelson.plans import features as PF
 from keelson.plans.common import (CUSTOMERS_SQL, DERIVED, EVENT_RULES, EVENTS_CLEAN_SQL, FEATURES_SQL, LEAKAGE, SPLIT_SQL, V1, V2, customers, r6,
                                   rounded, table)
 from keelson.presets import HP1, HP2, RUNS
-from keelson.session import materialized, shared_path
+from keelson.session import materialized, released_shuffles, shared_path
 from keelson.spec import ForestSettings
 
 PREDICTORS = ("by_part", "constant", "linear", "per_unit")
@@ -257,9 +257,11 @@ def stored_model_scores(spark, d):
     """Scores of all customers by a model that was saved and loaded, compared with those of the fitted one."""
     result = _fit(spark, d, V1, HP2)
     path = shared_path(spark, "model")
-    L.save_model(result.model, path)
-    stored = L.score(path, customers(spark, d), "c_custkey").withColumnRenamed("prediction", "stored")
-    both = stored.join(result.scored, "c_custkey", "full")
+    with released_shuffles(spark):  # rows meet one forest after the other, never two at once
+        fitted = materialized(result.scored)
+        L.save_model(result.model, path)
+        stored = materialized(L.score(path, customers(spark, d), "c_custkey").withColumnRenamed("prediction", "stored"))
+    both = stored.join(fitted, "c_custkey", "full")
     return both.agg(F.count(F.lit(1)).alias("scored_rows"),
                     F.count_if(~F.col("stored").eqNullSafe(F.col("prediction"))).alias("different_rows"))
 
