@@ -247,3 +247,10 @@ def test_tables_and_sorting_find_the_splits_of_best_splits(min_leaf, dense, monk
     assert 1 not in piece.column and (piece.column >= 0).sum() > 5
     apart = G.grow_subtree(0, 1, np.array([x[0], (x[1] + 1) % 9, x[2], x[3]], np.uint8), weight, target, layout, settings)
     assert 1 in apart.column
+
+
+def test_bins_beyond_a_pass_are_summed_sparsely(frame, monkeypatch):
+    settings = ForestSettings("wide", 2, 6, 2, "all")
+    whole = nodes_of(frame, settings)
+    monkeypatch.setattr(G, "PASS_SUMS", 10)
+    assert nodes_of(frame.repartition(3), settings, subtree_rows=250) == whole
